@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.functions import in_month, month_bounds, month_label, parse_added_date
+from marquee.functions import in_month, month_bounds, parse_added_date
 from marquee.schema import KEY, MONTH_COL
 
 PARSED = "_added"
@@ -36,13 +36,17 @@ def undated_rows(raw: DataFrame, date_col: str = "date_added") -> DataFrame:
 def tag_months(raw: DataFrame, first: tuple[int, int], last: tuple[int, int],
                date_col: str = "date_added") -> DataFrame:
     """X4 (part 1): keep rows dated within [first, last] months and add their
-    ``added_month`` label ('yyyy-MM'), in one scan."""
+    month (``added_month``, the month's first day as a DATE), in one scan.
+
+    A DATE rather than a 'yyyy-MM' label keeps the later max-per-key a plain
+    hash aggregate (a string max would fall back to a sort aggregate).
+    """
     lo, _ = month_bounds(*first)
     _, hi = month_bounds(*last)
     d = F.col(PARSED)
     return (with_added_date(raw, date_col)
             .where((d >= F.lit(lo)) & (d < F.lit(hi)))
-            .withColumn(MONTH_COL, month_label(d))
+            .withColumn(MONTH_COL, F.trunc(d, "month"))
             .drop(PARSED))
 
 

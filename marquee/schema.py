@@ -43,7 +43,7 @@ LIBRARY_MIN_LAG = 5
 # --------------------------------------------------------------------------
 
 KEY = "show_id"
-MONTH_COL = "added_month"   # 'yyyy-MM' label of a row's added date
+MONTH_COL = "added_month"   # first day of a row's added month (DATE)
 
 # Raw catalog row. Everything is text except release_year; the date stays
 # text until parsed so that bad values can be counted, not lost in the scan.

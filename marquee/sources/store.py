@@ -7,6 +7,7 @@ Layout under ``root``::
     v=000001/genres/   parquet
     v=000001/_COMPLETE  written last
     v=000002/...
+    _stage/<batch>/     a job's staged input batch (Parquet), overwritten per run
 
 A load reads the latest complete version and writes the next one; it never
 overwrites what it reads. Readers take the largest version that has the
@@ -50,6 +51,10 @@ class CatalogStore:
             raise MissingInputError(f"no complete version under {self.root}")
         return f"{self._vdir(v)}/{table}"
 
+    def stage_path(self, name: str) -> str:
+        """Folder for a job's staged batch (ignored by version listing)."""
+        return f"{self.root}/_stage/{name}"
+
     def versions(self, complete_only: bool = True) -> list[int]:
         p = self._Path(self.root)
         if not self._fs.exists(p):
