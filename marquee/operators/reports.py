@@ -147,13 +147,15 @@ def bucket_share(df: DataFrame, bucket: Column, bucket_out: str, where: Column |
                  count_out: str = "n", pct_out: str = "pct", digits: int = 1) -> DataFrame:
     """Rows per bucket and each bucket's share of all (filtered) rows.
 
-    The denominator is a scalar subquery over the same filtered input, so no
-    window has to see all buckets in one partition.
+    The denominator is a scalar subquery summing the per-bucket counts of the
+    same grouped frame; AQE reuses that frame's shuffle for it (a
+    ``ReusedExchange``), so the input is scanned once and no window has to
+    gather rows in one partition.
     """
     src = df if where is None else df.where(where)
-    total = src.agg(_n()).scalar()
-    return (src.groupBy(bucket.alias(bucket_out)).agg(_n().alias(count_out))
-               .withColumn(pct_out, pct(F.col(count_out), total, digits)))
+    grouped = src.groupBy(bucket.alias(bucket_out)).agg(_n().alias(count_out))
+    total = grouped.agg(F.sum(count_out)).scalar()
+    return grouped.withColumn(pct_out, pct(F.col(count_out), total, digits))
 
 
 # ---------------------------------------------------------------- D: tags
@@ -272,14 +274,25 @@ def distinct_share_by_period(df: DataFrame, list_col: str, value: str, key: str
                              share_out: str = "other_share_pct", digits: int = 1) -> DataFrame:
     """Per year - distinct keys listing ``value``, distinct keys listing
     anything else, and the latter's share of all distinct keys. A key with
-    both counts in both."""
+    both counts in both.
+
+    Two-level aggregation instead of three COUNT(DISTINCT)s: first one row per
+    (year, key) with "lists value" / "lists other" flags, then counts per
+    year. Both levels combine map-side, and each token row is shuffled once
+    (an Expand-based plan would shuffle it once per distinct expression).
+    Null keys form a group but are not counted, as in COUNT(DISTINCT).
+    """
     tok = explode_list(df, list_col, "_v", key=key, sep=sep, exclude=exclude, keep=[date_col])
     v = F.col("_v")
-    other = distinct_where(F.col(key), v != F.lit(value))
-    return tok.groupBy(year_of(date_col).alias(period_out)).agg(
-        distinct_where(F.col(key), v == F.lit(value)).alias(match_out),
+    per_key = tok.groupBy(year_of(date_col).alias(period_out), key).agg(
+        F.max((v == F.lit(value)).cast("int")).alias("_match"),
+        F.max((v != F.lit(value)).cast("int")).alias("_other"))
+    has_key = F.col(key).isNotNull()
+    other = count_where(has_key & (F.col("_other") == 1))
+    return per_key.groupBy(period_out).agg(
+        count_where(has_key & (F.col("_match") == 1)).alias(match_out),
         other.alias(other_out),
-        pct(other, F.count_distinct(key), digits).alias(share_out),
+        pct(other, count_where(has_key), digits).alias(share_out),
     )
 
 
@@ -341,23 +354,29 @@ def yearly_summary(titles: DataFrame, key: str = KEY, date_col: str = "date_adde
     if dedup:
         weighted = base.withColumn("_w", F.lit(1))
     else:
-        per_key = (countries.where(F.col(key).isNotNull())
-                            .groupBy(key).agg(_n().alias("_n")))
-        weighted = (base.join(per_key, key, "left")
+        country_rows = (countries.where(F.col(key).isNotNull())
+                                 .groupBy(key).agg(_n().alias("_n")))
+        weighted = (base.join(country_rows, key, "left")
                         .withColumn("_w", F.greatest(F.coalesce(F.col("_n"), F.lit(0)), F.lit(1))))
 
-    def wmean(c: str) -> Column:
-        num = F.sum(F.col("_w") * F.col(c))
-        den = F.sum(F.when(F.col(c).isNotNull(), F.col("_w")))
-        return F.round(safe_ratio(num, den), digits)
-
     kind = F.col(type_col)
-    stats = weighted.groupBy("year_added").agg(
-        F.count_distinct(key).alias("total_titles"),
-        distinct_where(F.col(key), kind == F.lit(movie)).alias("movies"),
-        distinct_where(F.col(key), kind == F.lit(show)).alias("tv_shows"),
-        wmean(minutes_col).alias("avg_movie_minutes"),
-        wmean("_lag").alias("avg_acquisition_lag_years"),
+    # level 1: one row per (year, key) - kind flags and weighted partial sums
+    per_key = weighted.groupBy("year_added", key).agg(
+        F.max((kind == F.lit(movie)).cast("int")).alias("_mv"),
+        F.max((kind == F.lit(show)).cast("int")).alias("_sh"),
+        F.sum(F.col("_w") * F.col(minutes_col)).alias("_sm"),
+        F.sum(F.when(F.col(minutes_col).isNotNull(), F.col("_w"))).alias("_cm"),
+        F.sum(F.col("_w") * F.col("_lag")).alias("_sl"),
+        F.sum(F.when(F.col("_lag").isNotNull(), F.col("_w"))).alias("_cl"),
+    )
+    has_key = F.col(key).isNotNull()
+    # level 2: per year - distinct keys (null keys not counted) and weighted means
+    stats = per_key.groupBy("year_added").agg(
+        count_where(has_key).alias("total_titles"),
+        count_where(has_key & (F.col("_mv") == 1)).alias("movies"),
+        count_where(has_key & (F.col("_sh") == 1)).alias("tv_shows"),
+        F.round(safe_ratio(F.sum("_sm"), F.sum("_cm")), digits).alias("avg_movie_minutes"),
+        F.round(safe_ratio(F.sum("_sl"), F.sum("_cl")), digits).alias("avg_acquisition_lag_years"),
     )
     key_years = base.where(F.col(key).isNotNull()).select(key, "year_added").distinct()
     key_countries = countries.where(F.col(key).isNotNull()).select(key, "_country").distinct()

@@ -26,7 +26,7 @@ from marquee.operators.ingest import month_slice, undated_rows
 from marquee.operators.upsert import upsert_catalog
 from marquee.plans import analyses as A
 from marquee.plans.jobs import apply_month, backfill_tables
-from marquee.schema import GENRES_SCHEMA, TITLES_SCHEMA
+from marquee.schema import GENRES_SCHEMA, TITLES_SCHEMA, empty_frame
 from marquee.sources.export import title_countries
 from marquee.sources.testdata import catalog_from_orders, read_table
 
@@ -68,7 +68,7 @@ def _genres(spark, sf):
 
 
 def _empty(spark):
-    return spark.createDataFrame([], TITLES_SCHEMA), spark.createDataFrame([], GENRES_SCHEMA)
+    return empty_frame(spark, TITLES_SCHEMA), empty_frame(spark, GENRES_SCHEMA)
 
 
 # ---------------------------------------------------------------- pipeline

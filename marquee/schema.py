@@ -6,7 +6,7 @@ pipeline uses, otherwise cleaned tables and reports differ.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # --------------------------------------------------------------------------
 # Fixed values (must match the source pipeline exactly)
@@ -83,3 +83,9 @@ GENRES_SCHEMA = T.StructType([
 
 TITLE_COLUMNS = [f.name for f in TITLES_SCHEMA.fields]
 GENRE_COLUMNS = [f.name for f in GENRES_SCHEMA.fields]
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A zero-row DataFrame with ``schema`` built on the JVM side (no Python
+    RDD), so Catalyst can prune it as an empty relation."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -23,7 +23,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.schema import GENRES_SCHEMA, TITLES_SCHEMA
+from marquee.schema import GENRES_SCHEMA, TITLES_SCHEMA, empty_frame
 
 MARKER = "_COMPLETE"
 _VERSION = re.compile(r"^v=(\d+)$")
@@ -80,8 +80,7 @@ class CatalogStore:
         the target schemas when nothing was loaded yet (CREATE IF NOT EXISTS)."""
         v = self.latest() if version is None else version
         if v is None:
-            empty = self.spark.createDataFrame([], TITLES_SCHEMA), self.spark.createDataFrame([], GENRES_SCHEMA)
-            return empty
+            return empty_frame(self.spark, TITLES_SCHEMA), empty_frame(self.spark, GENRES_SCHEMA)
         r = self.spark.read
         return (r.schema(TITLES_SCHEMA).parquet(f"{self._vdir(v)}/titles"),
                 r.schema(GENRES_SCHEMA).parquet(f"{self._vdir(v)}/genres"))

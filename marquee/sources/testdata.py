@@ -13,7 +13,20 @@ from marquee.schema import RAW_SCHEMA
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan over more tasks when it has fewer splits than the
+    session can run at once (a small file with one row group is one task).
+
+    Only the split count is inspected (file listing, no job). On a large
+    input the scan already has far more splits than cores and this is a
+    no-op, so it never adds a shuffle at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
 
 
 def _s(c: Column) -> Column:
