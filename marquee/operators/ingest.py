@@ -33,19 +33,23 @@ def undated_rows(raw: DataFrame, date_col: str = "date_added") -> DataFrame:
     return raw.where(parse_added_date(date_col).isNull())
 
 
-def tag_months(raw: DataFrame, first: tuple[int, int], last: tuple[int, int],
-               date_col: str = "date_added") -> DataFrame:
-    """X4 (part 1): keep rows dated within [first, last] months and add their
-    month (``added_month``, the month's first day as a DATE), in one scan.
+def tag_months(raw: DataFrame, first: tuple[int, int] | None = None,
+               last: tuple[int, int] | None = None, date_col: str = "date_added") -> DataFrame:
+    """X4 (part 1): keep rows dated within [first, last] months (either bound
+    may be open; undated rows are always dropped) and add their month
+    (``added_month``, the month's first day as a DATE), in one scan.
 
     A DATE rather than a 'yyyy-MM' label keeps the later max-per-key a plain
     hash aggregate (a string max would fall back to a sort aggregate).
     """
-    lo, _ = month_bounds(*first)
-    _, hi = month_bounds(*last)
     d = F.col(PARSED)
+    keep = d.isNotNull()
+    if first is not None:
+        keep = keep & (d >= F.lit(month_bounds(*first)[0]))
+    if last is not None:
+        keep = keep & (d < F.lit(month_bounds(*last)[1]))
     return (with_added_date(raw, date_col)
-            .where((d >= F.lit(lo)) & (d < F.lit(hi)))
+            .where(keep)
             .withColumn(MONTH_COL, F.trunc(d, "month"))
             .drop(PARSED))
 

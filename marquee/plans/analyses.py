@@ -182,6 +182,13 @@ def j2_latest_years(titles: DataFrame, k: int = LATEST_YEARS) -> DataFrame:
     return R.latest(j1_yearly_summary(titles), k)
 
 
+def register_catalog(titles: DataFrame, genres: DataFrame, titles_name: str = "titles",
+                     genres_name: str = "genres") -> None:
+    """Expose both tables to ``spark.sql`` as session views."""
+    titles.createOrReplaceTempView(titles_name)
+    genres.createOrReplaceTempView(genres_name)
+
+
 def register_yearly_summary(titles: DataFrame, name: str = "yearly_summary") -> DataFrame:
     """Expose J1 as a session view (the original keeps it as a database view)."""
     view = j1_yearly_summary(titles)

@@ -8,7 +8,9 @@ read the latest store version, apply, and publish the next version.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import logging
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from marquee.operators.clean import clean_titles
 from marquee.operators.ingest import latest_month_rows, month_slice, tag_months
@@ -17,9 +19,13 @@ from marquee.schema import MONTH_COL
 from marquee.sources.store import CatalogStore, MissingInputError
 
 
-def _observe(df: DataFrame, name: str) -> DataFrame:
-    """Row count of a stage, collected as a side effect of the write (no extra pass)."""
-    return df.observe(name, F.count(F.lit(1)).alias("rows"))
+log = logging.getLogger("marquee.jobs")
+
+
+def _observe(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """L4: row count of a stage, gathered while the stage is written (no extra pass)."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
 def apply_month(titles: DataFrame, genres: DataFrame, raw: DataFrame, year: int,
@@ -65,9 +71,13 @@ def run_month(spark: SparkSession, raw: DataFrame, store: CatalogStore, year: in
     sliced = _stage(spark, month_slice(raw, year, month),
                     store.stage_path(f"month={year:04d}-{month:02d}"))
     staged_t, staged_g = clean_titles(sliced)
+    staged_t, obs_t = _observe(staged_t, "staged_titles")
+    staged_g, obs_g = _observe(staged_g, "staged_genres")
     new_t, new_g = upsert_catalog(titles, genres, staged_t, staged_g)
-    return store.publish(_observe(new_t, f"titles_{year:04d}_{month:02d}"),
-                         _observe(new_g, f"genres_{year:04d}_{month:02d}"))
+    v = store.publish(new_t, new_g)
+    log.info("[load] %04d-%02d: titles %s rows, genres %s rows -> version %d", year, month,
+             obs_t.get.get("rows"), obs_g.get.get("rows"), v)
+    return v
 
 
 def backfill(spark: SparkSession, raw: DataFrame, store: CatalogStore,

@@ -13,6 +13,7 @@ below; the operators' defaults stay the report pack's own.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -27,7 +28,10 @@ from marquee.operators.upsert import upsert_catalog
 from marquee.plans import analyses as A
 from marquee.plans.jobs import apply_month, backfill_tables
 from marquee.schema import GENRES_SCHEMA, TITLES_SCHEMA, empty_frame
-from marquee.sources.export import title_countries
+from marquee.session import ensure_checkpoint_dir
+from marquee.sources.export import title_countries, write_csv
+from marquee.sources.store import CatalogStore
+from marquee.streaming import catalog_stream
 from marquee.sources.testdata import catalog_from_orders, read_table
 
 # ---------------------------------------------------------------- binding
@@ -148,6 +152,18 @@ def q_run_month(spark, sf):
     return apply_month(t0, g0, r, y, m)[0]
 
 
+def q_stream_ingest(spark, sf):
+    """The raw catalog written as CSV files, ingested by the file stream
+    (two micro-batches) into a fresh versioned store under the session's
+    checkpoint folder; returns the loaded titles."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/marquee-stream-{uuid.uuid4().hex}"
+    write_csv(raw(spark, sf), f"{base}/in")
+    store = CatalogStore(spark, f"{base}/store")
+    catalog_stream(spark, f"{base}/in", store, checkpoint=f"{base}/ckpt",
+                   max_files_per_trigger=4).awaitTermination()
+    return store.read()[0]
+
+
 def q_title_countries(spark, sf):
     return title_countries(_titles(spark, sf))
 
@@ -250,6 +266,7 @@ QUERIES: dict[str, Query] = {
     "upsert_genres": q_upsert_genres,
     "run_month": q_run_month,
     "title_countries": q_title_countries,
+    "stream_ingest": q_stream_ingest,
     # the 25 reports
     "a1_overview": _t(A.a1_overview),
     "a2_quality": _t(A.a2_quality),

@@ -86,8 +86,9 @@ class CatalogStore:
                 r.schema(GENRES_SCHEMA).parquet(f"{self._vdir(v)}/genres"))
 
     # ------------------------------------------------------------ write
-    def publish(self, titles: DataFrame, genres: DataFrame) -> int:
-        """Write both tables as the next version, then its marker.
+    def publish(self, titles: DataFrame, genres: DataFrame, tag: str | None = None) -> int:
+        """Write both tables as the next version, then its marker (and an
+        optional ``_TAG_<tag>`` file naming the batch that produced it).
 
         Titles are sorted by date within each output file so Parquet min/max
         statistics let date-range reports skip row groups; no extra shuffle.
@@ -98,9 +99,16 @@ class CatalogStore:
                .write.mode("overwrite").parquet(f"{d}/titles"))
         (genres.sortWithinPartitions("show_id")
                .write.mode("overwrite").parquet(f"{d}/genres"))
+        if tag is not None:
+            self._fs.create(self._Path(f"{d}/_TAG_{tag}"), True).close()
         self._fs.create(self._Path(f"{d}/{MARKER}"), True).close()
         return nxt
 
+    def latest_has_tag(self, tag: str) -> bool:
+        """Whether the latest complete version was produced by batch ``tag``."""
+        v = self.latest()
+        return v is not None and self.exists(f"{self._vdir(v)}/_TAG_{tag}")
+
     def prune(self, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` complete versions (and stale
         incomplete ones older than the newest complete)."""

@@ -143,3 +143,11 @@ def test_stage_io(spark, moving_raw, tmp_path):
     assert read_stage(spark, p, TITLES_SCHEMA).count() == t.count()
     write_month_stage(t.limit(0), root, 2021, 1)  # an empty month replaces the old file
     assert read_stage(spark, p, TITLES_SCHEMA).count() == 0
+
+
+def test_run_month_logs_stage_counts(spark, moving_raw, tmp_path, caplog):
+    import logging
+    caplog.set_level(logging.INFO, logger="marquee.jobs")
+    store = CatalogStore(spark, f"file://{tmp_path}/s")
+    run_month(spark, moving_raw, store, 2021, 2)
+    assert any("titles 2 rows, genres 2 rows" in r.getMessage() for r in caplog.records)
