@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from marquee.functions import split_list
 from marquee.operators.clean import clean_titles
 from marquee.operators.ingest import latest_month_rows, month_slice, tag_months
 from marquee.operators.upsert import upsert_catalog
@@ -22,12 +23,6 @@ from marquee.sources.store import CatalogStore, MissingInputError
 log = logging.getLogger("marquee.jobs")
 
 
-def _observe(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """L4: row count of a stage, gathered while the stage is written (no extra pass)."""
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 def apply_month(titles: DataFrame, genres: DataFrame, raw: DataFrame, year: int,
                 month: int) -> tuple[DataFrame, DataFrame]:
     """X2 -> T7 -> L3 for one month, as DataFrames."""
@@ -47,9 +42,14 @@ def backfill_tables(titles: DataFrame, genres: DataFrame, raw: DataFrame,
     return load_tagged(titles, genres, tag_months(raw, first, last))
 
 
+def staged_from_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cleaned batch from month-tagged raw rows (latest month per key wins)."""
+    return clean_titles(latest_month_rows(tagged).drop(MONTH_COL))
+
+
 def load_tagged(titles: DataFrame, genres: DataFrame, tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Keyed load of month-tagged raw rows (latest month per key wins)."""
-    staged_t, staged_g = clean_titles(latest_month_rows(tagged).drop(MONTH_COL))
+    """Keyed load of month-tagged raw rows, as DataFrames."""
+    staged_t, staged_g = staged_from_tagged(tagged)
     return upsert_catalog(titles, genres, staged_t, staged_g)
 
 
@@ -67,27 +67,30 @@ def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 def run_month(spark: SparkSession, raw: DataFrame, store: CatalogStore, year: int,
               month: int) -> int:
     """X2 (staged) -> T7 -> L3 against a versioned store; returns the new version."""
-    titles, genres = store.read()
     sliced = _stage(spark, month_slice(raw, year, month),
                     store.stage_path(f"month={year:04d}-{month:02d}"))
-    staged_t, staged_g = clean_titles(sliced)
-    staged_t, obs_t = _observe(staged_t, "staged_titles")
-    staged_g, obs_g = _observe(staged_g, "staged_genres")
-    new_t, new_g = upsert_catalog(titles, genres, staged_t, staged_g)
-    v = store.publish(new_t, new_g)
-    log.info("[load] %04d-%02d: titles %s rows, genres %s rows -> version %d", year, month,
-             obs_t.get.get("rows"), obs_g.get.get("rows"), v)
+    v = store.publish_replace(*clean_titles(sliced))
+    if log.isEnabledFor(logging.INFO):
+        n_titles, n_genres = batch_counts(sliced)
+        log.info("[load] %04d-%02d: titles %d rows, genres %d rows -> version %d",
+                 year, month, n_titles, n_genres, v)
     return v
 
 
+def batch_counts(raw_batch: DataFrame) -> tuple[int, int]:
+    """L4: titles and genre-bridge rows a raw batch yields, in one small
+    aggregate over the staged batch (a null list still yields one bridge row)."""
+    genre_rows = F.greatest(F.size(split_list("listed_in")), F.lit(1))
+    r = raw_batch.agg(F.count(F.lit(1)).alias("t"), F.sum(genre_rows).alias("g")).collect()[0]
+    return int(r["t"]), int(r["g"] or 0)
+
+
 def backfill(spark: SparkSession, raw: DataFrame, store: CatalogStore,
              first: tuple[int, int], last: tuple[int, int]) -> int:
     """One-pass backfill of a month range against a versioned store."""
-    titles, genres = store.read()
     name = f"backfill={first[0]:04d}-{first[1]:02d}_{last[0]:04d}-{last[1]:02d}"
     tagged = _stage(spark, tag_months(raw, first, last), store.stage_path(name))
-    new_t, new_g = load_tagged(titles, genres, tagged)
-    return store.publish(new_t, new_g)
+    return store.publish_replace(*staged_from_tagged(tagged))
 
 
 def read_stage(spark: SparkSession, path: str, schema) -> DataFrame:

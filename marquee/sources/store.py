@@ -3,11 +3,13 @@ DELETE + INSERT.
 
 Layout under ``root``::
 
-    v=000001/titles/   parquet
-    v=000001/genres/   parquet
-    v=000001/_COMPLETE  written last
+    v=000001/titles/      parquet, bucketed by show_id into B files
+    v=000001/genres/      parquet, bucketed by show_id into B files
+    v=000001/_BUCKETS_<B> bucket count of this version
+    v=000001/_TAG_<id>    optional: the batch that produced this version
+    v=000001/_COMPLETE    written last
     v=000002/...
-    _stage/<batch>/     a job's staged input batch (Parquet), overwritten per run
+    _stage/<batch>/       a job's staged input batch (Parquet), overwritten per run
 
 A load reads the latest complete version and writes the next one; it never
 overwrites what it reads. Readers take the largest version that has the
@@ -15,18 +17,37 @@ overwrites what it reads. Readers take the largest version that has the
 crashed load (no marker) is invisible and simply redone. Versions are
 written under the given (shared) root through the Hadoop FileSystem API, so
 the same code works on HDFS / object stores. One writer at a time.
+
+Both tables are bucketed by the key with Spark's own hash partitioning, and
+each version is declared to the session catalog as an external table with
+that bucket spec. Consequences:
+
+* a keyed load (``publish_replace``) shuffles only the batch: the target is
+  read bucket by bucket, anti-joined with the batch keys (hash-partitioned
+  into the same B partitions) and written back bucket by bucket;
+* ``titles`` JOIN ``genres`` ON show_id, and aggregations by show_id, on the
+  store need no shuffle of either table.
+
+Choose B so that one bucket of the larger table is a comfortable task
+(roughly table size / 256 MB).
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.schema import GENRES_SCHEMA, TITLES_SCHEMA, empty_frame
+from marquee.schema import GENRES_SCHEMA, KEY, TITLES_SCHEMA, empty_frame
 
 MARKER = "_COMPLETE"
 _VERSION = re.compile(r"^v=(\d+)$")
+_BUCKETS = re.compile(r"^_BUCKETS_(\d+)$")
+_SORT = {"titles": "date_added", "genres": KEY}
+_SCHEMAS = {"titles": TITLES_SCHEMA, "genres": GENRES_SCHEMA}
 
 
 class MissingInputError(FileNotFoundError):
@@ -34,12 +55,15 @@ class MissingInputError(FileNotFoundError):
 
 
 class CatalogStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        qualified = self._fs.makeQualified(self._Path(self.root)).toString()
+        self._id = hashlib.sha1(qualified.encode()).hexdigest()[:10]
 
     # ------------------------------------------------------------ paths
     def _vdir(self, v: int) -> str:
@@ -55,6 +79,9 @@ class CatalogStore:
         """Folder for a job's staged batch (ignored by version listing)."""
         return f"{self.root}/_stage/{name}"
 
+    def table_name(self, kind: str, v: int) -> str:
+        return f"marquee_{self._id}_{kind}_v{v:06d}"
+
     def versions(self, complete_only: bool = True) -> list[int]:
         p = self._Path(self.root)
         if not self._fs.exists(p):
@@ -74,36 +101,96 @@ class CatalogStore:
         vs = self.versions()
         return vs[-1] if vs else None
 
+    def bucket_count(self, v: int) -> int | None:
+        for st in self._fs.listStatus(self._Path(self._vdir(v))):
+            m = _BUCKETS.match(st.getPath().getName())
+            if m:
+                return int(m.group(1))
+        return None
+
     # ------------------------------------------------------------ read
+    def _declare(self, kind: str, v: int, buckets: int) -> str:
+        """Declare a version's table in the session catalog (external, bucketed)."""
+        name = self.table_name(kind, v)
+        if not self.spark.catalog.tableExists(name):
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _SCHEMAS[kind].fields)
+            loc = f"{self._vdir(v)}/{kind}".replace("'", "\\'")
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                           f"CLUSTERED BY ({KEY}) SORTED BY ({_SORT[kind]}) INTO {buckets} BUCKETS "
+                           f"LOCATION '{loc}'")
+        return name
+
     def read(self, version: int | None = None) -> tuple[DataFrame, DataFrame]:
         """(titles, genres) of the latest complete version; empty tables with
         the target schemas when nothing was loaded yet (CREATE IF NOT EXISTS)."""
         v = self.latest() if version is None else version
         if v is None:
             return empty_frame(self.spark, TITLES_SCHEMA), empty_frame(self.spark, GENRES_SCHEMA)
-        r = self.spark.read
-        return (r.schema(TITLES_SCHEMA).parquet(f"{self._vdir(v)}/titles"),
-                r.schema(GENRES_SCHEMA).parquet(f"{self._vdir(v)}/genres"))
+        b = self.bucket_count(v)
+        if b is None:   # plain (unbucketed) version
+            r = self.spark.read
+            return (r.schema(TITLES_SCHEMA).parquet(f"{self._vdir(v)}/titles"),
+                    r.schema(GENRES_SCHEMA).parquet(f"{self._vdir(v)}/genres"))
+        return (self.spark.table(self._declare("titles", v, b)),
+                self.spark.table(self._declare("genres", v, b)))
 
     # ------------------------------------------------------------ write
-    def publish(self, titles: DataFrame, genres: DataFrame, tag: str | None = None) -> int:
-        """Write both tables as the next version, then its marker (and an
-        optional ``_TAG_<tag>`` file naming the batch that produced it).
-
-        Titles are sorted by date within each output file so Parquet min/max
-        statistics let date-range reports skip row groups; no extra shuffle.
+    def _write_version(self, titles_parts: list[DataFrame], genres_parts: list[DataFrame],
+                       tag: str | None) -> int:
+        """Write each table's parts in one bucketed write, then the markers.
+
+        Every part arrives hash-partitioned by the key into the bucket layout
+        (kept rows from the bucketed scan, batch rows by ``_by_key``), so each
+        task of the union holds one bucket and writes one file: no shuffle of
+        the target, about 2 x B files per table.
         """
         nxt = max(self.versions(complete_only=False), default=0) + 1
         d = self._vdir(nxt)
-        (titles.sortWithinPartitions("date_added")
-               .write.mode("overwrite").parquet(f"{d}/titles"))
-        (genres.sortWithinPartitions("show_id")
-               .write.mode("overwrite").parquet(f"{d}/genres"))
+
+        def write(kind: str, parts: list[DataFrame]) -> None:
+            cols = [f.name for f in _SCHEMAS[kind].fields]
+            data = reduce(DataFrame.unionByName, [p.select(*cols) for p in parts])
+            (data.write.bucketBy(self.buckets, KEY).sortBy(_SORT[kind])
+                 .mode("overwrite").option("path", f"{d}/{kind}")
+                 .saveAsTable(self.table_name(kind, nxt)))
+
+        # the two tables are independent jobs: run them side by side
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for f in [pool.submit(write, "titles", titles_parts), pool.submit(write, "genres", genres_parts)]:
+                f.result()
+        self._fs.create(self._Path(f"{d}/_BUCKETS_{self.buckets}"), True).close()
         if tag is not None:
             self._fs.create(self._Path(f"{d}/_TAG_{tag}"), True).close()
         self._fs.create(self._Path(f"{d}/{MARKER}"), True).close()
         return nxt
 
+    def _by_key(self, df: DataFrame) -> DataFrame:
+        """Hash-partition into the bucket layout (same hash as bucketing)."""
+        return df.repartition(self.buckets, KEY)
+
+    def publish(self, titles: DataFrame, genres: DataFrame, tag: str | None = None) -> int:
+        """Write whole tables as the next version, then its markers."""
+        return self._write_version([self._by_key(titles)], [self._by_key(genres)], tag)
+
+    def publish_replace(self, staged_titles: DataFrame, staged_genres: DataFrame,
+                        tag: str | None = None) -> int:
+        """L3 against the latest version: drop every row whose key is in the
+        staged titles (both tables), add the staged rows, publish.
+
+        Only the batch is shuffled. The batch keys are hash-partitioned into
+        the bucket layout once; the target is scanned bucket by bucket and
+        its surviving rows are written back as they are partitioned. AQE
+        may still broadcast the key set when its measured size is small.
+        Null keys never match and are kept.
+        """
+        titles, genres = self.read()
+        keys = (staged_titles.select(KEY).where(F.col(KEY).isNotNull())
+                             .repartition(self.buckets, KEY).distinct())
+        kept_t = titles.join(keys, KEY, "left_anti")
+        kept_g = genres.join(keys, KEY, "left_anti")
+        return self._write_version([kept_t, self._by_key(staged_titles)],
+                                   [kept_g, self._by_key(staged_genres)], tag)
+
     def latest_has_tag(self, tag: str) -> bool:
         """Whether the latest complete version was produced by batch ``tag``."""
         v = self.latest()
@@ -111,7 +198,8 @@ class CatalogStore:
 
     def prune(self, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` complete versions (and stale
-        incomplete ones older than the newest complete)."""
+        incomplete ones older than the newest complete), with their catalog
+        entries (external tables: dropping them deletes no data)."""
         complete = self.versions()
         if not complete:
             return []
@@ -121,6 +209,8 @@ class CatalogStore:
         for v in self.versions(complete_only=False):
             if v in keep_set or v > newest:
                 continue
+            for kind in _SCHEMAS:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(kind, v)}")
             self._fs.delete(self._Path(self._vdir(v)), True)
             dropped.append(v)
         return dropped

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators.ingest import tag_months
-from marquee.plans.jobs import load_tagged
+from marquee.plans.jobs import staged_from_tagged
 from marquee.schema import RAW_SCHEMA
 from marquee.session import checkpoint_dir
 from marquee.sources.store import CatalogStore
@@ -32,9 +32,7 @@ def load_batch(store: CatalogStore, batch: DataFrame, batch_id: int, query_id: s
         return None
     spark = batch.sparkSession
     tagged = store_stage(spark, store, tag_months(batch), f"stream={tag}")
-    titles, genres = store.read()
-    new_t, new_g = load_tagged(titles, genres, tagged)
-    return store.publish(new_t, new_g, tag=tag)
+    return store.publish_replace(*staged_from_tagged(tagged), tag=tag)
 
 
 def store_stage(spark: SparkSession, store: CatalogStore, df: DataFrame, name: str) -> DataFrame:
