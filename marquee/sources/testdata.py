@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from marquee.schema import RAW_SCHEMA
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_out else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -85,4 +86,4 @@ def catalog_from_orders(orders: DataFrame) -> DataFrame:
 
 def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw catalog for one testdata scale factor."""
-    return catalog_from_orders(read_table(spark, sf_dir, "orders"))
+    return catalog_from_orders(read_table(spark, sf_dir, "orders", spread_out=True))
