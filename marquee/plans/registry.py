@@ -295,6 +295,7 @@ QUERIES: dict[str, Query] = {
     "i2_quarters": _t(A.i2_quarters),
     "j1_yearly_summary": _t(A.j1_yearly_summary),
     "j2_latest_years": _t(A.j2_latest_years),
+    "j1_yearly_summary_dedup": _t(A.j1_yearly_summary, dedup=True),
     # the same operators on the natural tables
     "orders_yearly_growth": q_orders_yearly_growth,
     "orders_status_share": q_orders_status_share,

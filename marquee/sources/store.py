@@ -30,11 +30,19 @@ that bucket spec. Consequences:
 
 Choose B so that one bucket of the larger table is a comfortable task
 (roughly table size / 256 MB).
+
+A bucket is always one task, so a hot key (say null ids piling up, or one id
+with a third of a batch) would serialise the work. The layout is therefore
+chosen per version: bucketed only while the batch's hottest key stays under
+``max_key_rows`` and no written bucket exceeds ``max_bucket_bytes``;
+otherwise versions are plain Parquet and the joins shuffle with AQE skew
+splitting. ``rebucket()`` returns to the bucketed layout.
 """
 
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
@@ -43,9 +51,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.schema import GENRES_SCHEMA, KEY, TITLES_SCHEMA, empty_frame
 
+log = logging.getLogger("marquee.store")
+
 MARKER = "_COMPLETE"
 _VERSION = re.compile(r"^v=(\d+)$")
 _BUCKETS = re.compile(r"^_BUCKETS_(\d+)$")
+_BUCKET_FILE = re.compile(r"_(\d{5})(?:\.c\d+)?\.[^_]*parquet$")
 _SORT = {"titles": "date_added", "genres": KEY}
 _SCHEMAS = {"titles": TITLES_SCHEMA, "genres": GENRES_SCHEMA}
 
@@ -55,10 +66,13 @@ class MissingInputError(FileNotFoundError):
 
 
 class CatalogStore:
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
+                 max_key_rows: int = 2_000_000, max_bucket_bytes: int = 2 << 30):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.max_key_rows = max_key_rows          # hottest batch key allowed in the bucketed layout
+        self.max_bucket_bytes = max_bucket_bytes  # largest bucket a version may keep bucketed
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -136,13 +150,19 @@ class CatalogStore:
 
     # ------------------------------------------------------------ write
     def _write_version(self, titles_parts: list[DataFrame], genres_parts: list[DataFrame],
-                       tag: str | None) -> int:
-        """Write each table's parts in one bucketed write, then the markers.
-
-        Every part arrives hash-partitioned by the key into the bucket layout
-        (kept rows from the bucketed scan, batch rows by ``_by_key``), so each
-        task of the union holds one bucket and writes one file: no shuffle of
-        the target, about 2 x B files per table.
+                       tag: str | None, bucketed: bool) -> int:
+        """Write each table's parts in one write, then the markers.
+
+        Bucketed: every part arrives hash-partitioned by the key into the
+        bucket layout (kept rows from the bucketed scan, batch rows by
+        ``_by_key``), so each task of the union holds one bucket and writes
+        one file - no shuffle of the target, about 2 x B files per table.
+        The version is then declared bucketed only if no bucket exceeds
+        ``max_bucket_bytes``; otherwise it is left as plain Parquet (readers
+        then shuffle, and AQE can split the hot partition).
+
+        Plain: parts are written as they are partitioned, sorted by date /
+        key within each file.
         """
         nxt = max(self.versions(complete_only=False), default=0) + 1
         d = self._vdir(nxt)
@@ -150,46 +170,93 @@ class CatalogStore:
         def write(kind: str, parts: list[DataFrame]) -> None:
             cols = [f.name for f in _SCHEMAS[kind].fields]
             data = reduce(DataFrame.unionByName, [p.select(*cols) for p in parts])
-            (data.write.bucketBy(self.buckets, KEY).sortBy(_SORT[kind])
-                 .mode("overwrite").option("path", f"{d}/{kind}")
-                 .saveAsTable(self.table_name(kind, nxt)))
+            if bucketed:
+                (data.write.bucketBy(self.buckets, KEY).sortBy(_SORT[kind])
+                     .mode("overwrite").option("path", f"{d}/{kind}")
+                     .saveAsTable(self.table_name(kind, nxt)))
+            else:
+                data.sortWithinPartitions(_SORT[kind]).write.mode("overwrite").parquet(f"{d}/{kind}")
 
         # the two tables are independent jobs: run them side by side
         with ThreadPoolExecutor(max_workers=2) as pool:
             for f in [pool.submit(write, "titles", titles_parts), pool.submit(write, "genres", genres_parts)]:
                 f.result()
-        self._fs.create(self._Path(f"{d}/_BUCKETS_{self.buckets}"), True).close()
+        if bucketed:
+            biggest = max(self._largest_bucket(f"{d}/{kind}") for kind in _SCHEMAS)
+            if biggest <= self.max_bucket_bytes:
+                self._fs.create(self._Path(f"{d}/_BUCKETS_{self.buckets}"), True).close()
+            else:
+                for kind in _SCHEMAS:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(kind, nxt)}")
+                log.warning("version %d: a bucket holds %d bytes (> %d); stored as plain parquet",
+                            nxt, biggest, self.max_bucket_bytes)
         if tag is not None:
             self._fs.create(self._Path(f"{d}/_TAG_{tag}"), True).close()
         self._fs.create(self._Path(f"{d}/{MARKER}"), True).close()
         return nxt
 
+    def _largest_bucket(self, path: str) -> int:
+        """Bytes of the largest bucket of a bucketed write (file names carry the bucket id)."""
+        sizes: dict[int, int] = {}
+        for st in self._fs.listStatus(self._Path(path)):
+            m = _BUCKET_FILE.search(st.getPath().getName())
+            if m:
+                b = int(m.group(1))
+                sizes[b] = sizes.get(b, 0) + st.getLen()
+        return max(sizes.values(), default=0)
+
     def _by_key(self, df: DataFrame) -> DataFrame:
         """Hash-partition into the bucket layout (same hash as bucketing)."""
         return df.repartition(self.buckets, KEY)
 
+    def _hottest_key_rows(self, *batches: DataFrame) -> int:
+        """Rows of the most frequent key (null included) in the batch tables:
+        one partial aggregate per (small) batch table."""
+        top = 0
+        for b in batches:
+            r = b.groupBy(KEY).count().agg(F.max("count").alias("m")).collect()[0]["m"]
+            top = max(top, r or 0)
+        return top
+
     def publish(self, titles: DataFrame, genres: DataFrame, tag: str | None = None) -> int:
-        """Write whole tables as the next version, then its markers."""
-        return self._write_version([self._by_key(titles)], [self._by_key(genres)], tag)
+        """Write whole tables as the next version (plain layout), then its markers."""
+        return self._write_version([titles], [genres], tag, bucketed=False)
 
     def publish_replace(self, staged_titles: DataFrame, staged_genres: DataFrame,
                         tag: str | None = None) -> int:
         """L3 against the latest version: drop every row whose key is in the
         staged titles (both tables), add the staged rows, publish.
 
-        Only the batch is shuffled. The batch keys are hash-partitioned into
-        the bucket layout once; the target is scanned bucket by bucket and
-        its surviving rows are written back as they are partitioned. AQE
-        may still broadcast the key set when its measured size is small.
+        Bucketed layout (the latest version is bucketed or the store is empty,
+        and no key of the batch has more than ``max_key_rows`` rows): only the
+        batch is shuffled - its keys are hash-partitioned into the bucket
+        layout once, the target is scanned bucket by bucket and its surviving
+        rows are written back as they are partitioned.
+
+        Plain layout (otherwise): a normal anti join, where AQE broadcasts the
+        key set if its measured size is small and otherwise splits skewed
+        partitions of the sort-merge join. A store that turned plain stays
+        plain; ``rebucket`` rewrites it once the skew is gone.
         Null keys never match and are kept.
         """
+        v = self.latest()
+        bucketed = ((v is None or self.bucket_count(v) is not None)
+                    and self._hottest_key_rows(staged_titles, staged_genres) <= self.max_key_rows)
         titles, genres = self.read()
-        keys = (staged_titles.select(KEY).where(F.col(KEY).isNotNull())
-                             .repartition(self.buckets, KEY).distinct())
+        keys = staged_titles.select(KEY).where(F.col(KEY).isNotNull())
+        keys = (keys.repartition(self.buckets, KEY) if bucketed else keys).distinct()
         kept_t = titles.join(keys, KEY, "left_anti")
         kept_g = genres.join(keys, KEY, "left_anti")
-        return self._write_version([kept_t, self._by_key(staged_titles)],
-                                   [kept_g, self._by_key(staged_genres)], tag)
+        add_t = self._by_key(staged_titles) if bucketed else staged_titles
+        add_g = self._by_key(staged_genres) if bucketed else staged_genres
+        return self._write_version([kept_t, add_t], [kept_g, add_g], tag, bucketed)
+
+    def rebucket(self) -> int:
+        """Rewrite the latest version in the bucketed layout (one shuffle of
+        both tables by key). Meant for a store that turned plain after a
+        skewed batch, once the hot key is gone."""
+        titles, genres = self.read()
+        return self._write_version([self._by_key(titles)], [self._by_key(genres)], None, bucketed=True)
 
     def latest_has_tag(self, tag: str) -> bool:
         """Whether the latest complete version was produced by batch ``tag``."""

@@ -49,6 +49,7 @@ REPORTS = {
     "i2_quarters": lambda t, g: A.i2_quarters(t),
     "j1_yearly_summary": lambda t, g: A.j1_yearly_summary(t),
     "j2_latest_years": lambda t, g: A.j2_latest_years(t),
+    "j1_yearly_summary_dedup": lambda t, g: A.j1_yearly_summary(t, dedup=True),
 }
 
 

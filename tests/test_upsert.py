@@ -151,3 +151,60 @@ def test_run_month_logs_stage_counts(spark, moving_raw, tmp_path, caplog):
     store = CatalogStore(spark, f"file://{tmp_path}/s")
     run_month(spark, moving_raw, store, 2021, 2)
     assert any("titles 2 rows, genres 2 rows" in r.getMessage() for r in caplog.records)
+
+
+def test_reports_on_bucketed_store_equal_in_memory(spark, tmp_path):
+    """Reports read from the bucketed store (co-located joins, no shuffles of
+    the tables) give the same results as on the in-memory tables."""
+    from marquee.plans import analyses as A
+    from marquee.plans.registry import raw, tables
+    from tests.conftest import SF_SMALL
+    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=4)
+    backfill(spark, raw(spark, SF_SMALL), store, (1990, 1), (2010, 12))
+    st, sg = store.read()
+    mt, mg = tables(spark, SF_SMALL)
+    assert bag(st) == bag(mt) and bag(sg) == bag(mg)
+    for fn in (lambda t, g: A.d3_genre_pairs(g), lambda t, g: A.d2_rising_genres(g, t, (1996, 1998), (1999, 2001), 1),
+               lambda t, g: A.h3_director_breadth(t, g, min_titles=1), lambda t, g: A.j1_yearly_summary(t),
+               lambda t, g: A.e3_non_us_share(t, "C1"), lambda t, g: A.f1_ratings(t)):
+        assert bag(fn(st, sg)) == bag(fn(mt, mg))
+    # second session-independent read: tables are declared again from the files
+    fresh = CatalogStore(spark, f"file://{tmp_path}/s")
+    for kind in ("titles", "genres"):
+        spark.sql(f"DROP TABLE IF EXISTS {fresh.table_name(kind, fresh.latest())}")
+    ft, fg = fresh.read()
+    assert bag(ft) == bag(mt)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = ft.join(fg, "show_id").groupBy("show_id", "genre").count()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_key_batch_switches_store_to_plain_layout(spark, make_raw, tmp_path):
+    hot = [raw_row("h", date_added="January 3, 2021", listed_in="X")] * 30
+    hot += [raw_row(None, date_added="January 4, 2021")] * 5
+    hot += [raw_row(f"k{i}", date_added="January 5, 2021") for i in range(10)]
+    raw = make_raw(hot + [raw_row("a", date_added="February 1, 2021")])
+    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=4, max_key_rows=10)
+    run_month(spark, raw, store, 2021, 1)
+    v1 = store.latest()
+    assert store.bucket_count(v1) is None                      # hot key -> plain layout
+    run_month(spark, raw, store, 2021, 2)                      # stays plain
+    assert store.bucket_count(store.latest()) is None
+    t_loop, g_loop = loop(spark, raw, [(2021, 1), (2021, 2)])
+    assert bag(store.read()[0]) == bag(t_loop) and bag(store.read()[1]) == bag(g_loop)
+    v = store.rebucket()
+    assert store.bucket_count(v) == 4
+    assert bag(store.read()[0]) == bag(t_loop)
+
+
+def test_oversized_bucket_is_not_declared_bucketed(spark, moving_raw, tmp_path):
+    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=4, max_bucket_bytes=1)
+    run_month(spark, moving_raw, store, 2021, 1)
+    assert store.bucket_count(store.latest()) is None
+    t_loop, _ = loop(spark, moving_raw, [(2021, 1)])
+    assert bag(store.read()[0]) == bag(t_loop)
