@@ -25,8 +25,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     input the scan already has far more splits than cores and this is a
     no-op, so it never adds a shuffle at scale.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. no RDD API on a Connect session: leave as is
+        return df
     return df.repartition(want) if have < want else df
 
 
