@@ -339,54 +339,56 @@ def yearly_summary(titles: DataFrame, key: str = KEY, date_col: str = "date_adde
     distinct countries, mean acquisition lag.
 
     Default (``dedup=False``) keeps the original view's semantics: titles are
-    LEFT JOINed to their exploded countries before averaging, so a title with
-    n countries weighs n in both means. Instead of materialising that join,
-    each title row gets the weight ``max(1, country rows of its key)`` from a
-    one-row-per-key aggregate, and the means are weighted sums - identical
-    results with no fan-out. Distinct countries per year come from
-    de-duplicated (key, year) x (key, country) pairs. ``dedup=True`` weighs
-    every title once.
+    LEFT JOINed to their exploded countries before averaging, so a title row
+    whose key has n country rows weighs n (at least 1) in both means.
+    ``dedup=True`` weighs every title row once.
+
+    Plan, without materialising that fan-out:
+
+    1. per (year, key): kind flags and unweighted partial sums / counts;
+    2. per key: number of country rows and the set of distinct countries
+       (bounded by the country vocabulary);
+    3. one left join of (1) and (2) on the key. The weight depends only on
+       the key, so weighted sums are ``w_key * partial sum``;
+    4. one aggregate per year over the joined rows with each key's country
+       set exploded: the first exploded row of a (year, key) carries its
+       counts and sums, every row its country for the distinct count.
+
+    All aggregates combine map-side; null keys form their own (year, key)
+    group, weigh 1 and contribute no countries and no distinct count, as in
+    the SQL join.
     """
-    y = year_of(date_col).alias("year_added")
-    lag = (year_of(date_col) - F.col(year_col))
-    base = titles.select(key, y, type_col, minutes_col, lag.alias("_lag"))
-    countries = explode_list(titles, list_col, "_country", key=key, exclude=exclude)
-    if dedup:
-        weighted = base.withColumn("_w", F.lit(1))
-    else:
-        country_rows = (countries.where(F.col(key).isNotNull())
-                                 .groupBy(key).agg(_n().alias("_n")))
-        weighted = (base.join(country_rows, key, "left")
-                        .withColumn("_w", F.greatest(F.coalesce(F.col("_n"), F.lit(0)), F.lit(1))))
-
+    y = year_of(date_col)
     kind = F.col(type_col)
-    # level 1: one row per (year, key) - kind flags and weighted partial sums
-    per_key = weighted.groupBy("year_added", key).agg(
+    lag = y - F.col(year_col)
+    per_year_key = titles.groupBy(y.alias("year_added"), F.col(key)).agg(
         F.max((kind == F.lit(movie)).cast("int")).alias("_mv"),
         F.max((kind == F.lit(show)).cast("int")).alias("_sh"),
-        F.sum(F.col("_w") * F.col(minutes_col)).alias("_sm"),
-        F.sum(F.when(F.col(minutes_col).isNotNull(), F.col("_w"))).alias("_cm"),
-        F.sum(F.col("_w") * F.col("_lag")).alias("_sl"),
-        F.sum(F.when(F.col("_lag").isNotNull(), F.col("_w"))).alias("_cl"),
+        F.sum(minutes_col).alias("_sm"), F.count(minutes_col).alias("_cm"),
+        F.sum(lag).alias("_sl"), F.count(lag).alias("_cl"),
     )
-    has_key = F.col(key).isNotNull()
-    # level 2: per year - distinct keys (null keys not counted) and weighted means
-    stats = per_key.groupBy("year_added").agg(
+    per_key = (explode_list(titles, list_col, "_country", key=key, exclude=exclude)
+               .where(F.col(key).isNotNull())
+               .groupBy(key).agg(_n().alias("_n"), F.collect_set("_country").alias("_countries")))
+    joined = per_year_key.join(per_key, key, "left")
+    # one row per (year, key, country); only position 0 carries the sums
+    rows = joined.select("*", F.posexplode_outer("_countries").alias("_pos", "_country"))
+    first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
+    w = F.lit(1) if dedup else F.greatest(F.coalesce(F.col("_n"), F.lit(0)), F.lit(1))
+    has_key = first & F.col(key).isNotNull()
+
+    def wmean(total: str, count: str) -> Column:
+        num = F.sum(F.when(first, w * F.col(total)))
+        den = F.sum(F.when(first, w * F.col(count)))
+        return F.round(safe_ratio(num, den), digits)
+
+    return rows.groupBy("year_added").agg(
         count_where(has_key).alias("total_titles"),
         count_where(has_key & (F.col("_mv") == 1)).alias("movies"),
         count_where(has_key & (F.col("_sh") == 1)).alias("tv_shows"),
-        F.round(safe_ratio(F.sum("_sm"), F.sum("_cm")), digits).alias("avg_movie_minutes"),
-        F.round(safe_ratio(F.sum("_sl"), F.sum("_cl")), digits).alias("avg_acquisition_lag_years"),
-    )
-    key_years = base.where(F.col(key).isNotNull()).select(key, "year_added").distinct()
-    key_countries = countries.where(F.col(key).isNotNull()).select(key, "_country").distinct()
-    per_year = (key_years.join(key_countries, key)
-                         .groupBy("year_added").agg(F.count_distinct("_country").alias("distinct_countries")))
-    out = stats.join(per_year, stats["year_added"].eqNullSafe(per_year["year_added"]), "left")
-    return out.select(
-        stats["year_added"], "total_titles", "movies", "tv_shows", "avg_movie_minutes",
-        F.coalesce(per_year["distinct_countries"], F.lit(0)).alias("distinct_countries"),
-        "avg_acquisition_lag_years",
+        wmean("_sm", "_cm").alias("avg_movie_minutes"),
+        F.count_distinct("_country").alias("distinct_countries"),
+        wmean("_sl", "_cl").alias("avg_acquisition_lag_years"),
     )
 
 
