@@ -304,20 +304,25 @@ def breadth_topk(df: DataFrame, list_col: str, bridge: DataFrame, key: str = KEY
     least one bridge row, and distinct tags over those keys; keep tokens with
     at least ``min_titles`` keys, top k by breadth then keys.
 
-    Only distinct counts are asked for, so both sides are de-duplicated first:
-    (key, token) pairs and one row per key carrying its distinct tag set
-    (bounded by the tag vocabulary). The join is then one-to-one per
-    (key, token); the exploded (token, key, tag) rows feed two partial
-    distinct aggregates.
+    Only distinct counts are asked for, so both sides are reduced to one row
+    per key first: the key's distinct tokens and its distinct tags (each
+    bounded by what that key lists). The two per-key aggregates are
+    co-partitioned, so the inner join adds no shuffle; a key with only null
+    tags still counts as a title, as in the SQL join. Exploding both sets
+    gives one row per (token, key, tag); the first tag row of each
+    (token, key) counts the title, every row feeds the distinct tag count.
     """
     people = (explode_list(df, list_col, out, key=key, sep=sep, exclude=exclude)
-              .where(F.col(key).isNotNull()).distinct())
+              .where(F.col(key).isNotNull())
+              .groupBy(key).agg(F.collect_set(out).alias("_people")))
     tagsets = (bridge.where(F.col(key).isNotNull())
                      .groupBy(key).agg(F.collect_set(tag).alias("_tags")))
-    joined = people.join(tagsets, key)
-    rows = joined.select(out, key, F.explode_outer("_tags").alias("_tag"))
+    rows = (people.join(tagsets, key)
+                  .select(F.explode("_people").alias(out), "_tags")
+                  .select(out, F.posexplode_outer("_tags").alias("_pos", "_tag")))
     agg = (rows.groupBy(out)
-               .agg(F.count_distinct(key).alias(titles_out), F.count_distinct("_tag").alias(breadth_out))
+               .agg(count_where(F.coalesce(F.col("_pos"), F.lit(0)) == 0).alias(titles_out),
+                    F.count_distinct("_tag").alias(breadth_out))
                .where(F.col(titles_out) >= min_titles))
     return topk(agg, k, F.col(breadth_out).desc(), F.col(titles_out).desc(), F.col(out).asc_nulls_last())
 
