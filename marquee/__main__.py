@@ -5,6 +5,7 @@
     python -m marquee stream    --source DIR --store DIR [--checkpoint DIR]
     python -m marquee report    --store DIR --name REPORT [--out DIR]
     python -m marquee export    --store DIR --out DIR
+    python -m marquee prune     --store DIR [--keep N]
 
 Cluster settings (master, executors, spark.checkpoint.dir) come from
 spark-submit / spark-defaults; nothing here overrides them.
@@ -82,6 +83,9 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--store", required=True)
     p.add_argument("--name", required=True, choices=sorted(REPORTS))
     p.add_argument("--out", help="write CSV here instead of printing")
+    p = sub.add_parser("prune")
+    p.add_argument("--store", required=True)
+    p.add_argument("--keep", type=int, default=2)
     p = sub.add_parser("export")
     p.add_argument("--store", required=True)
     p.add_argument("--out", required=True)
@@ -109,6 +113,8 @@ def main(argv: list[str] | None = None) -> int:
             write_csv(df, args.out, single_file=True)
         else:
             df.show(1000, truncate=False)
+    elif args.cmd == "prune":
+        print(f"dropped versions {store.prune(args.keep)}")
     elif args.cmd == "export":
         titles, genres = store.read()
         written = export_for_bi(spark, titles, genres, args.out,

@@ -96,6 +96,9 @@ class CatalogStore:
     def table_name(self, kind: str, v: int) -> str:
         return f"marquee_{self._id}_{kind}_v{v:06d}"
 
+    def drop_stage(self, name: str) -> None:
+        self._fs.delete(self._Path(self.stage_path(name)), True)
+
     def versions(self, complete_only: bool = True) -> list[int]:
         p = self._Path(self.root)
         if not self._fs.exists(p):

@@ -31,8 +31,11 @@ def load_batch(store: CatalogStore, batch: DataFrame, batch_id: int, query_id: s
     if store.latest_has_tag(tag):
         return None
     spark = batch.sparkSession
-    tagged = store_stage(spark, store, tag_months(batch), f"stream={tag}")
-    return store.publish_replace(*staged_from_tagged(tagged), tag=tag)
+    stage = f"stream={tag}"
+    tagged = store_stage(spark, store, tag_months(batch), stage)
+    v = store.publish_replace(*staged_from_tagged(tagged), tag=tag)
+    store.drop_stage(stage)   # published: the batch stage is no longer needed
+    return v
 
 
 def store_stage(spark: SparkSession, store: CatalogStore, df: DataFrame, name: str) -> DataFrame:
