@@ -213,13 +213,12 @@ class CatalogStore:
         return df.repartition(self.buckets, KEY)
 
     def _hottest_key_rows(self, *batches: DataFrame) -> int:
-        """Rows of the most frequent key (null included) in the batch tables:
-        one partial aggregate per (small) batch table."""
-        top = 0
-        for b in batches:
-            r = b.groupBy(KEY).count().agg(F.max("count").alias("m")).collect()[0]["m"]
-            top = max(top, r or 0)
-        return top
+        """Rows of the most frequent key (null included) in any of the batch
+        tables, in one job: partial aggregates per (table, key), then a max."""
+        keyed = reduce(DataFrame.unionByName,
+                       [b.select(F.lit(i).alias("_t"), F.col(KEY)) for i, b in enumerate(batches)])
+        r = keyed.groupBy("_t", KEY).count().agg(F.max("count").alias("m")).collect()[0]["m"]
+        return r or 0
 
     def publish(self, titles: DataFrame, genres: DataFrame, tag: str | None = None) -> int:
         """Write whole tables as the next version (plain layout), then its markers."""
