@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.functions import in_month, month_bounds, parse_added_date
+from marquee.functions import in_month, month_bounds, parse_added_date, strip_ws
 from marquee.schema import KEY, MONTH_COL
 
 PARSED = "_added"
@@ -33,6 +33,18 @@ def undated_rows(raw: DataFrame, date_col: str = "date_added") -> DataFrame:
     return raw.where(parse_added_date(date_col).isNull())
 
 
+def undated_summary(raw: DataFrame, date_col: str = "date_added") -> DataFrame:
+    """X3 report: undated rows counted by reason - missing (null), blank
+    (whitespace only) or unparseable text."""
+    d = F.col(date_col)
+    reason = (F.when(d.isNull(), F.lit("missing"))
+               .when(strip_ws(d) == "", F.lit("blank"))
+               .otherwise(F.lit("unparseable")))
+    return (undated_rows(raw, date_col)
+            .groupBy(reason.alias("reason"))
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
 def tag_months(raw: DataFrame, first: tuple[int, int] | None = None,
                last: tuple[int, int] | None = None, date_col: str = "date_added") -> DataFrame:
     """X4 (part 1): keep rows dated within [first, last] months (either bound

@@ -23,7 +23,7 @@ from marquee.operators import reports as R
 from marquee.operators.clean import (
     clean_titles, explode_genres, fill_defaults, repair_shift, split_duration,
 )
-from marquee.operators.ingest import month_slice, undated_rows
+from marquee.operators.ingest import month_slice, undated_rows, undated_summary
 from marquee.operators.upsert import upsert_catalog
 from marquee.plans import analyses as A
 from marquee.plans.jobs import apply_month, backfill_tables
@@ -91,6 +91,10 @@ def q_undated_rows(spark, sf):
     return undated_rows(raw(spark, sf))
 
 
+def q_undated_summary(spark, sf):
+    return undated_summary(raw(spark, sf))
+
+
 def q_repair_shift(spark, sf):
     return raw(spark, sf).transform(repair_shift).select("show_id", "rating", "duration")
 
@@ -256,6 +260,7 @@ QUERIES: dict[str, Query] = {
     "parse_added_date": q_parse_added_date,
     "month_slice": q_month_slice,
     "undated_rows": q_undated_rows,
+    "undated_summary": q_undated_summary,
     "repair_shift": q_repair_shift,
     "fill_defaults": q_fill_defaults,
     "split_duration": q_split_duration,

@@ -119,3 +119,12 @@ def test_month_filter_is_pushed_to_parquet(spark, tmp_path):
     df = spark.read.parquet(p).where(in_month("date_added", 2020, 3))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(date_added" in plan and "LessThan(date_added" in plan
+
+
+def test_undated_summary_reasons(make_raw):
+    from marquee.operators.ingest import undated_summary
+    raw = make_raw([raw_row("a", date_added=None), raw_row("b", date_added=" \t"),
+                    raw_row("c", date_added="2021-09-01"), raw_row("d", date_added="Sept 1, 2021"),
+                    raw_row("e", date_added="May 1, 2021")])
+    got = {r.reason: r.rows for r in undated_summary(raw).collect()}
+    assert got == {"missing": 1, "blank": 1, "unparseable": 2}
