@@ -255,6 +255,30 @@ def q_priority_brand_breadth(spark, sf):
                           breadth_out="distinct_brand_count")
 
 
+def q_orders_overview(spark, sf):
+    o = read_table(spark, sf, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    return R.overview(o, "o_orderstatus",
+                      {"finished": "F", "open": "O"}, "o_orderdate", total_out="orders",
+                      first_out="first_order", last_out="last_order")
+
+
+def q_orders_quality(spark, sf):
+    return R.sentinel_share(read_table(spark, sf, "orders"), {
+        "pct_urgent": ("o_orderpriority", "1-URGENT"),
+        "pct_partial": ("o_orderstatus", "P"),
+    }, digits=2)
+
+
+def q_part_first_word(spark, sf):
+    return R.first_value_topk(read_table(spark, sf, "part"), "p_name", "first_word", sep=" ",
+                              count_out="part_count")
+
+
+def q_lineitem_monthly(spark, sf):
+    return R.count_by_period(read_table(spark, sf, "lineitem"), "l_shipdate", "month",
+                             period_out="ship_month", count_out="lines")
+
+
 QUERIES: dict[str, Query] = {
     # extract / clean / load
     "parse_added_date": q_parse_added_date,
@@ -311,5 +335,9 @@ QUERIES: dict[str, Query] = {
     "brand_growth": q_brand_growth,
     "part_name_words": q_part_name_words,
     "priority_brand_breadth": q_priority_brand_breadth,
+    "orders_overview": q_orders_overview,
+    "orders_quality": q_orders_quality,
+    "part_first_word": q_part_first_word,
+    "lineitem_monthly": q_lineitem_monthly,
 }
 
