@@ -25,7 +25,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marquee.functions import (
-    count_where, distinct_where, first_token, in_year_range, month_of, pct, quarter_label,
+    count_where, first_token, in_year_range, month_of, pct, quarter_label,
     safe_ratio, split_list, year_of,
 )
 from marquee.schema import KEY, LIST_SEPARATOR, TOP_K
