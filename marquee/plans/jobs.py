@@ -102,6 +102,19 @@ def read_stage(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def read_month_stage(spark: SparkSession, root: str, year: int, month: int, schema) -> DataFrame:
+    """S2 + S3: one month of a stage folder written by ``write_month_stage``.
+
+    Reads the stage root with a predicate on the partition column, so the
+    scan is pruned to that month's directory (``PartitionFilters`` in the
+    plan). A month that was never staged is an error, not an empty batch.
+    """
+    label = f"{year:04d}-{month:02d}"
+    read_stage(spark, f"{root.rstrip('/')}/{MONTH_COL}={label}", schema)   # existence check
+    return (spark.read.schema(schema).option("basePath", root).parquet(root)
+            .where(F.col(MONTH_COL) == F.lit(label)).drop(MONTH_COL))
+
+
 def write_month_stage(df: DataFrame, root: str, year: int, month: int) -> str:
     """Write one month's stage data to its own partition directory.
 

@@ -208,3 +208,19 @@ def test_oversized_bucket_is_not_declared_bucketed(spark, moving_raw, tmp_path):
     assert store.bucket_count(store.latest()) is None
     t_loop, _ = loop(spark, moving_raw, [(2021, 1)])
     assert bag(store.read()[0]) == bag(t_loop)
+
+
+def test_month_stage_read_is_partition_pruned(spark, moving_raw, tmp_path):
+    from pyspark.sql import types as T
+    from marquee.plans.jobs import read_month_stage
+    from marquee.operators.ingest import month_slice
+    root = f"file://{tmp_path}/stage"
+    for m in (1, 2, 3):
+        write_month_stage(month_slice(moving_raw, 2021, m), root, 2021, m)
+    schema = T.StructType(moving_raw.schema.fields + [T.StructField("added_month", T.StringType())])
+    feb = read_month_stage(spark, root, 2021, 2, schema)
+    assert sorted(r.show_id for r in feb.collect()) == ["c", "c"]
+    plan = feb._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(added_month" in plan and "2021-02" in plan
+    with pytest.raises(MissingInputError):
+        read_month_stage(spark, root, 2021, 7, schema)
