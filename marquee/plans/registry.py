@@ -48,20 +48,23 @@ BIND = {
     "upsert_staged_from": dt.date(1998, 7, 1),
     "brand_base": (1995, 1997),
     "brand_recent": (1998, 2000),
+    "hot_every": 3,            # skewed binding: every 3rd order shares one id
 }
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def raw(spark: SparkSession, sf: str) -> DataFrame:
+def raw(spark: SparkSession, sf: str, hot: bool = False) -> DataFrame:
     """Raw catalog rows; the orders scan is spread over the cores first
-    because every row then goes through string building and date parsing."""
-    return catalog_from_orders(read_table(spark, sf, "orders", spread_out=True))
+    because every row then goes through string building and date parsing.
+    ``hot=True``: the skewed binding (a third of all rows share one id)."""
+    return catalog_from_orders(read_table(spark, sf, "orders", spread_out=True),
+                               BIND["hot_every"] if hot else None)
 
 
-def tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+def tables(spark: SparkSession, sf: str, hot: bool = False) -> tuple[DataFrame, DataFrame]:
     """Cleaned (titles, genres) of every dated raw row: the union of all monthly slices."""
-    r = raw(spark, sf)
+    r = raw(spark, sf, hot)
     return clean_titles(r.where(parse_added_date("date_added").isNotNull()))
 
 
@@ -121,9 +124,9 @@ def q_clean_genres(spark, sf):
     return _genres(spark, sf)
 
 
-def _backfill(spark, sf):
+def _backfill(spark, sf, hot=False):
     t0, g0 = _empty(spark)
-    return backfill_tables(t0, g0, raw(spark, sf), BIND["backfill_first"], BIND["backfill_last"])
+    return backfill_tables(t0, g0, raw(spark, sf, hot), BIND["backfill_first"], BIND["backfill_last"])
 
 
 def q_backfill_months(spark, sf):
@@ -134,8 +137,8 @@ def q_backfill_genres(spark, sf):
     return _backfill(spark, sf)[1]
 
 
-def _upsert(spark, sf):
-    r = raw(spark, sf)
+def _upsert(spark, sf, hot=False):
+    r = raw(spark, sf, hot)
     d = parse_added_date("date_added")
     tgt_t, tgt_g = clean_titles(r.where(d < F.lit(BIND["upsert_target_before"])))
     stg_t, stg_g = clean_titles(r.where(d >= F.lit(BIND["upsert_staged_from"])))
@@ -183,16 +186,28 @@ def _g(fn, *args, **kw) -> Query:
     return lambda spark, sf: fn(_genres(spark, sf), *args, **kw)
 
 
-def q_d2(spark, sf):
-    t, g = tables(spark, sf)
+def q_d2(spark, sf, hot=False):
+    t, g = tables(spark, sf, hot)
     return A.d2_rising_genres(g, t, BIND["d2_base"], BIND["d2_recent"], BIND["d2_min_base"])
 
 
-def q_h3(spark, sf):
-    t, g = tables(spark, sf)
+def q_h3(spark, sf, hot=False):
+    t, g = tables(spark, sf, hot)
     return A.h3_director_breadth(t, g)
 
 
+# ---------------------------------------------------------------- skewed binding
+SKEWED: dict[str, Query] = {
+    "skew_backfill_months": lambda spark, sf: _backfill(spark, sf, hot=True)[0],
+    "skew_upsert_titles": lambda spark, sf: _upsert(spark, sf, hot=True)[0],
+    "skew_d2_rising_genres": lambda spark, sf: q_d2(spark, sf, hot=True),
+    "skew_d3_genre_pairs": lambda spark, sf: A.d3_genre_pairs(tables(spark, sf, True)[1]),
+    "skew_e3_non_us_share": lambda spark, sf: A.e3_non_us_share(tables(spark, sf, True)[0], BIND["e3_home"]),
+    "skew_h3_director_breadth": lambda spark, sf: q_h3(spark, sf, hot=True),
+    "skew_j1_yearly_summary": lambda spark, sf: A.j1_yearly_summary(tables(spark, sf, True)[0]),
+}
+
+
 # ---------------------------------------------------------------- natural tables
 def _brand_bridge(spark, sf) -> DataFrame:
     li = read_table(spark, sf, "lineitem", spread_out=True).select("l_orderkey", "l_partkey")
@@ -339,5 +354,7 @@ QUERIES: dict[str, Query] = {
     "orders_quality": q_orders_quality,
     "part_first_word": q_part_first_word,
     "lineitem_monthly": q_lineitem_monthly,
+    # a third of all rows on one key
+    **SKEWED,
 }
 

@@ -37,8 +37,12 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def catalog_from_orders(orders: DataFrame) -> DataFrame:
-    """Raw catalog rows derived from ``orders`` (one row per order)."""
+def catalog_from_orders(orders: DataFrame, hot_every: int | None = None) -> DataFrame:
+    """Raw catalog rows derived from ``orders`` (one row per order).
+
+    ``hot_every=n`` gives every n-th order the same id ``s0`` - a hot key
+    holding 1/n of all rows (and of their genre rows), to exercise skew.
+    """
     k = F.col("o_orderkey")
     cust = F.col("o_custkey")
     d = F.col("o_orderdate")
@@ -70,8 +74,11 @@ def catalog_from_orders(orders: DataFrame) -> DataFrame:
                 .when(cust % 3 == 0, F.lit("1 Season"))
                 .otherwise(F.concat(_s(cust % 9 + 2), F.lit(" Seasons"))))
     listed_in = F.concat(F.lit("G"), _s(k % 6), F.lit(", G"), _s(cust % 5 + 6))
+    show_id = F.concat(F.lit("s"), _s(k))
+    if hot_every:
+        show_id = F.when(k % hot_every == 0, F.lit("s0")).otherwise(show_id)
     out = orders.select(
-        F.concat(F.lit("s"), _s(k)).alias("show_id"),
+        show_id.alias("show_id"),
         kind.alias("type"),
         F.concat(F.lit("Title "), _s(k)).alias("title"),
         director.alias("director"),
