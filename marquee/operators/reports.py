@@ -9,11 +9,13 @@ catalog's. Scale notes:
   shuffle;
 * windows (running totals, LAG) run only on already aggregated rows - one
   row per period - never on raw rows;
-* shares of a total use a scalar subquery (``DataFrame.scalar``) computed by
-  its own distributed aggregate, not a window over the whole table;
+* shares of a total use a scalar subquery (``DataFrame.scalar``) over the
+  grouped frame, which AQE serves from the same shuffle, not a window over
+  the whole table;
 * joins between a bridge and titles are made on pre-aggregated sides (one row
   per key, or per (key, value)), so a key repeated many times never fans out
-  into a product of its rows;
+  into a product of its rows; per-key sets (tags, people, countries) are
+  bounded by what that key lists, not by its row count;
 * tag pairs are generated once per distinct tag combination, weighted by how
   many keys share it, instead of once per key.
 """
