@@ -86,3 +86,26 @@ def test_registered_query_matches_oracle_sf0001(spark, duck_small, name):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
+
+
+def test_yearly_summary_csv_matches_golden_format(spark, tmp_path):
+    """Header and number formatting of the exported summary follow the original
+    export (fixed output contract), e.g. a year row '2008,2,1,1,81.0,1,1.5'."""
+    rows = [("a", "Movie", "t", "d", "c", "C1", dt.date(2008, 3, 1), 2007, "R", 81.0, None),
+            ("b", "TV Show", "t", "d", "c", "C1", dt.date(2008, 5, 1), 2006, "R", None, 1.0)]
+    summary = A.j1_yearly_summary(spark.createDataFrame(rows, TITLES_SCHEMA))
+    p = write_csv(summary, f"file://{tmp_path}/ys.csv", single_file=True)
+    part = [f for f in os.listdir(tmp_path / "ys.csv") if f.startswith("part-")][0]
+    lines = (tmp_path / "ys.csv" / part).read_text().splitlines()
+    assert lines[0] == ("year_added,total_titles,movies,tv_shows,avg_movie_minutes,"
+                        "distinct_countries,avg_acquisition_lag_years")
+    assert lines[1] == "2008,2,1,1,81.0,1,1.5"
+    assert p.endswith("ys.csv")
+
+
+def test_yearly_summary_invariants_sf001(spark):
+    rows = E.queries()["j1_yearly_summary"](spark, "/root/testdata/sf0.01").collect()
+    years = [r.year_added for r in rows]
+    assert len(years) == len(set(years))
+    for r in rows:
+        assert r.movies + r.tv_shows <= r.total_titles
