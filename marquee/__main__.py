@@ -20,6 +20,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from marquee.plans import analyses as A
+from marquee.plans.analyses import REPORTS
 from marquee.plans.jobs import backfill, run_month
 from marquee.session import ensure_checkpoint_dir
 from marquee.sources.export import export_for_bi, write_csv
@@ -27,35 +28,6 @@ from marquee.sources.raw import read_raw_csv
 from marquee.sources.store import CatalogStore
 from marquee.streaming import catalog_stream
 
-REPORTS = {
-    "a1_overview": lambda t, g: A.a1_overview(t),
-    "a2_quality": lambda t, g: A.a2_quality(t),
-    "b1_yearly": lambda t, g: A.b1_yearly(t),
-    "b2_growth": lambda t, g: A.b2_growth(t),
-    "b3_tv_share": lambda t, g: A.b3_tv_share(t),
-    "c1_minutes": lambda t, g: A.c1_minutes(t),
-    "c2_minutes_by_year": lambda t, g: A.c2_minutes_by_year(t),
-    "c3_series_length": lambda t, g: A.c3_series_length(t),
-    "d1_genres": lambda t, g: A.d1_genres(g),
-    "d2_rising_genres": lambda t, g: A.d2_rising_genres(g, t),
-    "d3_genre_pairs": lambda t, g: A.d3_genre_pairs(g),
-    "e1_primary_country": lambda t, g: A.e1_primary_country(t),
-    "e2_countries": lambda t, g: A.e2_countries(t),
-    "e3_non_us_share": lambda t, g: A.e3_non_us_share(t),
-    "f1_ratings": lambda t, g: A.f1_ratings(t),
-    "f2_audience": lambda t, g: A.f2_audience(t),
-    "g1_acquisition_lag": lambda t, g: A.g1_acquisition_lag(t),
-    "g2_freshness": lambda t, g: A.g2_freshness(t),
-    "h1_directors": lambda t, g: A.h1_directors(t),
-    "h2_actors": lambda t, g: A.h2_actors(t),
-    "h3_director_breadth": lambda t, g: A.h3_director_breadth(t, g),
-    "i1_monthly": lambda t, g: A.i1_monthly(t),
-    "i2_quarters": lambda t, g: A.i2_quarters(t),
-    "j1_yearly_summary": lambda t, g: A.j1_yearly_summary(t),
-    "j2_latest_years": lambda t, g: A.j2_latest_years(t),
-}
-
-
 def _month(s: str) -> tuple[int, int]:
     y, m = s.split("-")
     return int(y), int(m)

@@ -196,6 +196,31 @@ def register_yearly_summary(titles: DataFrame, name: str = "yearly_summary") ->
     return view
 
 
-__all__ = [n for n in dir() if n[:2] in {"a1", "a2", "b1", "b2", "b3", "c1", "c2", "c3", "d1", "d2",
-                                         "d3", "e1", "e2", "e3", "f1", "f2", "g1", "g2", "h1", "h2",
-                                         "h3", "i1", "i2", "j1", "j2"}]
+# name -> fn(titles, genres) with the report pack's own parameters
+REPORTS = {
+    "a1_overview": lambda t, g: a1_overview(t),
+    "a2_quality": lambda t, g: a2_quality(t),
+    "b1_yearly": lambda t, g: b1_yearly(t),
+    "b2_growth": lambda t, g: b2_growth(t),
+    "b3_tv_share": lambda t, g: b3_tv_share(t),
+    "c1_minutes": lambda t, g: c1_minutes(t),
+    "c2_minutes_by_year": lambda t, g: c2_minutes_by_year(t),
+    "c3_series_length": lambda t, g: c3_series_length(t),
+    "d1_genres": lambda t, g: d1_genres(g),
+    "d2_rising_genres": lambda t, g: d2_rising_genres(g, t),
+    "d3_genre_pairs": lambda t, g: d3_genre_pairs(g),
+    "e1_primary_country": lambda t, g: e1_primary_country(t),
+    "e2_countries": lambda t, g: e2_countries(t),
+    "e3_non_us_share": lambda t, g: e3_non_us_share(t),
+    "f1_ratings": lambda t, g: f1_ratings(t),
+    "f2_audience": lambda t, g: f2_audience(t),
+    "g1_acquisition_lag": lambda t, g: g1_acquisition_lag(t),
+    "g2_freshness": lambda t, g: g2_freshness(t),
+    "h1_directors": lambda t, g: h1_directors(t),
+    "h2_actors": lambda t, g: h2_actors(t),
+    "h3_director_breadth": lambda t, g: h3_director_breadth(t, g),
+    "i1_monthly": lambda t, g: i1_monthly(t),
+    "i2_quarters": lambda t, g: i2_quarters(t),
+    "j1_yearly_summary": lambda t, g: j1_yearly_summary(t),
+    "j2_latest_years": lambda t, g: j2_latest_years(t),
+}
