@@ -49,6 +49,7 @@ BIND = {
     "brand_base": (1995, 1997),
     "brand_recent": (1998, 2000),
     "hot_every": 3,            # skewed binding: every 3rd order shares one id
+    "brand_value": "Brand#11",
 }
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -294,6 +295,16 @@ def q_lineitem_monthly(spark, sf):
                              period_out="ship_month", count_out="lines")
 
 
+def q_brand_share_by_year(spark, sf):
+    li = read_table(spark, sf, "lineitem", spread_out=True).select("l_orderkey", "l_partkey", "l_shipdate")
+    part = read_table(spark, sf, "part").select("p_partkey", "p_brand")
+    lines = li.join(part, li["l_partkey"] == part["p_partkey"]).select("l_orderkey", "l_shipdate", "p_brand")
+    return R.distinct_share_by_period(lines, "p_brand", BIND["brand_value"], key="l_orderkey",
+                                      date_col="l_shipdate", period_out="ship_year",
+                                      match_out="orders_with_brand", other_out="orders_with_other",
+                                      share_out="other_share_pct")
+
+
 QUERIES: dict[str, Query] = {
     # extract / clean / load
     "parse_added_date": q_parse_added_date,
@@ -354,6 +365,7 @@ QUERIES: dict[str, Query] = {
     "orders_quality": q_orders_quality,
     "part_first_word": q_part_first_word,
     "lineitem_monthly": q_lineitem_monthly,
+    "brand_share_by_year": q_brand_share_by_year,
     # a third of all rows on one key
     **SKEWED,
 }
