@@ -306,21 +306,20 @@ def breadth_topk(df: DataFrame, list_col: str, bridge: DataFrame, key: str = KEY
     least one bridge row, and distinct tags over those keys; keep tokens with
     at least ``min_titles`` keys, top k by breadth then keys.
 
-    Only distinct counts are asked for, so both sides are reduced to one row
-    per key first: the key's distinct tokens and its distinct tags (each
-    bounded by what that key lists). The two per-key aggregates are
-    co-partitioned, so the inner join adds no shuffle; a key with only null
-    tags still counts as a title, as in the SQL join. Exploding both sets
-    gives one row per (token, key, tag); the first tag row of each
-    (token, key) counts the title, every row feeds the distinct tag count.
+    Only distinct counts are asked for, so both sides are de-duplicated
+    first: distinct (key, token) pairs, and one row per key carrying its set
+    of distinct tags (bounded by the tag vocabulary). The join is then one
+    tag set per (key, token) pair - no fan-out, and a key with many tokens
+    is a skewed partition AQE can split, not a collected group. A key whose
+    tags are all null still counts as a title, as in the SQL join. Exploding
+    the tag set gives one row per (token, key, tag); the first of them counts
+    the title, every row feeds the distinct tag count, in one aggregate.
     """
     people = (explode_list(df, list_col, out, key=key, sep=sep, exclude=exclude)
-              .where(F.col(key).isNotNull())
-              .groupBy(key).agg(F.collect_set(out).alias("_people")))
+              .where(F.col(key).isNotNull()).distinct())
     tagsets = (bridge.where(F.col(key).isNotNull())
                      .groupBy(key).agg(F.collect_set(tag).alias("_tags")))
     rows = (people.join(tagsets, key)
-                  .select(F.explode("_people").alias(out), "_tags")
                   .select(out, F.posexplode_outer("_tags").alias("_pos", "_tag")))
     agg = (rows.groupBy(out)
                .agg(count_where(F.coalesce(F.col("_pos"), F.lit(0)) == 0).alias(titles_out),
