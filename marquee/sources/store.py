@@ -225,7 +225,7 @@ class CatalogStore:
         return self._write_version([titles], [genres], tag, bucketed=False)
 
     def publish_replace(self, staged_titles: DataFrame, staged_genres: DataFrame,
-                        tag: str | None = None) -> int:
+                        tag: str | None = None, rows_bound: int | None = None) -> int:
         """L3 against the latest version: drop every row whose key is in the
         staged titles (both tables), add the staged rows, publish.
 
@@ -239,11 +239,14 @@ class CatalogStore:
         key set if its measured size is small and otherwise splits skewed
         partitions of the sort-merge join. A store that turned plain stays
         plain; ``rebucket`` rewrites it once the skew is gone.
-        Null keys never match and are kept.
+        Null keys never match and are kept. ``rows_bound`` (the larger of the
+        batch's title and genre row counts, if the caller knows it) skips the
+        hot-key aggregate when the whole batch is within ``max_key_rows``.
         """
         v = self.latest()
+        small = rows_bound is not None and rows_bound <= self.max_key_rows
         bucketed = ((v is None or self.bucket_count(v) is not None)
-                    and self._hottest_key_rows(staged_titles, staged_genres) <= self.max_key_rows)
+                    and (small or self._hottest_key_rows(staged_titles, staged_genres) <= self.max_key_rows))
         titles, genres = self.read()
         keys = staged_titles.select(KEY).where(F.col(KEY).isNotNull())
         keys = (keys.repartition(self.buckets, KEY) if bucketed else keys).distinct()
