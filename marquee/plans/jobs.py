@@ -90,7 +90,10 @@ def backfill(spark: SparkSession, raw: DataFrame, store: CatalogStore,
     """One-pass backfill of a month range against a versioned store."""
     name = f"backfill={first[0]:04d}-{first[1]:02d}_{last[0]:04d}-{last[1]:02d}"
     tagged = _stage(spark, tag_months(raw, first, last), store.stage_path(name))
-    return store.publish_replace(*staged_from_tagged(tagged))
+    n_titles, n_genres = batch_counts(tagged)
+    v = store.publish_replace(*staged_from_tagged(tagged), rows_bound=max(n_titles, n_genres))
+    log.info("[backfill] %s: %d staged rows, %d genre rows -> version %d", name, n_titles, n_genres, v)
+    return v
 
 
 def read_stage(spark: SparkSession, path: str, schema) -> DataFrame:
