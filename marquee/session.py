@@ -14,6 +14,10 @@ from pyspark.sql import SparkSession
 
 LOCAL_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
+    # broadcast only from measured sizes: no static (estimate-based) broadcast,
+    # AQE broadcasts a join side whose materialised shuffle is under 64 MB
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
