@@ -64,7 +64,8 @@ def main() -> None:
         counts = {k: len(re.findall(p, plan)) for k, p in PATTERNS.items()}
         rows.append((name, counts))
     keys = list(PATTERNS)
-    print(f"# Physical plans of the registered queries ({os.path.basename(sf)}, local[8], AQE on)\n")
+    print(f"# Physical plans of the registered queries ({os.path.basename(sf)}, local[8], AQE on, "
+          "broadcasts only from measured sizes)\n")
     print("Counts from the final adaptive plan of each query (initial plans stripped). "
           "`shuffles` counts Exchange operators (including the small round-robin spread of the "
           "single-row-group test files, a no-op on large inputs); `bad_joins` (cartesian or "
