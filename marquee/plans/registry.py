@@ -7,7 +7,8 @@ on ``orders`` / ``lineitem`` / ``part``.
 
 Binding parameters: the testdata's dates span 1995-2001, so the report
 literals that name years (C2, D2) and the home country (E3) are rebound
-below; the operators' defaults stay the report pack's own.
+below; the operators' defaults stay the report pack's own. The ``skew_*``
+queries use the same adapter with every third order on one id.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from marquee.schema import GENRES_SCHEMA, TITLES_SCHEMA, empty_frame
 from marquee.session import ensure_checkpoint_dir
 from marquee.sources.export import title_countries, write_csv
 from marquee.sources.store import CatalogStore
-from marquee.streaming import catalog_stream
 from marquee.sources.testdata import catalog_from_orders, read_table
+from marquee.streaming import catalog_stream
 
 # ---------------------------------------------------------------- binding
 BIND = {
