@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from marquee.schema import RAW_SCHEMA
 
@@ -15,20 +15,29 @@ PANDAS_NULL_TOKENS = ("NA", "N/A", "n/a", "NULL", "null", "None", "nan", "NaN",
 
 
 def read_raw_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool = False,
-                 null_tokens: Iterable[str] | None = None) -> DataFrame:
+                 null_tokens: Iterable[str] | None = None,
+                 corrupt_col: str | None = None) -> DataFrame:
     """Scan raw catalog CSV files with the fixed RAW schema.
 
     ``multi_line`` is needed only when quoted fields contain line breaks; it
     makes each file a single split, so at scale keep it off or keep files
     small and many. Only the empty field is null unless ``null_tokens`` is
     given (``PANDAS_NULL_TOKENS`` reproduces a pandas reader).
+    ``corrupt_col`` names an extra column that keeps the raw text of rows
+    Spark could not parse (e.g. a non-numeric release year), so they can be
+    counted and inspected instead of silently turning into nulls.
     """
-    reader = (spark.read.schema(RAW_SCHEMA)
+    schema = RAW_SCHEMA
+    if corrupt_col:
+        schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(corrupt_col, T.StringType())])
+    reader = (spark.read.schema(schema)
               .option("header", True)
               .option("multiLine", multi_line)
               .option("quote", '"')
               .option("escape", '"')
               .option("mode", "PERMISSIVE"))
+    if corrupt_col:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
     df = reader.csv(path)
     if null_tokens:
         df = apply_null_tokens(df, null_tokens)

@@ -40,3 +40,12 @@ def test_register_catalog_for_sql(spark, tmp_path):
     A.register_catalog(t, g)
     n = spark.sql("SELECT count(*) AS n FROM titles t JOIN genres g ON t.show_id = g.show_id").collect()[0].n
     assert n == 3
+
+
+def test_read_raw_csv_keeps_unparseable_rows(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text(CSV.replace(',2019,74 min,', ',20x9,74 min,'))
+    df = read_raw_csv(spark, f"file://{p}", multi_line=True, corrupt_col="_corrupt")
+    rows = {r.show_id: r for r in df.collect()}
+    assert rows["s2"].release_year is None and "20x9" in rows["s2"]["_corrupt"]
+    assert rows["s1"]["_corrupt"] is None
