@@ -11,6 +11,11 @@ later monthly run would. ``foreachBatch`` can replay a batch after a
 failure; each published version records its batch id, and a replayed batch
 that was already published is skipped, so null-key rows are not appended
 twice either.
+
+Cost: every micro-batch publishes a store version, i.e. rewrites both tables
+once (shuffle-free in the bucketed layout). Keep triggers coarse: with
+``availableNow`` and no ``max_files_per_trigger`` all files that arrived
+since the last run form one batch and one rewrite.
 """
 
 from __future__ import annotations
