@@ -32,6 +32,9 @@ PATTERNS = {
 }
 
 
+SHOWN_PLANS: dict[str, str] = {}
+
+
 def final_plan(df) -> str:
     """Run the query through its own QueryExecution and return the adaptive
     plan text with every "Initial Plan" block (main and subqueries) removed."""
@@ -51,6 +54,22 @@ def final_plan(df) -> str:
     return "\n".join(out)
 
 
+SHOWN = ("d3_genre_pairs", "skew_d3_genre_pairs", "j1_yearly_summary", "h3_director_breadth",
+         "upsert_titles")
+OPERATOR = re.compile(r"(Exchange|Join|Aggregate|Scan|Generate|Window|TakeOrdered|Union|Expand|"
+                      r"ReusedExchange|BroadcastExchange|Subquery|Project|Filter)")
+
+
+def trimmed(plan: str, width: int = 150) -> str:
+    """Operator lines of a plan, long expressions cut, adapter projections folded."""
+    out = []
+    for line in plan.splitlines():
+        if "== Final Plan ==" in line or not OPERATOR.search(line):
+            continue
+        out.append(line[:width] + (" ..." if len(line) > width else ""))
+    return "\n".join(out)
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, 8)
@@ -63,6 +82,8 @@ def main() -> None:
             continue
         counts = {k: len(re.findall(p, plan)) for k, p in PATTERNS.items()}
         rows.append((name, counts))
+        if name in SHOWN:
+            SHOWN_PLANS[name] = plan
     keys = list(PATTERNS)
     print(f"# Physical plans of the registered queries ({os.path.basename(sf)}, local[8], AQE on, "
           "broadcasts only from measured sizes)\n")
@@ -79,6 +100,9 @@ def main() -> None:
             print(f"| {name} | " + " | ".join(str(c[k]) for k in keys) + " |")
     bad = [n for n, c in rows if not isinstance(c, str) and (c["bad_joins"] or c["python"])]
     print(f"\nQueries with a cartesian / nested-loop join or a Python UDF: {len(bad)}" + (f" ({', '.join(bad)})" if bad else ""))
+    for name in SHOWN:
+        if name in SHOWN_PLANS:
+            print(f"\n## {name}\n\n```\n{trimmed(SHOWN_PLANS[name])}\n```")
     spark.stop()
 
 
