@@ -9,6 +9,7 @@ read the latest store version, apply, and publish the next version.
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,7 +17,7 @@ from marquee.functions import split_list
 from marquee.operators.clean import clean_titles
 from marquee.operators.ingest import latest_month_rows, month_slice, tag_months
 from marquee.operators.upsert import upsert_catalog
-from marquee.schema import MONTH_COL
+from marquee.schema import KEY, MONTH_COL
 from marquee.sources.store import CatalogStore, MissingInputError
 
 
@@ -69,20 +70,46 @@ def run_month(spark: SparkSession, raw: DataFrame, store: CatalogStore, year: in
     """X2 (staged) -> T7 -> L3 against a versioned store; returns the new version."""
     sliced = _stage(spark, month_slice(raw, year, month),
                     store.stage_path(f"month={year:04d}-{month:02d}"))
-    n_titles, n_genres = batch_counts(sliced)
-    v = store.publish_replace(*clean_titles(sliced), rows_bound=max(n_titles, n_genres))
+    stats = batch_stats(sliced)
+    v = _publish(store, clean_titles(sliced), stats)
     log.info("[load] %04d-%02d: titles %d rows, genres %d rows -> version %d",
-             year, month, n_titles, n_genres, v)
+             year, month, stats.titles, stats.genres, v)
     return v
 
 
-def batch_counts(raw_batch: DataFrame) -> tuple[int, int]:
-    """L4: titles and genre-bridge rows a raw batch yields, in one ungrouped
-    aggregate over the staged batch (a null list still yields one bridge row).
-    Also an upper bound on the rows of any one key in the batch."""
+@dataclass(frozen=True)
+class BatchStats:
+    """L4 counts of a raw batch, and the size bounds derived from them."""
+
+    titles: int      # title rows the batch yields (= its rows)
+    genres: int      # genre-bridge rows (a null list still yields one)
+    key_chars: int   # longest key, in characters
+
+    @property
+    def rows_bound(self) -> int:
+        """No key can have more rows than this in either table."""
+        return max(self.titles, self.genres)
+
+    @property
+    def keys_bytes_bound(self) -> int:
+        """Upper bound of the batch's key set as a broadcast hash relation:
+        every row a distinct key of maximal length (4 bytes per character in
+        UTF-8) plus 64 bytes of row and hash-table overhead."""
+        return self.titles * (4 * self.key_chars + 64)
+
+
+def batch_stats(raw_batch: DataFrame, key: str = KEY) -> BatchStats:
+    """One ungrouped aggregate over the staged batch."""
     genre_rows = F.greatest(F.size(split_list("listed_in")), F.lit(1))
-    r = raw_batch.agg(F.count(F.lit(1)).alias("t"), F.sum(genre_rows).alias("g")).collect()[0]
-    return int(r["t"]), int(r["g"] or 0)
+    r = raw_batch.agg(F.count(F.lit(1)).alias("t"), F.sum(genre_rows).alias("g"),
+                      F.max(F.length(key)).alias("k")).collect()[0]
+    return BatchStats(int(r["t"]), int(r["g"] or 0), int(r["k"] or 0))
+
+
+def _publish(store: CatalogStore, staged: tuple[DataFrame, DataFrame], stats: BatchStats,
+             tag: str | None = None) -> int:
+    return store.publish_replace(*staged, tag=tag, rows_bound=stats.rows_bound,
+                                 keys_bytes_bound=stats.keys_bytes_bound)
 
 
 def backfill(spark: SparkSession, raw: DataFrame, store: CatalogStore,
@@ -90,9 +117,10 @@ def backfill(spark: SparkSession, raw: DataFrame, store: CatalogStore,
     """One-pass backfill of a month range against a versioned store."""
     name = f"backfill={first[0]:04d}-{first[1]:02d}_{last[0]:04d}-{last[1]:02d}"
     tagged = _stage(spark, tag_months(raw, first, last), store.stage_path(name))
-    n_titles, n_genres = batch_counts(tagged)
-    v = store.publish_replace(*staged_from_tagged(tagged), rows_bound=max(n_titles, n_genres))
-    log.info("[backfill] %s: %d staged rows, %d genre rows -> version %d", name, n_titles, n_genres, v)
+    stats = batch_stats(tagged)
+    v = _publish(store, staged_from_tagged(tagged), stats)
+    log.info("[backfill] %s: %d staged rows, %d genre rows -> version %d",
+             name, stats.titles, stats.genres, v)
     return v
 
 

@@ -67,12 +67,14 @@ class MissingInputError(FileNotFoundError):
 
 class CatalogStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
-                 max_key_rows: int = 2_000_000, max_bucket_bytes: int = 2 << 30):
+                 max_key_rows: int = 2_000_000, max_bucket_bytes: int = 2 << 30,
+                 broadcast_keys_bytes: int = 64 << 20):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.max_key_rows = max_key_rows          # hottest batch key allowed in the bucketed layout
         self.max_bucket_bytes = max_bucket_bytes  # largest bucket a version may keep bucketed
+        self.broadcast_keys_bytes = broadcast_keys_bytes  # broadcast the batch keys below this bound
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -224,8 +226,24 @@ class CatalogStore:
         """Write whole tables as the next version (plain layout), then its markers."""
         return self._write_version([titles], [genres], tag, bucketed=False)
 
+    def batch_keys(self, staged_titles: DataFrame, bucketed: bool,
+                   keys_bytes_bound: int | None = None) -> DataFrame:
+        """Distinct non-null keys of the batch, shaped for the anti join.
+
+        With a proven size bound under ``broadcast_keys_bytes`` the key set is
+        broadcast, so the target is never shuffled for the join. Without one
+        (or above it) the keys are hash-partitioned - into the bucket layout
+        when the target is bucketed (no target shuffle either), otherwise for
+        a sort-merge anti join where AQE can split a hot partition.
+        """
+        keys = staged_titles.select(KEY).where(F.col(KEY).isNotNull())
+        if keys_bytes_bound is not None and keys_bytes_bound <= self.broadcast_keys_bytes:
+            return F.broadcast(keys.distinct())
+        return (keys.repartition(self.buckets, KEY) if bucketed else keys).distinct()
+
     def publish_replace(self, staged_titles: DataFrame, staged_genres: DataFrame,
-                        tag: str | None = None, rows_bound: int | None = None) -> int:
+                        tag: str | None = None, rows_bound: int | None = None,
+                        keys_bytes_bound: int | None = None) -> int:
         """L3 against the latest version: drop every row whose key is in the
         staged titles (both tables), add the staged rows, publish.
 
@@ -241,15 +259,16 @@ class CatalogStore:
         plain; ``rebucket`` rewrites it once the skew is gone.
         Null keys never match and are kept. ``rows_bound`` (the larger of the
         batch's title and genre row counts, if the caller knows it) skips the
-        hot-key aggregate when the whole batch is within ``max_key_rows``.
+        hot-key aggregate when the whole batch is within ``max_key_rows``;
+        ``keys_bytes_bound`` lets a provably small key set be broadcast
+        (``batch_keys``).
         """
         v = self.latest()
         small = rows_bound is not None and rows_bound <= self.max_key_rows
         bucketed = ((v is None or self.bucket_count(v) is not None)
                     and (small or self._hottest_key_rows(staged_titles, staged_genres) <= self.max_key_rows))
         titles, genres = self.read()
-        keys = staged_titles.select(KEY).where(F.col(KEY).isNotNull())
-        keys = (keys.repartition(self.buckets, KEY) if bucketed else keys).distinct()
+        keys = self.batch_keys(staged_titles, bucketed, keys_bytes_bound)
         kept_t = titles.join(keys, KEY, "left_anti")
         kept_g = genres.join(keys, KEY, "left_anti")
         add_t = self._by_key(staged_titles) if bucketed else staged_titles

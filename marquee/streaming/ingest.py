@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators.ingest import tag_months
-from marquee.plans.jobs import batch_counts, staged_from_tagged
+from marquee.plans.jobs import batch_stats, staged_from_tagged
 from marquee.schema import RAW_SCHEMA
 from marquee.session import checkpoint_dir
 from marquee.sources.store import CatalogStore
@@ -38,8 +38,9 @@ def load_batch(store: CatalogStore, batch: DataFrame, batch_id: int, query_id: s
     spark = batch.sparkSession
     stage = f"stream={tag}"
     tagged = store_stage(spark, store, tag_months(batch), stage)
-    bound = max(batch_counts(tagged))
-    v = store.publish_replace(*staged_from_tagged(tagged), tag=tag, rows_bound=bound)
+    stats = batch_stats(tagged)
+    v = store.publish_replace(*staged_from_tagged(tagged), tag=tag, rows_bound=stats.rows_bound,
+                              keys_bytes_bound=stats.keys_bytes_bound)
     store.drop_stage(stage)   # published: the batch stage is no longer needed
     return v
 

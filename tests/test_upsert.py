@@ -224,3 +224,23 @@ def test_month_stage_read_is_partition_pruned(spark, moving_raw, tmp_path):
     assert "PartitionFilters: [isnotnull(added_month" in plan and "2021-02" in plan
     with pytest.raises(MissingInputError):
         read_month_stage(spark, root, 2021, 7, schema)
+
+
+def test_small_key_set_is_broadcast_behind_its_bound(spark, moving_raw, tmp_path):
+    from marquee.plans.jobs import batch_stats
+    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=4)
+    stats = batch_stats(moving_raw)
+    assert stats.titles == 8 and stats.key_chars == 1
+    titles, _ = clean_titles(moving_raw)
+    target = titles   # a plain (unbucketed) target
+    small = store.batch_keys(titles, bucketed=False, keys_bytes_bound=stats.keys_bytes_bound)
+    big = store.batch_keys(titles, bucketed=False, keys_bytes_bound=10 ** 12)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan_small = target.join(small, "show_id", "left_anti")._jdf.queryExecution().executedPlan().toString()
+        plan_big = target.join(big, "show_id", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan_small and "SortMergeJoin" not in plan_small
+    assert "SortMergeJoin" in plan_big
