@@ -15,8 +15,18 @@ from pyspark.sql import DataFrame, functions as F
 from marquee.schema import KEY
 
 
-def batch_keys(staged_titles: DataFrame, key: str = KEY) -> DataFrame:
-    return staged_titles.select(key).where(F.col(key).isNotNull()).distinct()
+BROADCAST_KEYS_BYTES = 64 << 20
+
+
+def batch_keys(staged_titles: DataFrame, key: str = KEY,
+               keys_bytes_bound: int | None = None) -> DataFrame:
+    """Distinct non-null keys of a batch; broadcast when a proven size bound
+    (e.g. ``jobs.batch_stats(...).keys_bytes_bound``) is under 64 MB, so the
+    target is not shuffled for the anti join."""
+    keys = staged_titles.select(key).where(F.col(key).isNotNull()).distinct()
+    if keys_bytes_bound is not None and keys_bytes_bound <= BROADCAST_KEYS_BYTES:
+        return F.broadcast(keys)
+    return keys
 
 
 def replace_by_key(target: DataFrame, staged: DataFrame, keys: DataFrame | None = None,
@@ -33,8 +43,9 @@ def replace_by_key(target: DataFrame, staged: DataFrame, keys: DataFrame | None
 
 
 def upsert_catalog(titles: DataFrame, genres: DataFrame, staged_titles: DataFrame,
-                   staged_genres: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
+                   staged_genres: DataFrame, key: str = KEY,
+                   keys_bytes_bound: int | None = None) -> tuple[DataFrame, DataFrame]:
     """L3: replace by key in both tables, keys taken from the staged titles."""
-    keys = batch_keys(staged_titles, key)
+    keys = batch_keys(staged_titles, key, keys_bytes_bound)
     return (replace_by_key(titles, staged_titles, keys, key),
             replace_by_key(genres, staged_genres, keys, key))
