@@ -1,11 +1,12 @@
 """Keyed load (L1-L3): replace every target row whose key occurs in the batch,
 then append the batch. Both tables are keyed by the *titles* batch.
 
-Nothing is collected to the driver: the key set stays a DataFrame and the
-delete is a left-anti join (AQE turns it into a broadcast join only when the
-runtime size of the key set is under the broadcast threshold, otherwise a
-sort-merge join on the key). Null keys never match, so they are kept and a
-rerun appends them again, as in the original load.
+The key set stays a DataFrame and the delete is a left-anti join. It is
+broadcast when the caller passes a proven size bound under 64 MB (the
+target is then never shuffled); otherwise it is a sort-merge join on the key
+(or a broadcast AQE picks from the measured size), with AQE skew splitting.
+Null keys never match, so they are kept and a rerun appends them again, as
+in the original load.
 """
 
 from __future__ import annotations
