@@ -128,3 +128,14 @@ def test_undated_summary_reasons(make_raw):
                     raw_row("e", date_added="May 1, 2021")])
     got = {r.reason: r.rows for r in undated_summary(raw).collect()}
     assert got == {"missing": 1, "blank": 1, "unparseable": 2}
+
+
+def test_december_and_month_edges(make_raw):
+    from marquee.functions import month_bounds
+    assert month_bounds(2020, 12) == (dt.date(2020, 12, 1), dt.date(2021, 1, 1))
+    raw = make_raw([raw_row("a", date_added="December 31, 2020"),
+                    raw_row("b", date_added="January 1, 2021"),
+                    raw_row("c", date_added="December 1, 2020"),
+                    raw_row("d", date_added="November 30, 2020")])
+    assert sorted(r.show_id for r in month_slice(raw, 2020, 12).collect()) == ["a", "c"]
+    assert sorted(r.show_id for r in month_slice(raw, 2021, 1).collect()) == ["b"]
