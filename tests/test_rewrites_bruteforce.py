@@ -1,6 +1,6 @@
-"""The two most intricate rewrites against pure-Python brute force on random
-small fixtures (hypothesis): tag-pair counting (D3) and the fan-out-weighted
-yearly summary (J1)."""
+"""The most intricate rewrites against brute force on random small fixtures
+(hypothesis): tag-pair counting (D3) and the fan-out-weighted yearly summary
+(J1) against pure Python, and the one-pass backfill against the monthly loop."""
 
 from __future__ import annotations
 
@@ -84,3 +84,29 @@ def test_yearly_summary_equals_left_join_fanout(spark, rows):
                           r.distinct_countries, r.avg_acquisition_lag_years)
            for r in yearly_summary(spark.createDataFrame(data, TITLES_SCHEMA)).collect()}
     assert got == brute_summary(rows)
+
+
+raw_rows = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c", None]),
+              st.sampled_from(["January 5, 2021", "February 7, 2021", " March 1, 2021",
+                               "March 31, 2021", "April 2, 2021", None]),
+              st.sampled_from(["X", "X, Y", None, "Y,,Z"])),
+    min_size=1, max_size=15)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(raw_rows)
+def test_one_pass_backfill_equals_monthly_loop(spark, rows):
+    from marquee.plans.jobs import apply_month, backfill_tables
+    from marquee.schema import RAW_SCHEMA, empty_frame
+    from tests.conftest import raw_row
+    raw = spark.createDataFrame([raw_row(k, date_added=d, listed_in=g, title=f"T{i}")
+                                 for i, (k, d, g) in enumerate(rows)], RAW_SCHEMA)
+    t, g = empty_frame(spark, TITLES_SCHEMA), empty_frame(spark, GENRES_SCHEMA)
+    months = [(2021, m) for m in range(1, 5)]
+    for y, m in months:
+        t, g = apply_month(t, g, raw, y, m)
+    t1, g1 = backfill_tables(empty_frame(spark, TITLES_SCHEMA), empty_frame(spark, GENRES_SCHEMA),
+                             raw, months[0], months[-1])
+    bag = lambda df: Counter(tuple(r) for r in df.collect())
+    assert bag(t1) == bag(t) and bag(g1) == bag(g)
