@@ -146,12 +146,20 @@ def read_month_stage(spark: SparkSession, root: str, year: int, month: int, sche
             .where(F.col(MONTH_COL) == F.lit(label)).drop(MONTH_COL))
 
 
-def write_month_stage(df: DataFrame, root: str, year: int, month: int) -> str:
+def write_month_stage(df: DataFrame, root: str, year: int, month: int,
+                      require_dir: bool = False) -> str:
     """Write one month's stage data to its own partition directory.
 
     Writing the month's own path (rather than a dynamic partition overwrite of
-    the root) also replaces the month when the batch is empty.
+    the root) also replaces the month when the batch is empty. S5: with
+    ``require_dir`` the stage root must already exist (Spark would create it).
     """
-    path = f"{root.rstrip('/')}/{MONTH_COL}={year:04d}-{month:02d}"
+    root = root.rstrip("/")
+    if require_dir:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(root)
+        if not p.getFileSystem(spark._jsc.hadoopConfiguration()).isDirectory(p):
+            raise FileNotFoundError(f"stage folder does not exist: {root}")
+    path = f"{root}/{MONTH_COL}={year:04d}-{month:02d}"
     df.write.mode("overwrite").parquet(path)
     return path

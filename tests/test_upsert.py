@@ -244,3 +244,10 @@ def test_small_key_set_is_broadcast_behind_its_bound(spark, moving_raw, tmp_path
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "BroadcastHashJoin" in plan_small and "SortMergeJoin" not in plan_small
     assert "SortMergeJoin" in plan_big
+
+
+def test_month_stage_requires_existing_folder_on_request(spark, moving_raw, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        write_month_stage(moving_raw, f"file://{tmp_path}/missing", 2021, 1, require_dir=True)
+    (tmp_path / "present").mkdir()
+    assert write_month_stage(moving_raw, f"file://{tmp_path}/present", 2021, 1, require_dir=True)
