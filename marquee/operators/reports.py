@@ -14,7 +14,7 @@ catalog's. Scale notes:
   the whole table;
 * joins between a bridge and titles are made on pre-aggregated sides (one row
   per key, or per (key, value)), so a key repeated many times never fans out
-  into a product of its rows; per-key sets (tags, people, countries) are
+  into a product of its rows; per-key sets (tags, countries) are
   bounded by what that key lists, not by its row count;
 * tag pairs are generated once per distinct tag combination, weighted by how
   many keys share it, instead of once per key.
