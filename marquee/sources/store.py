@@ -230,16 +230,22 @@ class CatalogStore:
                    keys_bytes_bound: int | None = None) -> DataFrame:
         """Distinct non-null keys of the batch, shaped for the anti join.
 
-        With a proven size bound under ``broadcast_keys_bytes`` the key set is
-        broadcast, so the target is never shuffled for the join. Without one
-        (or above it) the keys are hash-partitioned - into the bucket layout
-        when the target is bucketed (no target shuffle either), otherwise for
-        a sort-merge anti join where AQE can split a hot partition.
+        Bucketed target: the keys are hash-partitioned into the bucket layout,
+        so the join reads the target bucket by bucket with no shuffle and the
+        kept rows stay one bucket per task (one file per bucket on write). A
+        broadcast would gain nothing here and would let Spark drop the
+        bucketed read, leaving one more file per bucket with every version.
+
+        Plain target: with a proven size bound under ``broadcast_keys_bytes``
+        the key set is broadcast, so the target is not shuffled; otherwise a
+        sort-merge anti join where AQE can split a hot partition.
         """
         keys = staged_titles.select(KEY).where(F.col(KEY).isNotNull())
+        if bucketed:
+            return keys.repartition(self.buckets, KEY).distinct()
         if keys_bytes_bound is not None and keys_bytes_bound <= self.broadcast_keys_bytes:
             return F.broadcast(keys.distinct())
-        return (keys.repartition(self.buckets, KEY) if bucketed else keys).distinct()
+        return keys.distinct()
 
     def publish_replace(self, staged_titles: DataFrame, staged_genres: DataFrame,
                         tag: str | None = None, rows_bound: int | None = None,

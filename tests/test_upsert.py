@@ -251,3 +251,26 @@ def test_month_stage_requires_existing_folder_on_request(spark, moving_raw, tmp_
         write_month_stage(moving_raw, f"file://{tmp_path}/missing", 2021, 1, require_dir=True)
     (tmp_path / "present").mkdir()
     assert write_month_stage(moving_raw, f"file://{tmp_path}/present", 2021, 1, require_dir=True)
+
+
+def test_bucket_files_do_not_accumulate_across_versions(spark, tmp_path):
+    import collections
+    import os
+    import re
+    from marquee.plans.registry import raw
+    from tests.conftest import SF_SMALL
+    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=4)
+    source = raw(spark, SF_SMALL)
+    backfill(spark, source, store, (1995, 1), (1997, 12))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")   # several splits per input file
+    try:
+        for m in (1, 2, 3):
+            v = run_month(spark, source, store, 1998, m)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert store.bucket_count(v) == 4
+    for kind in ("titles", "genres"):
+        files = [f for f in os.listdir(tmp_path / "s" / f"v={v:06d}" / kind) if f.startswith("part-")]
+        per_bucket = collections.Counter(re.search(r"_(\d{5})\.", f).group(1) for f in files)
+        assert max(per_bucket.values()) <= 2, per_bucket
