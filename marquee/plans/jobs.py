@@ -18,6 +18,7 @@ from marquee.operators.clean import clean_titles
 from marquee.operators.ingest import latest_month_rows, month_slice, tag_months
 from marquee.operators.upsert import upsert_catalog
 from marquee.schema import KEY, MONTH_COL
+from marquee.session import ensure_checkpoint_dir
 from marquee.sources.store import CatalogStore, MissingInputError
 
 
@@ -31,6 +32,24 @@ def apply_month(titles: DataFrame, genres: DataFrame, raw: DataFrame, year: int,
     return upsert_catalog(titles, genres, staged_t, staged_g)
 
 
+def apply_months(titles: DataFrame, genres: DataFrame, raw: DataFrame,
+                 months: list[tuple[int, int]], checkpoint_every: int = 6) -> tuple[DataFrame, DataFrame]:
+    """The monthly loop as DataFrames (e.g. to replay history in one session).
+
+    Each month adds a scan, a clean and an anti join to the plan, so the
+    lineage is cut every ``checkpoint_every`` months with a reliable
+    ``checkpoint()`` into the session's shared checkpoint folder: plans stay
+    small and a lost executor recomputes from the checkpoint, not from the
+    first month. ``backfill_tables`` gives the same result in one pass.
+    """
+    ensure_checkpoint_dir(raw.sparkSession)
+    for i, (y, m) in enumerate(months, 1):
+        titles, genres = apply_month(titles, genres, raw, y, m)
+        if checkpoint_every and i % checkpoint_every == 0 and i < len(months):
+            titles, genres = titles.checkpoint(), genres.checkpoint()
+    return titles, genres
+
+
 def backfill_tables(titles: DataFrame, genres: DataFrame, raw: DataFrame,
                     first: tuple[int, int], last: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """The result of loading every month in [first, last] in order, in one
