@@ -4,6 +4,7 @@
     python -m marquee run-month --raw GLOB --store DIR --month YYYY-MM
     python -m marquee stream    --source DIR --store DIR [--checkpoint DIR]
     python -m marquee report    --store DIR --name REPORT [--out DIR]
+    python -m marquee report    --store DIR --all --out DIR
     python -m marquee export    --store DIR --out DIR
     python -m marquee prune     --store DIR [--keep N]
 
@@ -53,7 +54,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--checkpoint")
     p = sub.add_parser("report")
     p.add_argument("--store", required=True)
-    p.add_argument("--name", required=True, choices=sorted(REPORTS))
+    p.add_argument("--name", choices=sorted(REPORTS))
+    p.add_argument("--all", action="store_true", help="every report, one CSV folder each under --out")
     p.add_argument("--out", help="write CSV here instead of printing")
     p = sub.add_parser("prune")
     p.add_argument("--store", required=True)
@@ -80,11 +82,20 @@ def main(argv: list[str] | None = None) -> int:
         print(f"latest version {store.latest()}")
     elif args.cmd == "report":
         titles, genres = store.read()
-        df = REPORTS[args.name](titles, genres)
-        if args.out:
-            write_csv(df, args.out, single_file=True)
+        if args.all:
+            if not args.out:
+                ap.error("--all needs --out")
+            for name, fn in REPORTS.items():
+                write_csv(fn(titles, genres), f"{args.out.rstrip('/')}/{name}.csv", single_file=True)
+            print(f"wrote {len(REPORTS)} reports to {args.out}")
         else:
-            df.show(1000, truncate=False)
+            if not args.name:
+                ap.error("give --name or --all")
+            df = REPORTS[args.name](titles, genres)
+            if args.out:
+                write_csv(df, args.out, single_file=True)
+            else:
+                df.show(1000, truncate=False)
     elif args.cmd == "prune":
         print(f"dropped versions {store.prune(args.keep)}")
     elif args.cmd == "export":

@@ -23,6 +23,8 @@ def test_cli_round(spark, make_raw, tmp_path, capsys):
     assert main(["report", "--store", store, "--name", "b3_tv_share"]) == 0
     out = capsys.readouterr().out
     assert "published version 1" in out and "published version 2" in out and "tv_show_share_pct" in out
+    assert main(["report", "--store", store, "--all", "--out", f"file://{tmp_path}/reports"]) == 0
+    assert len([d for d in os.listdir(tmp_path / "reports") if d.endswith(".csv")]) == 25
     assert main(["export", "--store", store, "--out", f"file://{tmp_path}/bi"]) == 0
     assert sorted(os.listdir(tmp_path / "bi")) == ["genres.csv", "title_countries.csv", "titles.csv",
                                                  "yearly_summary.csv"]
