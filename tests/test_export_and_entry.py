@@ -109,3 +109,17 @@ def test_yearly_summary_invariants_sf001(spark):
     assert len(years) == len(set(years))
     for r in rows:
         assert r.movies + r.tv_shows <= r.total_titles
+
+
+def test_latest_years_over_the_registered_view(spark):
+    from marquee.operators.reports import latest
+    from marquee.plans.registry import tables
+    t, _ = tables(spark, SF_SMALL)
+    A.register_yearly_summary(t)
+    try:
+        via_view = latest(spark.table("yearly_summary"), 5).collect()
+        direct = A.j2_latest_years(t).collect()
+        assert via_view == direct and len(direct) == 5
+        assert [r.year_added for r in direct] == sorted((r.year_added for r in direct), reverse=True)
+    finally:
+        spark.catalog.dropTempView("yearly_summary")
