@@ -285,3 +285,14 @@ def test_apply_months_with_checkpoints_equals_backfill(spark, moving_raw):
     # only the anti joins of the months after the last checkpoint
     plan = t_loop._jdf.queryExecution().logical().toString()
     assert "LogicalRDD" in plan and plan.count("LeftAnti") == 2
+
+
+def test_older_versions_stay_readable(spark, moving_raw, tmp_path):
+    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=2)
+    v1 = run_month(spark, moving_raw, store, 2021, 1)
+    v2 = run_month(spark, moving_raw, store, 2021, 3)
+    t1, _ = store.read(v1)
+    t2, _ = store.read(v2)
+    assert {r.show_id for r in t1.collect() if r.show_id} == {"a", "b"}
+    assert [r.rating for r in t1.collect() if r.show_id == "a"] == ["PG"]
+    assert [r.rating for r in t2.collect() if r.show_id == "a"] == ["R"]
