@@ -1,8 +1,11 @@
 """Extract stage: parse the added date, slice a month, find undated rows, tag
 months for a one-pass backfill.
 
-All filters are expressed on the parsed date so a reader over a typed source
-(Parquet with a DATE column) gets them pushed into the scan.
+The raw date is text, so these filters parse it first and cannot reach the
+scan of a raw CSV. Every month or range test is still written as a half-open
+date range (``functions.in_month`` / ``in_year_range``): applied to a typed
+DATE column - the cleaned titles, a staged Parquet table - the same helpers
+are pushed into the Parquet scan (checked in ``tests/test_clean.py``).
 """
 
 from __future__ import annotations
