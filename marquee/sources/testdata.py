@@ -12,9 +12,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from marquee.schema import RAW_SCHEMA
 
 
+_SCANS: dict[tuple[int, str, bool], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if spread_out else df
+    """Scan of one testdata table (read-only files), memoized per session, path
+    and spread choice: a DataFrame is an immutable plan, so queries can share
+    it and skip re-listing and re-planning the same file."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    memo = (id(spark), path, spread_out)
+    df = _SCANS.get(memo)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        df = spread(df) if spread_out else df
+        _SCANS[memo] = df
+    return df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -77,21 +89,13 @@ def catalog_from_orders(orders: DataFrame, hot_every: int | None = None) -> Data
     show_id = F.concat(F.lit("s"), _s(k))
     if hot_every:
         show_id = F.when(k % hot_every == 0, F.lit("s0")).otherwise(show_id)
-    out = orders.select(
-        show_id.alias("show_id"),
-        kind.alias("type"),
-        F.concat(F.lit("Title "), _s(k)).alias("title"),
-        director.alias("director"),
-        cast_names.alias("cast"),
-        country.alias("country"),
-        date_added.alias("date_added"),
-        release_year.alias("release_year"),
-        rating.alias("rating"),
-        duration.alias("duration"),
-        listed_in.alias("listed_in"),
-        F.lit(None).cast("string").alias("description"),
-    )
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in RAW_SCHEMA.fields])
+    exprs = {
+        "show_id": show_id, "type": kind, "title": F.concat(F.lit("Title "), _s(k)),
+        "director": director, "cast": cast_names, "country": country, "date_added": date_added,
+        "release_year": release_year, "rating": rating, "duration": duration,
+        "listed_in": listed_in, "description": F.lit(None),
+    }
+    return orders.select(*[exprs[f.name].cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
 
 
 def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
