@@ -62,3 +62,17 @@ def running_sums(df: DataFrame, bucket: str, order: list[Column], sums: dict[str
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     out = df.join(offsets, on).drop(*[f"__k_{k}" for k in keys])
     return out.select(*df.columns, *[(F.col(f"__o_{n}") + F.sum(c).over(inside)).alias(n) for n, c in sums.items()])
+
+
+#: Rows of a table that may be broadcast; its rows must be of bounded width.
+BROADCAST_ROWS = 400_000
+
+
+def broadcast_if_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a written table of counted, bounded size for broadcast; a larger one is joined by shuffle."""
+    return F.broadcast(table) if table.count() <= limit else table
+
+
+def text_key(c: Column) -> Column:
+    """Hash of a text that, with doc_id, stands for its row: fully repeated rows share it."""
+    return F.xxhash64(F.coalesce(c, F.lit("")), c.isNull())

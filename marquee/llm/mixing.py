@@ -91,3 +91,27 @@ def mix_sources(docs: DataFrame, weight=cyclic_weight, passes: int = 3, seed: st
     out = placed.withColumn("copies", copies)
     return out.select("doc_id", "source", "size", "source_size", F.coalesce("target", F.lit(0.0)).alias("target"),
                       (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies")
+
+
+def mix_rows(docs: DataFrame, weight=cyclic_weight, passes: int = 3, seed: str = "mix") -> DataFrame:
+    """The rows of ``docs`` that the mix takes, all columns, and size, target, taken and copies (replaced if there).
+
+    Rows are judged as in ``mix_sources``. Rows that share doc_id, source and size can't be told apart there: they
+    share what the mix takes of them evenly, the earlier text hash first.
+    """
+    new = ["size", "target", "taken", "copies"]
+    passed = [c for c in docs.columns if c not in new]
+    mixed = mix_sources(docs, weight, passes, seed).groupBy("doc_id", "source", "size").agg(
+        F.first("target").alias("target"), F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    mixed = materialize(mixed).select(F.struct("*").alias("__m"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in passed]).alias("__row"))
+    rows = rows.withColumn("__size", n_words(F.col("__row.text").cast("string")))
+    rows = rows.join(mixed, F.col("__row.doc_id").eqNullSafe(F.col("__m.doc_id")) & (F.col("__size") == F.col("__m.size"))
+                     & F.col("__row.source").cast("string").eqNullSafe(F.col("__m.source")))
+    same = Window.partitionBy(F.col("__row.doc_id"), F.col("__row.source"), "__size").orderBy(F.xxhash64("__row"))
+    left = F.col("__m.copies") - (F.row_number().over(same) - 1)            # copies still to give, one round each
+    rows = rows.withColumn("copies", F.when(F.col("__m.rows") == 1, F.col("__m.copies")).otherwise(
+        F.greatest(F.lit(0), F.ceil(left / F.col("__m.rows")))).cast("int"))
+    return rows.where("copies > 0").select(
+        *[F.col("__row").getField(c).alias(c) for c in passed], F.col("__size").alias("size"), F.col("__m.target").alias("target"),
+        (F.col("copies") * F.col("__size")).cast("long").alias("taken"), "copies")

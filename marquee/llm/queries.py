@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marquee.llm.common import read
+from marquee.llm.class_lm import score_corpus
+from marquee.llm.common import materialize, read
+from marquee.llm.decontaminate import find_contamination
 from marquee.llm.html_extract import extract_pages
+from marquee.llm.line_dedup import dedup_lines
 from marquee.llm.mixing import mix_sources
+from marquee.llm.quality import classify
 from marquee.llm.simhash import simhash_components
+from marquee.llm.spotsigs import fingerprint_edits
+from marquee.llm.suffix_dedup import remove_repeats
 from marquee.llm.token_counts import length_histogram, length_report
 
 
@@ -22,16 +28,41 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_corpus(read(spark, sf_dir, "documents"))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"), with_bytes=False)
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(read(spark, sf_dir, "documents")).drop("edited")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read(spark, sf_dir, "documents")).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return length_report(length_histogram(read(spark, sf_dir, "documents")))
+    return length_report(materialize(length_histogram(read(spark, sf_dir, "documents"))))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_html_extraction, op2_simhash, op8_mixing, op10_token_counts)
+    f.__name__: f for f in (op1_html_extraction, op2_simhash, op3_decontamination, op4_quality, op5_class_lm, op6_suffix_dedup,
+                                op7_line_dedup, op8_mixing, op9_spotsigs, op10_token_counts)
 }
 
 #: The mix in SQL: the same shuffle, virtual finish times and cut, by plain windows.

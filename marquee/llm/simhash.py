@@ -25,9 +25,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from marquee.llm.common import UPPER, materialize
+from marquee.llm.common import UPPER, materialize, text_key
 from marquee.llm.components import connected_components
 
 BITS, BYTES = 64, 8
@@ -96,8 +96,7 @@ def with_fingerprint(docs: DataFrame, text: str = "text", words: int = SHINGLE,
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(fps.view(np.int64))], [*keep, name])
 
     kept = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]), f"`{name}` long"])
-    return kept.mapInArrow(scan, schema)
+    return kept.mapInArrow(scan, T.StructType([*kept.schema.fields[:-1], T.StructField(name, T.LongType())]))
 
 
 def _gather(fp: Column, positions: tuple[int, ...]) -> Column:
@@ -231,3 +230,21 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     fps = fps.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", label.alias("label"))
     smallest = fps.groupBy("label").agg(F.min("rep").alias("component_id"))
     return rows.join(fps.join(smallest, "label").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
+
+
+def keep_one_per_component(docs: DataFrame, words: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """``docs`` (all columns) with one row of each near-duplicate component: the smallest doc_id (null after all
+    others), of those the smallest text hash; of fully repeated rows one stays."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text").cast("string").alias("__text"))
+    rows = rows.withColumn("__th", text_key(F.col("__text")))
+    found = materialize(with_fingerprint(rows.select(F.col("__row.doc_id").alias("doc_id"), "__th", "__text"), "__text", words,
+                                         keep=["doc_id", "__th"]))
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("__th").alias("th"))
+    fps = materialize(found.groupBy("fp").agg(F.min(order).alias("first")))
+    groups = connected_components(fingerprint_links(fps.select("fp"), distance)).withColumnRenamed("node", "fp")
+    label = F.coalesce("component", "fp")
+    kept = materialize(fps.join(groups, "fp", "left").groupBy(label).agg(F.min("first").alias("k")).select(
+        F.col("k.d").alias("__doc"), F.col("k.th").alias("__kept")))
+    rows = rows.join(kept, F.col("__row.doc_id").eqNullSafe(F.col("__doc")) & (F.col("__th") == F.col("__kept")), "left_semi")
+    one = Window.partitionBy(F.col("__row.doc_id"), "__th").orderBy(F.xxhash64("__row"))     # repeated rows of one id and text
+    return rows.withColumn("__n", F.row_number().over(one)).where("__n = 1").select("__row.*")

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from marquee.llm.components import connected_components
+from marquee.llm.queries import op2_simhash
+from marquee.llm.simhash import fingerprint_links, keep_one_per_component, simhash_components
+from tests.conftest import SF_SMALL
+
+
+def components(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def reference_fingerprint(text):
+    words = (text or "").translate({c: c + 32 for c in range(65, 91)}).encode().split()
+    shingles = [b" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def reference(rows):
+    fps = [reference_fingerprint(t) for _, t in rows]
+    links = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if (fps[i] ^ fps[j]).bit_count() <= 3]
+    comp = components(range(len(rows)), links)
+    ids = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            ids[comp[i]] = min(d, ids.get(comp[i], d))
+    return sorted(((d, f"{fps[i]:016x}", ids.get(comp[i])) for i, (d, _) in enumerate(rows)), key=str)
+
+
+def test_query_equals_all_pairs(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    got = sorted(((r.doc_id, r.fingerprint, r.component_id) for r in op2_simhash(spark, SF_SMALL).collect()), key=str)
+    assert got == reference(rows)
+
+
+@pytest.mark.parametrize("split", [4096, 40, 4])
+def test_links_connect_what_all_pairs_connect(spark, split):
+    """Chains and one dense group of near fingerprints, also when their lists are split."""
+    rng = random.Random(split)
+    values = set()
+    for _ in range(12):
+        x = rng.getrandbits(64)
+        for _ in range(20):
+            values.add(x)
+            for _ in range(rng.randint(1, 4)):
+                x ^= 1 << rng.randrange(64)
+    center = rng.getrandbits(64)
+    for _ in range(400):
+        x = center
+        for _ in range(rng.randint(1, 4)):
+            x ^= 1 << rng.randrange(64)
+        values.add(x)
+    values |= {rng.getrandbits(64) for _ in range(500)} | {0, (1 << 64) - 1}
+    signed = [int(np.uint64(v).view(np.int64)) for v in sorted(values)]
+    links = fingerprint_links(spark.createDataFrame([(v,) for v in signed], "fp long"), 3, split)
+    pairs = [(r.a, r.b) for r in links.collect()]
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 3 for a, b in pairs)
+    exact = [(a, b) for a, b in itertools.combinations(signed, 2) if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3]
+    assert components(signed, pairs) == components(signed, exact)
+    got = {r.node: r.component for r in connected_components(links).collect()}
+    assert all(got.get(n, n) == min(m for m, c in components(signed, exact).items() if c == components(signed, exact)[n])
+               for n in rng.sample(signed, 40))
+
+
+def test_star_of_many_links(spark):
+    links = spark.range(1, 3000).selectExpr("id a", "cast(0 as long) b").union(spark.range(1, 2999).selectExpr("id + 5000 a", "id + 5001 b"))
+    got = {r.node: r.component for r in connected_components(links).collect()}
+    assert {got[i] for i in range(3000)} == {0} and {got[i] for i in range(5001, 7999)} == {5001}
+    assert connected_components(spark.createDataFrame([(1, 1), (None, 2)], "a long, b long")).count() == 0
+
+
+def test_operator_cases(spark, awkward):
+    got = sorted(((r.doc_id, f"{r.fp & (1 << 64) - 1:016x}", r.component_id) for r in simhash_components(awkward).collect()), key=str)
+    assert got == reference([(r.doc_id, r.text) for r in awkward.collect()])
+    assert simhash_components(awkward.limit(0)).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark, awkward):
+    kept = keep_one_per_component(awkward)
+    assert kept.columns == awkward.columns
+    rows = [(r.doc_id, r.text) for r in awkward.collect()]
+    comp = {}
+    fps = [reference_fingerprint(t) for _, t in rows]
+    groups = components(range(len(rows)), [(i, j) for i, j in itertools.combinations(range(len(rows)), 2)
+                                           if (fps[i] ^ fps[j]).bit_count() <= 3])
+    for i, c in groups.items():
+        comp.setdefault(c, []).append(rows[i][0])
+    first = sorted((min((d for d in g if d is not None), default=None) for g in comp.values()), key=str)
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == first
+    assert keep_one_per_component(awkward.limit(0)).count() == 0

@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+
+from marquee.llm.queries import op6_suffix_dedup
+from marquee.llm.suffix_dedup import common_prefix, deep_shallow_order, remove_repeats
+from tests.conftest import SF_SMALL
+
+
+def reference(texts, length):
+    seen = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if seen[t[i:i + length]] > 1:
+                gone[i:i + length] = b"\1" * length
+        kept = bytes(b for b, g in zip(t, gone, strict=True) if not g)
+        runs = sum(g and (not i or not gone[i - 1]) for i, g in enumerate(gone))
+        out.append((len(t), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def rows_of(df):
+    return sorted(((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in df.collect()))
+
+
+def expected(docs, length):
+    return sorted((str(d), *x) for (d, _), x in zip(docs, reference([(t or "").encode() for _, t in docs], length), strict=True))
+
+
+@pytest.mark.parametrize("shallow", [0, 1, 8])
+def test_order_is_the_sorted_one(shallow):
+    rng = random.Random(shallow)
+    for _ in range(200):
+        head = b"x" * rng.randint(0, 4)
+        s = [head + bytes(rng.choice(b"ab\xff") for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(1, 40))]
+        order = deep_shallow_order(s, len(head), shallow)
+        assert sorted(order) == list(range(len(s))) and [s[i] for i in order] == sorted(s)
+    assert common_prefix(b"abcx", b"abcy") == 3 and common_prefix(b"", b"a") == 0 and common_prefix(b"ab", b"ab") == 2
+
+
+@pytest.mark.parametrize("split", [4096, 2])
+def test_equals_counting_every_string(spark, make_docs, split):
+    """Shared passages with varying surroundings, copies, periodic runs; also with groups split by windows."""
+    rng = random.Random(split)
+    passages = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(20, 160))) for _ in range(6)]
+    docs = []
+    for d in range(60):
+        parts = [rng.choice(passages) if rng.random() < .4 else "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(1, 50)))
+                 for _ in range(rng.randint(0, 7))]
+        docs.append((d, "".join(parts)))
+        if rng.random() < .2:
+            cut = rng.randint(0, len(docs[-1][1]))
+            docs.append((100 + d, docs[-1][1][:cut] + "!" + docs[-1][1][cut:]))
+    docs += [(200, "z" * 300), (201, "z" * 39), (202, "y" * 41), (203, "ab" * 100 + "c" + "ab" * 30), docs[3], (None, docs[8][1]), (204, None), (205, "")]
+    assert rows_of(remove_repeats(make_docs(docs), length=40, split=split)) == expected(docs, 40)
+
+
+def test_kept_bytes_and_cases(spark, awkward, make_docs):
+    docs = [(r.doc_id, r.text) for r in awkward.collect()]
+    got = remove_repeats(awkward, length=400)
+    assert [(r.n_bytes, r.n_removed) for r in got.collect() if r.doc_id in (6, 7)] == [(len(docs[-2][1]),) * 2] * 2
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and len(r.kept) == r.n_bytes - r.n_removed for r in got.collect())
+    assert rows_of(remove_repeats(awkward, length=10)) == expected(docs, 10)
+    assert remove_repeats(awkward.limit(0)).count() == 0
+
+
+def test_a_text_over_several_pieces(spark, make_docs):
+    """Texts longer than what is hashed at once; the shared part lies across a piece's edge."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared = text(1000)
+    docs = [(1, text((1 << 18) - 500) + shared + text(3000)), (2, text(700) + shared + text(10))]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in remove_repeats(make_docs(docs)).collect()}
+    assert all(1000 <= n <= 1004 and k == 1 for n, k in got.values())
+
+
+def test_query_equals_counting_every_string(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    assert rows_of(op6_suffix_dedup(spark, SF_SMALL)) == expected(docs, 400)
