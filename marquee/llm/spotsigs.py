@@ -26,25 +26,34 @@ _WORD = r"[\p{L}\p{N}]"
 _MARK = "\u0001"
 
 
-def spot_signatures(text: Column, chain: int = CHAIN, reach: int = REACH, anchors: list[str] = ANCHORS) -> Column:
-    """Sorted set of signature hashes of a whole text (null: empty).
+def _chains(spots: Column, chain: int, reach: int) -> Column:
+    """For each spot (an anchor and the content words up to the next one) the anchor and its chain."""
+    return F.transform(spots, lambda s, i: F.concat(F.slice(s, 1, 1), F.slice(F.flatten(F.transform(
+        F.slice(spots, i + 1, reach + 1), lambda p: F.slice(p, 2, chain))), 1, chain)))
+
+
+def with_signatures(df: DataFrame, chain: int = CHAIN, reach: int = REACH, anchors: list[str] = ANCHORS, **texts: str) -> DataFrame:
+    """``df`` with a sorted set of signature hashes for each ``name="text column"``; a null text counts as empty.
 
     Chains that the text (or ``reach`` further anchors) leaves incomplete are no
     signatures. A text without any has one: the hash of the whole text, so it is
     like its copies only.
     """
-    text = F.coalesce(text.cast("string"), F.lit(""))
     words = "|".join(dict.fromkeys(anchors))
-    marked = F.regexp_replace(F.lower(text), rf"(?<!{_WORD})(?:{words})(?!{_WORD})", _MARK + "$0")
-    spots = F.split(marked, _MARK)                                         # before the first anchor, then one for each
-    spots = F.transform(spots, lambda s: F.regexp_extract_all(s, F.lit(rf"{_WORD}+"), F.lit(0)))
-    first = F.transform(spots, lambda s: F.slice(s, 1, 1))
-    rest = F.transform(spots, lambda s: F.slice(s, 2, chain))               # more are never needed from one spot
-    all_words = F.transform(F.sequence(F.lit(1), F.size(spots) - 1), lambda i: F.concat(
-        F.get(first, i), F.slice(F.flatten(F.slice(rest, i + 1, reach + 1)), 1, chain)))
-    whole = F.transform(F.filter(all_words, lambda x: F.size(x) == chain + 1), lambda x: F.xxhash64(x))
-    found = F.when(F.size(spots) > 1, F.array_sort(F.array_distinct(whole)))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.xxhash64(F.lit("text"), text)))
+    # Each step is a column of its own that the next one uses more than once, so nothing is computed once for every anchor.
+    for name, column in texts.items():
+        marked = F.regexp_replace(F.lower(F.coalesce(column, F.lit(""))), rf"(?<!{_WORD})(?:{words})(?!{_WORD})", _MARK + "$0")
+        spots = F.slice(F.split(marked, _MARK), 2, 1 << 30)                 # without what stands before the first anchor
+        df = df.withColumn(f"__{name}", F.transform(spots, lambda s: F.regexp_extract_all(s, F.lit(rf"{_WORD}+"), F.lit(0))))
+    for name in texts:
+        spots = F.col(f"__{name}")
+        whole = F.transform(F.filter(_chains(spots, chain, reach), lambda x: F.size(x) == chain + 1), lambda x: F.xxhash64(x))
+        df = df.withColumn(f"__{name}", F.when(F.size(spots) > 0, F.array_sort(F.array_distinct(whole))))
+    for name, column in texts.items():
+        found = F.col(f"__{name}")
+        alone = F.array(F.xxhash64(F.lit("text"), F.coalesce(column, F.lit(""))))
+        df = df.withColumn(name, F.when(F.size(found) > 0, found).otherwise(alone))
+    return df.drop(*[f"__{name}" for name in texts])
 
 
 def fingerprint(signatures: Column) -> Column:
@@ -52,10 +61,11 @@ def fingerprint(signatures: Column) -> Column:
     return F.md5(F.array_join(F.transform(signatures, lambda x: F.hex(x)), ""))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two signature sets."""
-    both = F.size(F.array_intersect(a, b))
-    return both / (F.size(a) + F.size(b) - both)
+def with_likeness(df: DataFrame, **pairs: tuple[str, str]) -> DataFrame:
+    """``df`` with the Jaccard similarity of two signature sets for each ``name=(column, column)``."""
+    for name, (a, b) in pairs.items():
+        df = df.withColumn(name, F.size(F.array_intersect(a, b)))
+    return df.withColumns({name: F.col(name) / (F.size(a) + F.size(b) - F.col(name)) for name, (a, b) in pairs.items()})
 
 
 def similar_sets(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -79,8 +89,8 @@ def similar_sets(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
     smaller = (F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))
     pairs = a.join(b, ["band", "sig"]).where(smaller & (F.col("na") >= threshold * F.col("nb") - 1e-9) & (most >= need)).select("a", "b").distinct()
     left, right = sets.select(F.col("fp").alias("a"), F.col("sigs").alias("x")), sets.select(F.col("fp").alias("b"), F.col("sigs").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", likeness(F.col("x"), F.col("y")).alias("similarity")).where(
-        F.col("similarity") >= threshold)
+    both = with_likeness(pairs.join(left, "a").join(right, "b"), similarity=("x", "y"))
+    return both.where(F.col("similarity") >= threshold).select("a", "b", "similarity")
 
 
 def next_ids(docs: DataFrame) -> DataFrame:
@@ -124,15 +134,14 @@ def fingerprint_edits(docs: DataFrame, chain: int = CHAIN, reach: int = REACH, p
         F.col("doc_id").alias("asker"), "next_id", "next_th", "q"))
     # what a row needs of the next document: the beginning of its text and its signatures
     sent = rows.withColumn("th", text_key(F.col("text"))).join(
-        broadcast_if_small(asked), F.col("doc_id").eqNullSafe(F.col("next_id")) & (F.col("th") == F.col("next_th"))).select(
-        "asker", F.substring("text", F.lit(1), F.col("q")).alias("head"), spot_signatures(F.col("text"), chain, reach).alias("next_sigs"))
-    sent = sent.dropDuplicates(["asker"])
+        broadcast_if_small(asked), F.col("doc_id").eqNullSafe(F.col("next_id")) & (F.col("th") == F.col("next_th")))
+    sent = with_signatures(sent, chain, reach, next_sigs="text").select(
+        "asker", F.substring("text", F.lit(1), F.col("q")).alias("head"), "next_sigs").dropDuplicates(["asker"])
     n = F.length("text")
-    both = rows.join(sent, F.col("doc_id").eqNullSafe(F.col("asker"))).withColumn(
-        "edited", F.concat(F.substring("text", F.lit(1), n - quarter), F.substring("head", F.lit(1), quarter)))
-    both = both.select("doc_id", n.cast("long").alias("n_chars"), "edited", "next_sigs", spot_signatures(F.col("text"), chain, reach).alias("sigs"),
-                       spot_signatures(F.col("edited"), chain, reach).alias("edited_sigs"))
+    both = rows.join(sent, F.col("doc_id").eqNullSafe(F.col("asker"))).select("doc_id", "text", n.cast("long").alias("n_chars"), "next_sigs", F.concat(
+        F.substring("text", F.lit(1), n - quarter), F.substring("head", F.lit(1), quarter)).alias("edited"))
+    both = with_signatures(both, chain, reach, sigs="text", edited_sigs="edited")
+    both = with_likeness(both, near_edited=("sigs", "edited_sigs"), near_next=("sigs", "next_sigs"))
     return both.select("doc_id", "n_chars", F.size("sigs").cast("long").alias("n_signatures"), fingerprint(F.col("sigs")).alias("fingerprint"),
                        fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"), F.sha2("edited", 256).alias("edited_sha256"),
-                       likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
-                       likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"), "edited")
+                       "near_edited", "near_next", "edited")
