@@ -6,6 +6,7 @@
     python -m marquee report    --store DIR --name REPORT [--out DIR]
     python -m marquee report    --store DIR --all --out DIR
     python -m marquee export    --store DIR --out DIR
+    python -m marquee compact   --store DIR
     python -m marquee prune     --store DIR [--keep N]
 
 Cluster settings (master, executors, spark.checkpoint.dir) come from
@@ -41,8 +42,8 @@ def main(argv: list[str] | None = None) -> int:
         p = sub.add_parser(name)
         p.add_argument("--raw", required=True, help="raw catalog CSV path or glob")
         p.add_argument("--store", required=True)
-        p.add_argument("--multi-line", action="store_true")
-        p.add_argument("--buckets", type=int)
+        p.add_argument("--single-line", action="store_true",
+                       help="split files; no quoted field may hold a line break")
         if name == "backfill":
             p.add_argument("--first", required=True, type=_month)
             p.add_argument("--last", required=True, type=_month)
@@ -51,7 +52,10 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("stream")
     p.add_argument("--source", required=True)
     p.add_argument("--store", required=True)
-    p.add_argument("--checkpoint")
+    p.add_argument("--checkpoint", help="default: in the store, one for each source")
+    p.add_argument("--single-line", action="store_true")
+    p = sub.add_parser("compact")
+    p.add_argument("--store", required=True)
     p = sub.add_parser("report")
     p.add_argument("--store", required=True)
     p.add_argument("--name", choices=sorted(REPORTS))
@@ -69,16 +73,17 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     spark = SparkSession.builder.appName(f"marquee-{args.cmd}").getOrCreate()
     ensure_checkpoint_dir(spark)
-    store = CatalogStore(spark, args.store, buckets=getattr(args, "buckets", None))
+    store = CatalogStore(spark, args.store)
     if args.cmd in ("backfill", "run-month"):
-        raw = read_raw_csv(spark, args.raw, multi_line=args.multi_line)
+        raw = read_raw_csv(spark, args.raw, multi_line=not args.single_line)
         if args.cmd == "backfill":
             v = backfill(spark, raw, store, args.first, args.last)
         else:
             v = run_month(spark, raw, store, *args.month)
         print(f"published version {v}")
     elif args.cmd == "stream":
-        catalog_stream(spark, args.source, store, checkpoint=args.checkpoint).awaitTermination()
+        catalog_stream(spark, args.source, store, checkpoint=args.checkpoint,
+                       multi_line=not args.single_line).awaitTermination()
         print(f"latest version {store.latest()}")
     elif args.cmd == "report":
         titles, genres = store.read()
@@ -95,7 +100,11 @@ def main(argv: list[str] | None = None) -> int:
             if args.out:
                 write_csv(df, args.out, single_file=True)
             else:
-                df.show(1000, truncate=False)
+                print("\t".join(df.columns))
+                for row in df.toLocalIterator():
+                    print("\t".join("" if x is None else str(x) for x in row))
+    elif args.cmd == "compact":
+        print(f"published version {store.compact()}")
     elif args.cmd == "prune":
         print(f"dropped versions {store.prune(args.keep)}")
     elif args.cmd == "export":

@@ -38,11 +38,6 @@ def quarter_label(c: str | Column) -> Column:
     return F.concat(F.lit("Q"), F.quarter(_c(c)).cast("string"))
 
 
-def month_label(c: str | Column) -> Column:
-    """'yyyy-MM' label used to partition staged data by month."""
-    return F.date_format(_c(c), "yyyy-MM")
-
-
 def month_bounds(year: int, month: int) -> tuple[dt.date, dt.date]:
     start = dt.date(year, month, 1)
     nxt = dt.date(year + (month == 12), month % 12 + 1, 1)

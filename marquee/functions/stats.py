@@ -18,8 +18,3 @@ def pct(num: Column, den: Column, digits: int = 1) -> Column:
 def count_where(pred: Column) -> Column:
     """COUNT(*) FILTER (WHERE pred) -> bigint (null predicate counts as false)."""
     return F.count(F.when(pred, F.lit(1)))
-
-
-def distinct_where(value: Column, pred: Column) -> Column:
-    """COUNT(DISTINCT value) FILTER (WHERE pred)."""
-    return F.count_distinct(F.when(pred, value))

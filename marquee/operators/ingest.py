@@ -74,13 +74,10 @@ def latest_month_rows(tagged: DataFrame, key: str = KEY, month_col: str = MONTH_
 
     A monthly load replaces every row of a key, so after a loop only the
     key's *latest* month survives. Null keys never match a delete and are all
-    kept. The latest month per key is a partial (map-side) aggregate; rows are
-    matched back with a semi join, so a hot key never gathers in one task
-    (AQE splits a skewed join partition).
+    kept. The latest month per key is a partial (map-side) aggregate, joined
+    back to the rows: two references to the input, and a hot key never gathers
+    in one task (AQE splits a skewed join partition).
     """
-    k = F.col(key)
-    nulls = tagged.where(k.isNull())
-    keyed = tagged.where(k.isNotNull())
-    latest = keyed.groupBy(key).agg(F.max(month_col).alias(month_col))
-    kept = keyed.join(latest, [key, month_col], "left_semi")
-    return kept.unionByName(nulls)
+    latest = tagged.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(month_col).alias("_latest"))
+    both = tagged.join(latest, key, "left")
+    return both.where(F.col("_latest").isNull() | (F.col(month_col) == F.col("_latest"))).select(*tagged.columns)

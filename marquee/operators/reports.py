@@ -14,8 +14,7 @@ catalog's. Scale notes:
   the whole table;
 * joins between a bridge and titles are made on pre-aggregated sides (one row
   per key, or per (key, value)), so a key repeated many times never fans out
-  into a product of its rows; per-key sets (tags, countries) are
-  bounded by what that key lists, not by its row count;
+  into a product of its rows, and no row holds a set gathered per key;
 * tag pairs are generated once per distinct tag combination, weighted by how
   many keys share it, instead of once per key.
 """
@@ -56,6 +55,11 @@ def topk(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def sorted_by(df: DataFrame, *cols: str, descending: bool = False) -> DataFrame:
+    """ORDER BY of a report's aggregated rows, nulls last either way."""
+    return df.orderBy(*[F.desc_nulls_last(c) if descending else F.asc_nulls_last(c) for c in cols])
+
+
 # ---------------------------------------------------------------- A: overview
 def overview(df: DataFrame, type_col: str = "type",
              labels: Mapping[str, str] | None = None, date_col: str = "date_added",
@@ -211,28 +215,26 @@ def tag_cooccurrence(bridge: DataFrame, key: str = KEY, tag: str = "genre", k: i
     """D3: how often two different tags occur on the same key (bag semantics:
     a tag listed twice on a key counts twice), top k pairs.
 
-    Plan: (key, tag) multiplicities (partial aggregate) -> per key the sorted
-    array of (tag, multiplicity), at most one entry per distinct tag -> count
-    of keys per distinct array -> pairs generated once per distinct array with
-    weight ``keys * m_a * m_b`` -> sum per pair. No self-join; the pair
-    expansion is proportional to the number of distinct tag combinations, not
-    to the number of keys or bridge rows.
+    Plan: (key, tag) multiplicities (partial aggregate) -> keys with the same
+    combination of tags are found by order-free hashes of their rows and one
+    of them stands for all -> only those representatives are joined with
+    themselves, each pair weighted by ``keys * m_a * m_b``. No row ever holds a
+    key's tags, so a key with very many tags is rows that AQE can split, and
+    the pairs made follow the distinct combinations, not the keys.
     """
     b = bridge.where(F.col(key).isNotNull() & F.col(tag).isNotNull())
     mult = b.groupBy(key, tag).agg(_n().alias("m"))
-    sig = (mult.groupBy(key)
-               .agg(F.array_sort(F.collect_list(F.struct(F.col(tag).alias("t"), F.col("m")))).alias("sig"))
-               .where(F.size("sig") >= 2))
-    combos = sig.groupBy("sig").agg(_n().alias("keys"))
-    pairs = F.flatten(F.transform(
-        "sig",
-        lambda x, i: F.transform(F.slice("sig", i + 2, F.size("sig")), lambda y: F.struct(x.alias("a"), y.alias("b"))),
-    ))
-    exploded = combos.select(F.explode(pairs).alias("p"), "keys")
-    weighted = exploded.select(
-        F.col("p.a.t").alias(a_out), F.col("p.b.t").alias(b_out),
-        (F.col("keys") * F.col("p.a.m") * F.col("p.b.m")).alias("_w"))
-    agg = weighted.groupBy(a_out, b_out).agg(F.sum("_w").cast("bigint").alias(count_out))
+    combos = (mult.groupBy(key)
+                  .agg(F.bit_xor(F.xxhash64(F.col(tag), F.col("m"))).alias("h1"),
+                       F.bit_xor(F.xxhash64(F.col("m"), F.col(tag))).alias("h2"), _n().alias("n"))
+                  .where(F.col("n") >= 2)
+                  .groupBy("h1", "h2", "n").agg(F.min(key).alias(key), _n().alias("keys")))
+    rows = mult.join(combos.select(key, "keys"), key)
+    left = rows.select(F.col(key).alias("_k"), F.col(tag).alias(a_out), F.col("m").alias("_ma"), "keys")
+    right = rows.select(F.col(key).alias("_k"), F.col(tag).alias(b_out), F.col("m").alias("_mb"))
+    pairs = left.join(right, "_k").where(F.col(a_out) < F.col(b_out))
+    agg = pairs.groupBy(a_out, b_out).agg(
+        F.sum(F.col("keys") * F.col("_ma") * F.col("_mb")).cast("bigint").alias(count_out))
     return topk(agg, k, F.col(count_out).desc(), F.col(a_out).asc(), F.col(b_out).asc())
 
 
@@ -307,24 +309,21 @@ def breadth_topk(df: DataFrame, list_col: str, bridge: DataFrame, key: str = KEY
     at least ``min_titles`` keys, top k by breadth then keys.
 
     Only distinct counts are asked for, so both sides are de-duplicated
-    first: distinct (key, token) pairs, and one row per key carrying its set
-    of distinct tags (bounded by the tag vocabulary). The join is then one
-    tag set per (key, token) pair - no fan-out, and a key with many tokens
-    is a skewed partition AQE can split, not a collected group. A key whose
-    tags are all null still counts as a title, as in the SQL join. Exploding
-    the tag set gives one row per (token, key, tag); the first of them counts
-    the title, every row feeds the distinct tag count, in one aggregate.
+    first, and each count is a hash aggregate: distinct (key, token) pairs that
+    have a bridge row, counted per token; and their distinct (token, tag)
+    pairs, counted per token. Nothing is gathered per key; a key with many
+    tokens or tags is a skewed join partition AQE can split. A key whose tags
+    are all null still counts as a title, as in the SQL join.
     """
     people = (explode_list(df, list_col, out, key=key, sep=sep, exclude=exclude)
               .where(F.col(key).isNotNull()).distinct())
-    tagsets = (bridge.where(F.col(key).isNotNull())
-                     .groupBy(key).agg(F.collect_set(tag).alias("_tags")))
-    rows = (people.join(tagsets, key)
-                  .select(out, F.posexplode_outer("_tags").alias("_pos", "_tag")))
-    agg = (rows.groupBy(out)
-               .agg(count_where(F.coalesce(F.col("_pos"), F.lit(0)) == 0).alias(titles_out),
-                    F.count_distinct("_tag").alias(breadth_out))
-               .where(F.col(titles_out) >= min_titles))
+    tags = bridge.where(F.col(key).isNotNull()).select(key, F.col(tag).alias("_tag")).distinct()
+    titles = (people.join(tags.select(key).distinct(), key, "left_semi")
+                    .groupBy(out).agg(_n().alias(titles_out))
+                    .where(F.col(titles_out) >= min_titles))
+    breadth = (people.join(tags, key).select(out, "_tag").distinct()
+                     .groupBy(out).agg(F.count("_tag").alias(breadth_out)))
+    agg = titles.join(breadth, out)
     return topk(agg, k, F.col(breadth_out).desc(), F.col(titles_out).desc(), F.col(out).asc_nulls_last())
 
 
@@ -352,17 +351,15 @@ def yearly_summary(titles: DataFrame, key: str = KEY, date_col: str = "date_adde
     Plan, without materialising that fan-out:
 
     1. per (year, key): kind flags and unweighted partial sums / counts;
-    2. per key: number of country rows and the set of distinct countries
-       (bounded by the country vocabulary);
-    3. one left join of (1) and (2) on the key. The weight depends only on
-       the key, so weighted sums are ``w_key * partial sum``;
-    4. one aggregate per year over the joined rows with each key's country
-       set exploded: the first exploded row of a (year, key) carries its
-       counts and sums, every row its country for the distinct count.
-
-    All aggregates combine map-side; null keys form their own (year, key)
-    group, weigh 1 and contribute no countries and no distinct count, as in
-    the SQL join.
+    2. per key: the number of its country rows, joined to (1); the weight
+       depends only on the key, so weighted sums are ``w_key * partial sum``;
+    3. per year: distinct (key, country) pairs joined to the (year, key)
+       pairs, reduced to distinct (year, country) and counted;
+    4. (2) aggregated per year, joined with (3), ordered by year (nulls last).
+
+    All aggregates combine map-side and nothing is gathered per key; null keys
+    form their own (year, key) group, weigh 1 and contribute no countries and
+    no distinct count, as in the SQL join.
     """
     y = year_of(date_col)
     kind = F.col(type_col)
@@ -373,29 +370,28 @@ def yearly_summary(titles: DataFrame, key: str = KEY, date_col: str = "date_adde
         F.sum(minutes_col).alias("_sm"), F.count(minutes_col).alias("_cm"),
         F.sum(lag).alias("_sl"), F.count(lag).alias("_cl"),
     )
-    per_key = (explode_list(titles, list_col, "_country", key=key, exclude=exclude)
-               .where(F.col(key).isNotNull())
-               .groupBy(key).agg(_n().alias("_n"), F.collect_set("_country").alias("_countries")))
-    joined = per_year_key.join(per_key, key, "left")
-    # one row per (year, key, country); only position 0 carries the sums
-    rows = joined.select("*", F.posexplode_outer("_countries").alias("_pos", "_country"))
-    first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
-    w = F.lit(1) if dedup else F.greatest(F.coalesce(F.col("_n"), F.lit(0)), F.lit(1))
-    has_key = first & F.col(key).isNotNull()
+    listed = (explode_list(titles, list_col, "_country", key=key, exclude=exclude)
+              .where(F.col(key).isNotNull()).groupBy(key, "_country").agg(_n().alias("_m")))
+    rows = per_year_key.join(listed.groupBy(key).agg(F.sum("_m").alias("_n")), key, "left")
+    w = F.lit(1) if dedup else F.coalesce(F.col("_n"), F.lit(1))
+    has_key = F.col(key).isNotNull()
 
     def wmean(total: str, count: str) -> Column:
-        num = F.sum(F.when(first, w * F.col(total)))
-        den = F.sum(F.when(first, w * F.col(count)))
-        return F.round(safe_ratio(num, den), digits)
+        return F.round(safe_ratio(F.sum(w * F.col(total)), F.sum(w * F.col(count))), digits)
 
-    return rows.groupBy("year_added").agg(
+    years = rows.groupBy("year_added").agg(
         count_where(has_key).alias("total_titles"),
         count_where(has_key & (F.col("_mv") == 1)).alias("movies"),
         count_where(has_key & (F.col("_sh") == 1)).alias("tv_shows"),
         wmean("_sm", "_cm").alias("avg_movie_minutes"),
-        F.count_distinct("_country").alias("distinct_countries"),
         wmean("_sl", "_cl").alias("avg_acquisition_lag_years"),
     )
+    countries = (per_year_key.select(F.col("year_added").alias("_y"), key).join(listed.select(key, "_country"), key)
+                 .select("_y", "_country").distinct().groupBy("_y").agg(_n().alias("_c")))
+    both = years.join(countries, F.col("year_added").eqNullSafe(F.col("_y")), "left")
+    return sorted_by(both.select(
+        "year_added", "total_titles", "movies", "tv_shows", "avg_movie_minutes",
+        F.coalesce("_c", F.lit(0)).cast("bigint").alias("distinct_countries"), "avg_acquisition_lag_years"), "year_added")
 
 
 def latest(view: DataFrame, k: int = 5, order_col: str = "year_added") -> DataFrame:

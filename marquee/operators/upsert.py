@@ -1,12 +1,10 @@
 """Keyed load (L1-L3): replace every target row whose key occurs in the batch,
 then append the batch. Both tables are keyed by the *titles* batch.
 
-The key set stays a DataFrame and the delete is a left-anti join. It is
-broadcast when the caller passes a proven size bound under 64 MB (the
-target is then never shuffled); otherwise it is a sort-merge join on the key
-(or a broadcast AQE picks from the measured size), with AQE skew splitting.
-Null keys never match, so they are kept and a rerun appends them again, as
-in the original load.
+The key set stays a DataFrame and the delete is a left-anti join: AQE
+broadcasts the keys if their measured size is small, and otherwise splits
+skewed partitions of the sort-merge join. Null keys never match, so they are
+kept and a rerun appends them again, as in the original load.
 """
 
 from __future__ import annotations
@@ -16,18 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 from marquee.schema import KEY
 
 
-BROADCAST_KEYS_BYTES = 64 << 20
-
-
-def batch_keys(staged_titles: DataFrame, key: str = KEY,
-               keys_bytes_bound: int | None = None) -> DataFrame:
-    """Distinct non-null keys of a batch; broadcast when a proven size bound
-    (e.g. ``jobs.batch_stats(...).keys_bytes_bound``) is under 64 MB, so the
-    target is not shuffled for the anti join."""
-    keys = staged_titles.select(key).where(F.col(key).isNotNull()).distinct()
-    if keys_bytes_bound is not None and keys_bytes_bound <= BROADCAST_KEYS_BYTES:
-        return F.broadcast(keys)
-    return keys
+def batch_keys(staged_titles: DataFrame, key: str = KEY) -> DataFrame:
+    """Distinct non-null keys of a batch."""
+    return staged_titles.select(key).where(F.col(key).isNotNull()).distinct()
 
 
 def replace_by_key(target: DataFrame, staged: DataFrame, keys: DataFrame | None = None,
@@ -44,9 +33,8 @@ def replace_by_key(target: DataFrame, staged: DataFrame, keys: DataFrame | None
 
 
 def upsert_catalog(titles: DataFrame, genres: DataFrame, staged_titles: DataFrame,
-                   staged_genres: DataFrame, key: str = KEY,
-                   keys_bytes_bound: int | None = None) -> tuple[DataFrame, DataFrame]:
+                   staged_genres: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """L3: replace by key in both tables, keys taken from the staged titles."""
-    keys = batch_keys(staged_titles, key, keys_bytes_bound)
+    keys = batch_keys(staged_titles, key)
     return (replace_by_key(titles, staged_titles, keys, key),
             replace_by_key(genres, staged_genres, keys, key))

@@ -1,7 +1,9 @@
 """The 25 named catalog reports (A1 ... J2), each a composition of the
 reusable operators over a ``titles`` table and its ``genres`` bridge.
 
-Literals are parameters; defaults are the report pack's own values.
+Literals are parameters; defaults are the report pack's own values. Reports
+that the pack orders without a limit are ordered here too, on their aggregated
+rows. The output column names are fixed values: they must equal the pack's.
 """
 
 from __future__ import annotations
@@ -40,18 +42,18 @@ def a2_quality(titles: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- B
 def b1_yearly(titles: DataFrame) -> DataFrame:
-    return R.count_by_period(titles, "date_added", "year")
+    return R.sorted_by(R.count_by_period(titles, "date_added", "year"), "year_added")
 
 
 def b2_growth(titles: DataFrame) -> DataFrame:
-    return R.growth_over_periods(titles, "date_added", "year")
+    return R.sorted_by(R.growth_over_periods(titles, "date_added", "year"), "year_added")
 
 
 def b3_tv_share(titles: DataFrame) -> DataFrame:
-    return R.category_share_by_period(
+    return R.sorted_by(R.category_share_by_period(
         titles, year_of("date_added"), "year_added",
         {"movies": _is_movie(), "tv_shows": _is_show()},
-        share_of="tv_shows", share_out="tv_show_share_pct")
+        share_of="tv_shows", share_out="tv_show_share_pct"), "year_added")
 
 
 # ---------------------------------------------------------------- C
@@ -61,10 +63,10 @@ def c1_minutes(titles: DataFrame) -> DataFrame:
 
 
 def c2_minutes_by_year(titles: DataFrame, min_release_year: int = MODERN_RELEASE_YEAR) -> DataFrame:
-    return R.numeric_profile(
+    return R.sorted_by(R.numeric_profile(
         titles, "duration_minutes", by="release_year",
         where=_is_movie() & (F.col("release_year") >= min_release_year),
-        count_out="movie_count", avg_out="avg_duration_minutes")
+        count_out="movie_count", avg_out="avg_duration_minutes"), "release_year")
 
 
 def series_length_bucket(seasons: str = "duration_seasons"):
@@ -76,8 +78,9 @@ def series_length_bucket(seasons: str = "duration_seasons"):
 
 
 def c3_series_length(titles: DataFrame) -> DataFrame:
-    return R.bucket_share(titles, series_length_bucket(), "series_length_group", where=_is_show(),
-                          count_out="show_count", pct_out="pct_of_tv_shows")
+    return R.sorted_by(R.bucket_share(
+        titles, series_length_bucket(), "series_length_group", where=_is_show(),
+        count_out="show_count", pct_out="pct_of_tv_shows"), "series_length_group")
 
 
 # ---------------------------------------------------------------- D
@@ -107,29 +110,23 @@ def e2_countries(titles: DataFrame, k: int = TOP_K) -> DataFrame:
 
 
 def e3_non_us_share(titles: DataFrame, home: str = HOME_COUNTRY) -> DataFrame:
-    return R.distinct_share_by_period(
+    return R.sorted_by(R.distinct_share_by_period(
         titles, "country", home, exclude=UNKNOWN, match_out="us_titles",
-        other_out="non_us_titles", share_out="non_us_share_pct")
+        other_out="non_us_titles", share_out="non_us_share_pct"), "year_added")
 
 
 # ---------------------------------------------------------------- F
 def f1_ratings(titles: DataFrame) -> DataFrame:
-    return R.bucket_share(titles, F.col("rating"), "rating", count_out="title_count", pct_out="pct")
-
-
-def audience_group(rating: str = "rating"):
-    r = F.col(rating)
-    return (F.when(r.isin(*MATURE_RATINGS), F.lit("mature"))
-             .when(r.isin(*FAMILY_RATINGS), F.lit("family"))
-             .otherwise(F.lit("other")))
+    shares = R.bucket_share(titles, F.col("rating"), "rating", count_out="title_count", pct_out="pct")
+    return shares.orderBy(F.desc("title_count"), F.asc_nulls_last("rating"))
 
 
 def f2_audience(titles: DataFrame) -> DataFrame:
-    g = audience_group()
-    return R.category_share_by_period(
+    rating = F.col("rating")
+    return R.sorted_by(R.category_share_by_period(
         titles, year_of("date_added"), "year_added",
-        {"mature_count": g == "mature", "family_count": g == "family"},
-        share_of="mature_count", share_out="mature_share_pct")
+        {"mature_count": rating.isin(*MATURE_RATINGS), "family_count": rating.isin(*FAMILY_RATINGS)},
+        share_of="mature_count", share_out="mature_share_pct"), "year_added")
 
 
 # ---------------------------------------------------------------- G
@@ -140,11 +137,11 @@ def g1_acquisition_lag(titles: DataFrame) -> DataFrame:
 def g2_freshness(titles: DataFrame, fresh_max: int = FRESH_MAX_LAG,
                  library_min: int = LIBRARY_MIN_LAG) -> DataFrame:
     lag = year_of("date_added") - F.col("release_year")
-    return R.category_share_by_period(
+    return R.sorted_by(R.category_share_by_period(
         titles, year_of("date_added"), "year_added",
         {"fresh_content": lag <= fresh_max, "library_content": lag >= library_min},
         share_of="fresh_content", share_out="fresh_content_pct",
-        where=F.col("release_year").isNotNull())
+        where=F.col("release_year").isNotNull()), "year_added")
 
 
 # ---------------------------------------------------------------- H
@@ -164,13 +161,13 @@ def h3_director_breadth(titles: DataFrame, genres: DataFrame,
 
 # ---------------------------------------------------------------- I
 def i1_monthly(titles: DataFrame) -> DataFrame:
-    return R.count_by_period(titles, "date_added", "month", period_out="month_number")
+    return R.sorted_by(R.count_by_period(titles, "date_added", "month", period_out="month_number"), "month_number")
 
 
 def i2_quarters(titles: DataFrame) -> DataFrame:
-    return R.category_share_by_period(
+    return R.sorted_by(R.category_share_by_period(
         titles, quarter_label("date_added"), "quarter",
-        {"movies": _is_movie(), "tv_shows": _is_show()}, total_out="total")
+        {"movies": _is_movie(), "tv_shows": _is_show()}, total_out="total"), "quarter")
 
 
 # ---------------------------------------------------------------- J
@@ -196,6 +193,15 @@ def register_yearly_summary(titles: DataFrame, name: str = "yearly_summary") ->
     return view
 
 
+#: Reports ordered without a limit, and what orders them (a minus sign: descending).
+ORDERED = {
+    "b1_yearly": "year_added", "b2_growth": "year_added", "b3_tv_share": "year_added",
+    "c2_minutes_by_year": "release_year", "c3_series_length": "series_length_group",
+    "e3_non_us_share": "year_added", "f1_ratings": "-title_count", "f2_audience": "year_added",
+    "g2_freshness": "year_added", "i1_monthly": "month_number", "i2_quarters": "quarter",
+    "j1_yearly_summary": "year_added",
+}
+
 # name -> fn(titles, genres) with the report pack's own parameters
 REPORTS = {
     "a1_overview": lambda t, g: a1_overview(t),

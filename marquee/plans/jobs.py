@@ -17,7 +17,7 @@ from marquee.functions import split_list
 from marquee.operators.clean import clean_titles
 from marquee.operators.ingest import latest_month_rows, month_slice, tag_months
 from marquee.operators.upsert import upsert_catalog
-from marquee.schema import KEY, MONTH_COL
+from marquee.schema import MONTH_COL
 from marquee.session import ensure_checkpoint_dir
 from marquee.sources.store import CatalogStore, MissingInputError
 
@@ -73,7 +73,7 @@ def load_tagged(titles: DataFrame, genres: DataFrame, tagged: DataFrame) -> tupl
     return upsert_catalog(titles, genres, staged_t, staged_g)
 
 
-def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+def stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """Write a batch once as Parquet and continue from the written copy.
 
     The raw source is scanned once per job instead of once per output table
@@ -84,60 +84,50 @@ def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def run_month(spark: SparkSession, raw: DataFrame, store: CatalogStore, year: int,
-              month: int) -> int:
-    """X2 (staged) -> T7 -> L3 against a versioned store; returns the new version."""
-    sliced = _stage(spark, month_slice(raw, year, month),
-                    store.stage_path(f"month={year:04d}-{month:02d}"))
-    stats = batch_stats(sliced)
-    v = _publish(store, clean_titles(sliced), stats)
-    log.info("[load] %04d-%02d: titles %d rows, genres %d rows -> version %d",
-             year, month, stats.titles, stats.genres, v)
-    return v
-
-
 @dataclass(frozen=True)
 class BatchStats:
-    """L4 counts of a raw batch, and the size bounds derived from them."""
+    """L4 counts of a raw batch: title rows and genre-bridge rows it yields."""
 
-    titles: int      # title rows the batch yields (= its rows)
-    genres: int      # genre-bridge rows (a null list still yields one)
-    key_chars: int   # longest key, in characters
+    titles: int
+    genres: int
 
-    @property
-    def rows_bound(self) -> int:
-        """No key can have more rows than this in either table."""
-        return max(self.titles, self.genres)
 
-    @property
-    def keys_bytes_bound(self) -> int:
-        """Upper bound of the batch's key set as a broadcast hash relation:
-        every row a distinct key of maximal length (4 bytes per character in
-        UTF-8) plus 64 bytes of row and hash-table overhead."""
-        return self.titles * (4 * self.key_chars + 64)
+def batch_stats(raw_batch: DataFrame) -> BatchStats:
+    """One ungrouped aggregate over the staged batch (a null list still yields one genre row)."""
+    genre_rows = F.greatest(F.size(split_list("listed_in")), F.lit(1))
+    r = raw_batch.agg(F.count(F.lit(1)).alias("t"), F.sum(genre_rows).alias("g")).first()
+    return BatchStats(int(r["t"]), int(r["g"] or 0))
 
 
-def batch_stats(raw_batch: DataFrame, key: str = KEY) -> BatchStats:
-    """One ungrouped aggregate over the staged batch."""
-    genre_rows = F.greatest(F.size(split_list("listed_in")), F.lit(1))
-    r = raw_batch.agg(F.count(F.lit(1)).alias("t"), F.sum(genre_rows).alias("g"),
-                      F.max(F.length(key)).alias("k")).collect()[0]
-    return BatchStats(int(r["t"]), int(r["g"] or 0), int(r["k"] or 0))
+def load_counts(raw_batch: DataFrame) -> DataFrame:
+    """L4 / A-10 as a table: rows that a batch brings to each table."""
+    titles, genres = clean_titles(raw_batch)
+    n = F.count(F.lit(1)).alias("rows")
+    return titles.agg(n).select(F.lit("titles").alias("table"), "rows").unionByName(
+        genres.agg(n).select(F.lit("genres").alias("table"), "rows"))
 
 
-def _publish(store: CatalogStore, staged: tuple[DataFrame, DataFrame], stats: BatchStats,
-             tag: str | None = None) -> int:
-    return store.publish_replace(*staged, tag=tag, rows_bound=stats.rows_bound,
-                                 keys_bytes_bound=stats.keys_bytes_bound)
+def run_month(spark: SparkSession, raw: DataFrame, store: CatalogStore, year: int,
+              month: int) -> int:
+    """X2 (staged) -> T7 -> L3 against a versioned store; returns the new version."""
+    name = f"month={year:04d}-{month:02d}"
+    sliced = stage(spark, month_slice(raw, year, month), store.stage_path(name))
+    stats = batch_stats(sliced)
+    v = store.publish_replace(*clean_titles(sliced))
+    store.drop_stage(name)
+    log.info("[load] %04d-%02d: titles %d rows, genres %d rows -> version %d",
+             year, month, stats.titles, stats.genres, v)
+    return v
 
 
 def backfill(spark: SparkSession, raw: DataFrame, store: CatalogStore,
              first: tuple[int, int], last: tuple[int, int]) -> int:
     """One-pass backfill of a month range against a versioned store."""
     name = f"backfill={first[0]:04d}-{first[1]:02d}_{last[0]:04d}-{last[1]:02d}"
-    tagged = _stage(spark, tag_months(raw, first, last), store.stage_path(name))
+    tagged = stage(spark, tag_months(raw, first, last), store.stage_path(name))
     stats = batch_stats(tagged)
-    v = _publish(store, staged_from_tagged(tagged), stats)
+    v = store.publish_replace(*staged_from_tagged(tagged))
+    store.drop_stage(name)
     log.info("[backfill] %s: %d staged rows, %d genre rows -> version %d",
              name, stats.titles, stats.genres, v)
     return v

@@ -8,7 +8,8 @@ on ``orders`` / ``lineitem`` / ``part``.
 Binding parameters: the testdata's dates span 1995-2001, so the report
 literals that name years (C2, D2) and the home country (E3) are rebound
 below; the operators' defaults stay the report pack's own. The ``skew_*``
-queries use the same adapter with every third order on one id.
+queries use the same adapter with every third order on one id, the ``edge_*``,
+store, stage and file queries one with null and repeated ids and bad values.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from marquee.functions import parse_added_date, year_of
 from marquee.operators import reports as R
@@ -27,10 +28,13 @@ from marquee.operators.clean import (
 from marquee.operators.ingest import month_slice, undated_rows, undated_summary
 from marquee.operators.upsert import upsert_catalog
 from marquee.plans import analyses as A
-from marquee.plans.jobs import apply_month, backfill_tables
-from marquee.schema import GENRES_SCHEMA, TITLES_SCHEMA, empty_frame
+from marquee.plans.jobs import (
+    apply_month, backfill, backfill_tables, load_counts, read_month_stage, run_month, write_month_stage,
+)
+from marquee.schema import GENRES_SCHEMA, MONTH_COL, RAW_SCHEMA, TITLES_SCHEMA, empty_frame
 from marquee.session import ensure_checkpoint_dir
-from marquee.sources.export import title_countries, write_csv
+from marquee.sources.export import export_for_bi, read_csv_export, title_countries, write_csv
+from marquee.sources.raw import read_raw_csv
 from marquee.sources.store import CatalogStore
 from marquee.sources.testdata import catalog_from_orders, read_table
 from marquee.streaming import catalog_stream
@@ -49,6 +53,7 @@ BIND = {
     "upsert_staged_from": dt.date(1998, 7, 1),
     "brand_base": (1995, 1997),
     "brand_recent": (1998, 2000),
+    "store_months": [(1996, 3), (1996, 4)],
     "hot_every": 3,            # skewed binding: every 3rd order shares one id
     "brand_value": "Brand#11",
 }
@@ -56,17 +61,15 @@ BIND = {
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def raw(spark: SparkSession, sf: str, hot: bool = False) -> DataFrame:
-    """Raw catalog rows; the orders scan is spread over the cores first
-    because every row then goes through string building and date parsing.
-    ``hot=True``: the skewed binding (a third of all rows share one id)."""
-    return catalog_from_orders(read_table(spark, sf, "orders", spread_out=True),
-                               BIND["hot_every"] if hot else None)
+def raw(spark: SparkSession, sf: str, hot: bool = False, edge: bool = False) -> DataFrame:
+    """Raw catalog rows. ``hot=True``: a third of all rows share one id;
+    ``edge=True``: null and repeated ids, bad dates, blank list entries."""
+    return catalog_from_orders(read_table(spark, sf, "orders"), BIND["hot_every"] if hot else None, edge)
 
 
-def tables(spark: SparkSession, sf: str, hot: bool = False) -> tuple[DataFrame, DataFrame]:
+def tables(spark: SparkSession, sf: str, hot: bool = False, edge: bool = False) -> tuple[DataFrame, DataFrame]:
     """Cleaned (titles, genres) of every dated raw row: the union of all monthly slices."""
-    r = raw(spark, sf, hot)
+    r = raw(spark, sf, hot, edge)
     return clean_titles(r.where(parse_added_date("date_added").isNotNull()))
 
 
@@ -126,9 +129,9 @@ def q_clean_genres(spark, sf):
     return _genres(spark, sf)
 
 
-def _backfill(spark, sf, hot=False):
+def _backfill(spark, sf, hot=False, edge=False):
     t0, g0 = _empty(spark)
-    return backfill_tables(t0, g0, raw(spark, sf, hot), BIND["backfill_first"], BIND["backfill_last"])
+    return backfill_tables(t0, g0, raw(spark, sf, hot, edge), BIND["backfill_first"], BIND["backfill_last"])
 
 
 def q_backfill_months(spark, sf):
@@ -139,8 +142,8 @@ def q_backfill_genres(spark, sf):
     return _backfill(spark, sf)[1]
 
 
-def _upsert(spark, sf, hot=False):
-    r = raw(spark, sf, hot)
+def _upsert(spark, sf, hot=False, edge=False):
+    r = raw(spark, sf, hot, edge)
     d = parse_added_date("date_added")
     tgt_t, tgt_g = clean_titles(r.where(d < F.lit(BIND["upsert_target_before"])))
     stg_t, stg_g = clean_titles(r.where(d >= F.lit(BIND["upsert_staged_from"])))
@@ -163,16 +166,123 @@ def q_run_month(spark, sf):
     return apply_month(t0, g0, r, y, m)[0]
 
 
-def q_stream_ingest(spark, sf):
-    """The raw catalog written as CSV files, ingested by the file stream
-    (two micro-batches) into a fresh versioned store under the session's
-    checkpoint folder; returns the loaded titles."""
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/marquee-stream-{uuid.uuid4().hex}"
+def _folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/marquee-query-{uuid.uuid4().hex}"
+
+
+def _streamed(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The raw catalog written as CSV files and ingested by the file stream,
+    as one batch, into a fresh store under the session's checkpoint folder."""
+    base = _folder(spark)
     write_csv(raw(spark, sf), f"{base}/in")
     store = CatalogStore(spark, f"{base}/store")
-    catalog_stream(spark, f"{base}/in", store, checkpoint=f"{base}/ckpt",
-                   max_files_per_trigger=4).awaitTermination()
-    return store.read()[0]
+    catalog_stream(spark, f"{base}/in", store).awaitTermination()
+    return store.read()
+
+
+def q_stream_ingest(spark, sf):
+    return _streamed(spark, sf)[0]
+
+
+def q_stream_genres(spark, sf):
+    return _streamed(spark, sf)[1]
+
+
+def _month_loaded(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """A store that holds all earlier months, then the job for one month;
+    repeated ids occur in both."""
+    r = raw(spark, sf, edge=True)
+    y, m = BIND["slice_month"]
+    store = CatalogStore(spark, f"{_folder(spark)}/store")
+    backfill(spark, r, store, BIND["backfill_first"], (y, m - 1))
+    run_month(spark, r, store, y, m)
+    return store.read()
+
+
+def _backfilled(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """X4 against a store: two monthly loads, compacted, then a backfill of
+    all months over them (null ids of the two months are there twice)."""
+    r = raw(spark, sf, edge=True)
+    store = CatalogStore(spark, f"{_folder(spark)}/store")
+    for y, m in BIND["store_months"]:
+        run_month(spark, r, store, y, m)
+    store.compact()
+    backfill(spark, r, store, BIND["backfill_first"], BIND["backfill_last"])
+    return store.read()
+
+
+def q_raw_csv_roundtrip(spark, sf):
+    """A CSV with its columns in another order, an extra column, and titles
+    with commas, quotes and line breaks, read back by name."""
+    r = raw(spark, sf, edge=True).withColumn("title", F.concat(F.col("title"), F.lit(', "quoted"\nnext line')))
+    path = f"{_folder(spark)}/raw"
+    write_csv(r.select(F.lit("x").alias("extra"), *reversed(r.columns)), path)
+    return read_raw_csv(spark, path)
+
+
+def q_month_stage(spark, sf):
+    """Two months staged, one read back (its folder only)."""
+    r = raw(spark, sf, edge=True)
+    root = f"{_folder(spark)}/stage"
+    for y, m in BIND["store_months"]:
+        write_month_stage(month_slice(r, y, m), root, y, m)
+    y, m = BIND["store_months"][0]
+    write_month_stage(month_slice(r, y, m), root, y, m, require_dir=True)     # again: replaced
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField(MONTH_COL, T.StringType())])
+    return read_month_stage(spark, root, y, m, schema)
+
+
+def q_sql_views(spark, sf):
+    """Both tables by name in SQL."""
+    A.register_catalog(*tables(spark, sf, edge=True), "marquee_titles", "marquee_genres")
+    return spark.sql("""SELECT t.type, g.genre, count(*) AS n FROM marquee_titles t
+                        JOIN marquee_genres g ON t.show_id = g.show_id GROUP BY ALL""")
+
+
+def _exported(spark, sf) -> str:
+    """B-2 / S9 / S10: the four exports of the catalog; returns their folder."""
+    t, g = tables(spark, sf, edge=True)
+    out = f"{_folder(spark)}/bi"
+    export_for_bi(spark, t, g, out, summary=A.j1_yearly_summary(t))
+    return out
+
+
+def _as_text(spark, path: str, names: list[str]) -> DataFrame:
+    return read_csv_export(spark, path, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+
+
+def q_export_titles(spark, sf):
+    """S9 and the ISO date text: the exported titles, every field as text."""
+    return _as_text(spark, f"{_exported(spark, sf)}/titles.csv", TITLES_SCHEMA.names).select(
+        "show_id", "title", "country", "date_added", "release_year", "duration_minutes")
+
+
+def q_export_countries(spark, sf):
+    return _as_text(spark, f"{_exported(spark, sf)}/title_countries.csv", ["show_id", "country"])
+
+
+def q_export_summary(spark, sf):
+    """The summary, exported because it was given."""
+    return _as_text(spark, f"{_exported(spark, sf)}/yearly_summary.csv",
+                    ["year_added", "total_titles", "movies", "tv_shows", "avg_movie_minutes", "distinct_countries",
+                     "avg_acquisition_lag_years"]).select("year_added", "total_titles", "movies", "tv_shows", "distinct_countries")
+
+
+def q_load_counts(spark, sf):
+    """L4 / A-10: rows of one month's batch for each table."""
+    return load_counts(month_slice(raw(spark, sf, edge=True), *BIND["slice_month"]))
+
+
+def q_report_order(spark, sf):
+    """O-1 / O-2: the place of every row in the reports that are ordered without a limit."""
+    out = None
+    for name in A.ORDERED:
+        rows = QUERIES[name](spark, sf)
+        rows = rows.select(F.lit(name).alias("report"), F.col(rows.columns[0]).cast("string").alias("k"),
+                           F.monotonically_increasing_id().alias("_id"))
+        rows = rows.select("report", "k", F.row_number().over(Window.orderBy("_id")).cast("bigint").alias("place"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_title_countries(spark, sf):
@@ -210,9 +320,40 @@ SKEWED: dict[str, Query] = {
 }
 
 
+# ---------------------------------------------------------------- edge binding
+EDGE: dict[str, Query] = {
+    "edge_parse_added_date": lambda spark, sf: raw(spark, sf, edge=True).select(
+        "show_id", "date_added", parse_added_date("date_added").alias("added_date")),
+    "edge_undated_summary": lambda spark, sf: undated_summary(raw(spark, sf, edge=True)),
+    "edge_clean_titles": lambda spark, sf: tables(spark, sf, edge=True)[0],
+    "edge_clean_genres": lambda spark, sf: tables(spark, sf, edge=True)[1],
+    "edge_backfill_months": lambda spark, sf: _backfill(spark, sf, edge=True)[0],
+    "edge_backfill_genres": lambda spark, sf: _backfill(spark, sf, edge=True)[1],
+    "edge_upsert_titles": lambda spark, sf: _upsert(spark, sf, edge=True)[0],
+    "edge_upsert_genres": lambda spark, sf: _upsert(spark, sf, edge=True)[1],
+    "edge_c3_series_length": lambda spark, sf: A.c3_series_length(tables(spark, sf, edge=True)[0]),
+    "edge_d3_genre_pairs": lambda spark, sf: A.d3_genre_pairs(tables(spark, sf, edge=True)[1]),
+    "edge_e1_primary_country": lambda spark, sf: A.e1_primary_country(tables(spark, sf, edge=True)[0]),
+    "edge_e3_non_us_share": lambda spark, sf: A.e3_non_us_share(tables(spark, sf, edge=True)[0], BIND["e3_home"]),
+    "edge_h3_director_breadth": lambda spark, sf: A.h3_director_breadth(*tables(spark, sf, edge=True)),
+    "edge_j1_yearly_summary": lambda spark, sf: A.j1_yearly_summary(tables(spark, sf, edge=True)[0]),
+    "store_month_titles": lambda spark, sf: _month_loaded(spark, sf)[0],
+    "store_month_genres": lambda spark, sf: _month_loaded(spark, sf)[1],
+    "store_backfill_titles": lambda spark, sf: _backfilled(spark, sf)[0],
+    "store_backfill_genres": lambda spark, sf: _backfilled(spark, sf)[1],
+    "raw_csv_roundtrip": q_raw_csv_roundtrip,
+    "month_stage": q_month_stage,
+    "sql_views": q_sql_views,
+    "export_titles": q_export_titles,
+    "export_countries": q_export_countries,
+    "export_summary": q_export_summary,
+    "load_counts": q_load_counts,
+}
+
+
 # ---------------------------------------------------------------- natural tables
 def _brand_bridge(spark, sf) -> DataFrame:
-    li = read_table(spark, sf, "lineitem", spread_out=True).select("l_orderkey", "l_partkey")
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
     part = read_table(spark, sf, "part").select("p_partkey", "p_brand")
     return li.join(part, li["l_partkey"] == part["p_partkey"]).select(
         F.col("l_orderkey").alias("o_orderkey"), "p_brand")
@@ -297,7 +438,7 @@ def q_lineitem_monthly(spark, sf):
 
 
 def q_brand_share_by_year(spark, sf):
-    li = read_table(spark, sf, "lineitem", spread_out=True).select("l_orderkey", "l_partkey", "l_shipdate")
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
     part = read_table(spark, sf, "part").select("p_partkey", "p_brand")
     lines = li.join(part, li["l_partkey"] == part["p_partkey"]).select("l_orderkey", "l_shipdate", "p_brand")
     return R.distinct_share_by_period(lines, "p_brand", BIND["brand_value"], key="l_orderkey",
@@ -325,6 +466,8 @@ QUERIES: dict[str, Query] = {
     "run_month": q_run_month,
     "title_countries": q_title_countries,
     "stream_ingest": q_stream_ingest,
+    "stream_genres": q_stream_genres,
+    "report_order": q_report_order,
     # the 25 reports
     "a1_overview": _t(A.a1_overview),
     "a2_quality": _t(A.a2_quality),
@@ -369,5 +512,7 @@ QUERIES: dict[str, Query] = {
     "brand_share_by_year": q_brand_share_by_year,
     # a third of all rows on one key
     **SKEWED,
+    # messy values; stores, stages and files
+    **EDGE,
 }
 

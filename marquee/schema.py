@@ -16,7 +16,6 @@ NOT_RATED = "Not Rated"             # fill for null or cleared rating
 MOVIE = "Movie"
 TV_SHOW = "TV Show"
 ADDED_DATE_FORMAT = "MMMM d, yyyy"  # e.g. "September 25, 2021"
-ISO_DATE_FORMAT = "yyyy-MM-dd"
 LIST_SEPARATOR = ","
 # A duration that slipped into the rating column: digits, optional space,
 # then "min", "Season" or "Seasons" (whole value).
@@ -45,6 +44,7 @@ LIBRARY_MIN_LAG = 5
 KEY = "show_id"
 MONTH_COL = "added_month"   # first day of a row's added month (DATE)
 
+# Fixed values too: the columns and types of the three tables below.
 # Raw catalog row. Everything is text except release_year; the date stays
 # text until parsed so that bad values can be counted, not lost in the scan.
 RAW_SCHEMA = T.StructType([

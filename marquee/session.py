@@ -8,6 +8,7 @@ the cluster configured.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -60,7 +61,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(d)
         return d
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", master):     # local-cluster[...] is a cluster
         raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder for the cluster")
     d = tempfile.mkdtemp(prefix="marquee-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(d)

@@ -4,20 +4,25 @@ Spark writes a directory of part files per output. Its CSV writer trims
 leading/trailing spaces and does not quote them by default, which would
 change padded values; both are switched off here so a round trip keeps every
 value. Only outputs that are small by construction (the yearly summary) are
-coalesced to one file.
+gathered into one file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marquee.operators.reports import explode_list
 from marquee.schema import KEY, UNKNOWN
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    out = df.coalesce(1) if single_file else df
-    (out.write.mode("overwrite")
+    """Write ``df``; ``single_file`` gathers the (small) result into one file,
+    sorted rows in their order."""
+    if single_file:
+        order = "_row"
+        df = df.withColumn(order, F.monotonically_increasing_id())
+        df = df.repartition(1).sortWithinPartitions(order).drop(order)
+    (df.write.mode("overwrite")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)

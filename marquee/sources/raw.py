@@ -14,43 +14,43 @@ PANDAS_NULL_TOKENS = ("NA", "N/A", "n/a", "NULL", "null", "None", "nan", "NaN",
                       "#N/A N/A", "")
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool = False,
+class MissingColumnError(ValueError):
+    """The CSV header lacks a column of the catalog."""
+
+
+def read_raw_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool = True,
                  null_tokens: Iterable[str] | None = None,
                  corrupt_col: str | None = None) -> DataFrame:
-    """Scan raw catalog CSV files with the fixed RAW schema.
-
-    ``multi_line`` is needed only when quoted fields contain line breaks; it
-    makes each file a single split, so at scale keep it off or keep files
-    small and many. Only the empty field is null unless ``null_tokens`` is
-    given (``PANDAS_NULL_TOKENS`` reproduces a pandas reader).
-    ``corrupt_col`` names an extra column that keeps the raw text of rows
-    Spark could not parse (e.g. a non-numeric release year), so they can be
-    counted and inspected instead of silently turning into nulls.
+    """Scan raw catalog CSV files; columns are bound by the header's names.
+
+    The header may have any order and further columns; a missing column is an
+    error, and so is a file whose header differs from the first file's.
+
+    By default a quoted field may hold line breaks, which makes each file one
+    split. ``multi_line=False`` splits files, for input known to have no such
+    field; a record that breaks there fails the job instead of loading wrongly.
+    Only the empty field is null unless ``null_tokens`` is given
+    (``PANDAS_NULL_TOKENS`` reproduces a pandas reader). ``corrupt_col`` names
+    an extra column that keeps the raw text of rows Spark could not parse
+    (e.g. a non-numeric release year), so they can be counted and inspected
+    instead of silently turning into nulls.
     """
-    schema = RAW_SCHEMA
-    if corrupt_col:
-        schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(corrupt_col, T.StringType())])
-    reader = (spark.read.schema(schema)
-              .option("header", True)
-              .option("multiLine", multi_line)
-              .option("quote", '"')
-              .option("escape", '"')
-              .option("mode", "PERMISSIVE"))
+    options = {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"'}
+    header = spark.read.options(**options).csv(path).columns
+    if missing := [f.name for f in RAW_SCHEMA.fields if f.name not in header]:
+        raise MissingColumnError(f"no column {', '.join(missing)} in the header of {path}")
+    types = {f.name: f.dataType for f in RAW_SCHEMA.fields}
+    schema = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    reader = spark.read.options(**options, enforceSchema=False, mode="PERMISSIVE" if multi_line else "FAILFAST")
     if corrupt_col:
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-    df = reader.csv(path)
-    if null_tokens:
-        df = apply_null_tokens(df, null_tokens)
-    return df
+        schema = schema.add(corrupt_col, T.StringType())
+        reader = reader.options(columnNameOfCorruptRecord=corrupt_col, mode="PERMISSIVE")
+    df = reader.schema(schema).csv(path).select(*RAW_SCHEMA.names, *([corrupt_col] if corrupt_col else []))
+    return apply_null_tokens(df, null_tokens) if null_tokens else df
 
 
 def apply_null_tokens(df: DataFrame, tokens: Iterable[str]) -> DataFrame:
     """Turn listed text tokens into nulls in every string column."""
     toks = list(tokens)
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if f.dataType.simpleString() == "string":
-            c = F.when(~c.isin(toks), c).alias(f.name)
-        cols.append(c)
-    return df.select(*cols)
+    return df.select(*[F.when(~F.col(f.name).isin(toks), F.col(f.name)).alias(f.name)
+                       if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema.fields])

@@ -3,61 +3,42 @@ DELETE + INSERT.
 
 Layout under ``root``::
 
-    v=000001/titles/      parquet, bucketed by show_id into B files
-    v=000001/genres/      parquet, bucketed by show_id into B files
-    v=000001/_BUCKETS_<B> bucket count of this version
-    v=000001/_TAG_<id>    optional: the batch that produced this version
-    v=000001/_COMPLETE    written last
-    v=000002/...
-    _stage/<batch>/       a job's staged input batch (Parquet), overwritten per run
-
-A load reads the latest complete version and writes the next one; it never
-overwrites what it reads. Readers take the largest version that has the
-``_COMPLETE`` marker, so ``titles`` and ``genres`` switch together and a
-crashed load (no marker) is invisible and simply redone. Versions are
-written under the given (shared) root through the Hadoop FileSystem API, so
-the same code works on HDFS / object stores. One writer at a time.
-
-Both tables are bucketed by the key with Spark's own hash partitioning, and
-each version is declared to the session catalog as an external table with
-that bucket spec. Consequences:
-
-* a keyed load (``publish_replace``) shuffles only the batch: the target is
-  read bucket by bucket, anti-joined with the batch keys (hash-partitioned
-  into the same B partitions) and written back bucket by bucket;
-* ``titles`` JOIN ``genres`` ON show_id, and aggregations by show_id, on the
-  store need no shuffle of either table.
-
-Choose B so that one bucket of the larger table is a comfortable task
-(roughly table size / 256 MB).
-
-A bucket is always one task, so a hot key (say null ids piling up, or one id
-with a third of a batch) would serialise the work. The layout is therefore
-chosen per version: bucketed only while the batch's hottest key stays under
-``max_key_rows`` and no written bucket exceeds ``max_bucket_bytes``;
-otherwise versions are plain Parquet and the joins shuffle with AQE skew
-splitting. ``rebucket()`` returns to the bucketed layout.
+    v=000001/titles/, v=000001/genres/   Parquet: the rows of one load
+    v=000001/_CLAIM                      the writer that took this number
+    v=000001/_COMPLETE                   written last; JSON with the facts below
+    _stage/<batch>/                      a job's staged input, dropped after the load
+    _streams/<id>/                       default checkpoint of a file stream
+
+A load writes its own rows as the next version and nothing else, so it costs
+the batch, not the tables. A reader takes the versions up to the last complete
+one and leaves out every row whose key a later version's titles hold again: the
+keyed DELETE, applied on reading. ``compact`` writes the resolved tables as a
+new base, from which later reads start.
+
+Readers only see versions with a ``_COMPLETE`` file, so ``titles`` and
+``genres`` switch together and a crashed load is invisible and simply redone.
+A number is claimed by creating ``_CLAIM`` without overwriting: of two writers
+that pick the same number one fails. All files go through the Hadoop FileSystem
+API, so the same code works on HDFS and object stores.
+
+``_COMPLETE`` holds ``{"base": bool, "streams": {stream id: last batch id}}``.
 """
 
 from __future__ import annotations
 
 import hashlib
-import logging
+import json
 import re
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from marquee.schema import GENRES_SCHEMA, KEY, TITLES_SCHEMA, empty_frame
 
-log = logging.getLogger("marquee.store")
-
-MARKER = "_COMPLETE"
+MARKER, CLAIM = "_COMPLETE", "_CLAIM"
+VERSION_COL = "v"
 _VERSION = re.compile(r"^v=(\d+)$")
-_BUCKETS = re.compile(r"^_BUCKETS_(\d+)$")
-_BUCKET_FILE = re.compile(r"_(\d{5})(?:\.c\d+)?\.[^_]*parquet$")
-_SORT = {"titles": "date_added", "genres": KEY}
 _SCHEMAS = {"titles": TITLES_SCHEMA, "genres": GENRES_SCHEMA}
 
 
@@ -65,252 +46,147 @@ class MissingInputError(FileNotFoundError):
     """A stage input that must exist is absent (missing input is an error, not an empty load)."""
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Another writer has claimed the version this load was about to write."""
+
+
 class CatalogStore:
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
-                 max_key_rows: int = 2_000_000, max_bucket_bytes: int = 2 << 30,
-                 broadcast_keys_bytes: int = 64 << 20):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.max_key_rows = max_key_rows          # hottest batch key allowed in the bucketed layout
-        self.max_bucket_bytes = max_bucket_bytes  # largest bucket a version may keep bucketed
-        self.broadcast_keys_bytes = broadcast_keys_bytes  # broadcast the batch keys below this bound
-        jvm = spark._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
+        self._Path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._Path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
-        qualified = self._fs.makeQualified(self._Path(self.root)).toString()
-        self._id = hashlib.sha1(qualified.encode()).hexdigest()[:10]
 
     # ------------------------------------------------------------ paths
     def _vdir(self, v: int) -> str:
         return f"{self.root}/v={v:06d}"
 
-    def path(self, table: str, version: int | None = None) -> str:
-        v = self.latest() if version is None else version
-        if v is None:
-            raise MissingInputError(f"no complete version under {self.root}")
-        return f"{self._vdir(v)}/{table}"
-
     def stage_path(self, name: str) -> str:
         """Folder for a job's staged batch (ignored by version listing)."""
         return f"{self.root}/_stage/{name}"
 
-    def table_name(self, kind: str, v: int) -> str:
-        return f"marquee_{self._id}_{kind}_v{v:06d}"
-
     def drop_stage(self, name: str) -> None:
         self._fs.delete(self._Path(self.stage_path(name)), True)
 
+    def stream_checkpoint(self, source: str) -> str:
+        """Default checkpoint of the stream that feeds this store from ``source``."""
+        return f"{self.root}/_streams/{hashlib.sha256(source.rstrip('/').encode()).hexdigest()[:16]}"
+
+    def exists(self, path: str) -> bool:
+        return bool(self._fs.exists(self._Path(path)))
+
+    def read_text(self, path: str) -> str:
+        stream = self._fs.open(self._Path(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def _write_text(self, path: str, text: str) -> None:
+        stream = self._fs.create(self._Path(path), False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    # ------------------------------------------------------------ versions
     def versions(self, complete_only: bool = True) -> list[int]:
         p = self._Path(self.root)
         if not self._fs.exists(p):
             return []
-        out = []
-        for st in self._fs.listStatus(p):
-            m = _VERSION.match(st.getPath().getName())
-            if not m:
-                continue
-            v = int(m.group(1))
-            if complete_only and not self._fs.exists(self._Path(f"{self._vdir(v)}/{MARKER}")):
-                continue
-            out.append(v)
-        return sorted(out)
+        found = [int(m.group(1)) for st in self._fs.listStatus(p) if (m := _VERSION.match(st.getPath().getName()))]
+        return sorted(v for v in found if not complete_only or self.exists(f"{self._vdir(v)}/{MARKER}"))
 
     def latest(self) -> int | None:
         vs = self.versions()
         return vs[-1] if vs else None
 
-    def bucket_count(self, v: int) -> int | None:
-        for st in self._fs.listStatus(self._Path(self._vdir(v))):
-            m = _BUCKETS.match(st.getPath().getName())
-            if m:
-                return int(m.group(1))
-        return None
+    def facts(self, v: int) -> dict:
+        return json.loads(self.read_text(f"{self._vdir(v)}/{MARKER}"))
+
+    def _parts(self, version: int | None = None) -> list[int]:
+        """Versions that make up the tables as of ``version``: the last base and what followed."""
+        vs = [v for v in self.versions() if version is None or v <= version]
+        base = next((i for i in range(len(vs) - 1, -1, -1) if self.facts(vs[i])["base"]), 0)
+        return vs[base:]
+
+    def stream_progress(self, stream_id: str) -> int | None:
+        """Last batch of a stream that any load since the last base has published."""
+        seen = [self.facts(v)["streams"].get(stream_id) for v in self._parts()]
+        return max((b for b in seen if b is not None), default=None)
 
     # ------------------------------------------------------------ read
-    def _declare(self, kind: str, v: int, buckets: int) -> str:
-        """Declare a version's table in the session catalog (external, bucketed)."""
-        name = self.table_name(kind, v)
-        if not self.spark.catalog.tableExists(name):
-            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in _SCHEMAS[kind].fields)
-            loc = f"{self._vdir(v)}/{kind}".replace("'", "\\'")
-            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-                           f"CLUSTERED BY ({KEY}) SORTED BY ({_SORT[kind]}) INTO {buckets} BUCKETS "
-                           f"LOCATION '{loc}'")
-        return name
+    def _scan(self, kind: str, versions: list[int]) -> DataFrame:
+        schema = T.StructType([*_SCHEMAS[kind].fields, T.StructField(VERSION_COL, T.IntegerType())])
+        return (self.spark.read.schema(schema).option("basePath", self.root)
+                .parquet(*[f"{self._vdir(v)}/{kind}" for v in versions]))
 
     def read(self, version: int | None = None) -> tuple[DataFrame, DataFrame]:
-        """(titles, genres) of the latest complete version; empty tables with
-        the target schemas when nothing was loaded yet (CREATE IF NOT EXISTS)."""
-        v = self.latest() if version is None else version
-        if v is None:
+        """(titles, genres) as of a version (default: the latest); empty tables
+        with the target schemas when nothing was loaded yet (CREATE IF NOT EXISTS).
+
+        A row goes if a later version's titles hold its key; null keys never
+        match and stay. The replacing keys come from the loads since the base
+        only; AQE broadcasts them if their measured size is small.
+        """
+        parts = self._parts(version)
+        if not parts:
             return empty_frame(self.spark, TITLES_SCHEMA), empty_frame(self.spark, GENRES_SCHEMA)
-        b = self.bucket_count(v)
-        if b is None:   # plain (unbucketed) version
-            r = self.spark.read
-            return (r.schema(TITLES_SCHEMA).parquet(f"{self._vdir(v)}/titles"),
-                    r.schema(GENRES_SCHEMA).parquet(f"{self._vdir(v)}/genres"))
-        return (self.spark.table(self._declare("titles", v, b)),
-                self.spark.table(self._declare("genres", v, b)))
+        if len(parts) == 1:
+            return tuple(self._scan(kind, parts).drop(VERSION_COL) for kind in _SCHEMAS)
+        last = (self._scan("titles", parts[1:]).where(F.col(KEY).isNotNull())
+                .groupBy(KEY).agg(F.max(VERSION_COL).alias("_last")))
+        return tuple(
+            self._scan(kind, parts).join(last, KEY, "left")
+                .where(F.col("_last").isNull() | (F.col(VERSION_COL) >= F.col("_last")))
+                .select(*_SCHEMAS[kind].names)
+            for kind in _SCHEMAS)
 
     # ------------------------------------------------------------ write
-    def _write_version(self, titles_parts: list[DataFrame], genres_parts: list[DataFrame],
-                       tag: str | None, bucketed: bool) -> int:
-        """Write each table's parts in one write, then the markers.
-
-        Bucketed: every part arrives hash-partitioned by the key into the
-        bucket layout (kept rows from the bucketed scan, batch rows by
-        ``_by_key``), so each task of the union holds one bucket and writes
-        one file - no shuffle of the target, about 2 x B files per table.
-        The version is then declared bucketed only if no bucket exceeds
-        ``max_bucket_bytes``; otherwise it is left as plain Parquet (readers
-        then shuffle, and AQE can split the hot partition).
-
-        Plain: parts are written as they are partitioned, sorted by date /
-        key within each file.
-        """
-        nxt = max(self.versions(complete_only=False), default=0) + 1
-        d = self._vdir(nxt)
-
-        def write(kind: str, parts: list[DataFrame]) -> None:
-            cols = [f.name for f in _SCHEMAS[kind].fields]
-            data = reduce(DataFrame.unionByName, [p.select(*cols) for p in parts])
-            if bucketed:
-                (data.write.bucketBy(self.buckets, KEY).sortBy(_SORT[kind])
-                     .mode("overwrite").option("path", f"{d}/{kind}")
-                     .saveAsTable(self.table_name(kind, nxt)))
-            else:
-                data.sortWithinPartitions(_SORT[kind]).write.mode("overwrite").parquet(f"{d}/{kind}")
+    def _publish(self, titles: DataFrame, genres: DataFrame, base: bool, streams: dict[str, int]) -> int:
+        v = max(self.versions(complete_only=False), default=0) + 1
+        try:
+            self._write_text(f"{self._vdir(v)}/{CLAIM}", "")
+        except Py4JJavaError as e:
+            if "AlreadyExists" in str(e.java_exception.getClass().getName()):
+                raise ConcurrentLoadError(f"version {v} of {self.root} is being written by another load") from e
+            raise
+
+        def write(kind: str, df: DataFrame) -> None:
+            typed = df.select(*[F.col(f.name).cast(f.dataType) for f in _SCHEMAS[kind].fields])
+            typed.write.parquet(f"{self._vdir(v)}/{kind}")
 
         # the two tables are independent jobs: run them side by side
         with ThreadPoolExecutor(max_workers=2) as pool:
-            for f in [pool.submit(write, "titles", titles_parts), pool.submit(write, "genres", genres_parts)]:
+            for f in [pool.submit(write, "titles", titles), pool.submit(write, "genres", genres)]:
                 f.result()
-        if bucketed:
-            biggest = max(self._largest_bucket(f"{d}/{kind}") for kind in _SCHEMAS)
-            if biggest <= self.max_bucket_bytes:
-                self._fs.create(self._Path(f"{d}/_BUCKETS_{self.buckets}"), True).close()
-            else:
-                for kind in _SCHEMAS:
-                    self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(kind, nxt)}")
-                log.warning("version %d: a bucket holds %d bytes (> %d); stored as plain parquet",
-                            nxt, biggest, self.max_bucket_bytes)
-        if tag is not None:
-            self._fs.create(self._Path(f"{d}/_TAG_{tag}"), True).close()
-        self._fs.create(self._Path(f"{d}/{MARKER}"), True).close()
-        return nxt
-
-    def _largest_bucket(self, path: str) -> int:
-        """Bytes of the largest bucket of a bucketed write (file names carry the bucket id)."""
-        sizes: dict[int, int] = {}
-        for st in self._fs.listStatus(self._Path(path)):
-            m = _BUCKET_FILE.search(st.getPath().getName())
-            if m:
-                b = int(m.group(1))
-                sizes[b] = sizes.get(b, 0) + st.getLen()
-        return max(sizes.values(), default=0)
-
-    def _by_key(self, df: DataFrame) -> DataFrame:
-        """Hash-partition into the bucket layout (same hash as bucketing)."""
-        return df.repartition(self.buckets, KEY)
-
-    def _hottest_key_rows(self, *batches: DataFrame) -> int:
-        """Rows of the most frequent key (null included) in any of the batch
-        tables, in one job: partial aggregates per (table, key), then a max."""
-        keyed = reduce(DataFrame.unionByName,
-                       [b.select(F.lit(i).alias("_t"), F.col(KEY)) for i, b in enumerate(batches)])
-        r = keyed.groupBy("_t", KEY).count().agg(F.max("count").alias("m")).collect()[0]["m"]
-        return r or 0
-
-    def publish(self, titles: DataFrame, genres: DataFrame, tag: str | None = None) -> int:
-        """Write whole tables as the next version (plain layout), then its markers."""
-        return self._write_version([titles], [genres], tag, bucketed=False)
-
-    def batch_keys(self, staged_titles: DataFrame, bucketed: bool,
-                   keys_bytes_bound: int | None = None) -> DataFrame:
-        """Distinct non-null keys of the batch, shaped for the anti join.
-
-        Bucketed target: the keys are hash-partitioned into the bucket layout,
-        so the join reads the target bucket by bucket with no shuffle and the
-        kept rows stay one bucket per task (one file per bucket on write). A
-        broadcast would gain nothing here and would let Spark drop the
-        bucketed read, leaving one more file per bucket with every version.
-
-        Plain target: with a proven size bound under ``broadcast_keys_bytes``
-        the key set is broadcast, so the target is not shuffled; otherwise a
-        sort-merge anti join where AQE can split a hot partition.
-        """
-        keys = staged_titles.select(KEY).where(F.col(KEY).isNotNull())
-        if bucketed:
-            return keys.repartition(self.buckets, KEY).distinct()
-        if keys_bytes_bound is not None and keys_bytes_bound <= self.broadcast_keys_bytes:
-            return F.broadcast(keys.distinct())
-        return keys.distinct()
+        self._write_text(f"{self._vdir(v)}/{MARKER}", json.dumps({"base": base, "streams": streams}))
+        return v
 
     def publish_replace(self, staged_titles: DataFrame, staged_genres: DataFrame,
-                        tag: str | None = None, rows_bound: int | None = None,
-                        keys_bytes_bound: int | None = None) -> int:
-        """L3 against the latest version: drop every row whose key is in the
-        staged titles (both tables), add the staged rows, publish.
-
-        Bucketed layout (the latest version is bucketed or the store is empty,
-        and no key of the batch has more than ``max_key_rows`` rows): only the
-        batch is shuffled - its keys are hash-partitioned into the bucket
-        layout once, the target is scanned bucket by bucket and its surviving
-        rows are written back as they are partitioned.
-
-        Plain layout (otherwise): a normal anti join, where AQE broadcasts the
-        key set if its measured size is small and otherwise splits skewed
-        partitions of the sort-merge join. A store that turned plain stays
-        plain; ``rebucket`` rewrites it once the skew is gone.
-        Null keys never match and are kept. ``rows_bound`` (the larger of the
-        batch's title and genre row counts, if the caller knows it) skips the
-        hot-key aggregate when the whole batch is within ``max_key_rows``;
-        ``keys_bytes_bound`` lets a provably small key set be broadcast
-        (``batch_keys``).
-        """
-        v = self.latest()
-        small = rows_bound is not None and rows_bound <= self.max_key_rows
-        bucketed = ((v is None or self.bucket_count(v) is not None)
-                    and (small or self._hottest_key_rows(staged_titles, staged_genres) <= self.max_key_rows))
+                        stream: tuple[str, int] | None = None) -> int:
+        """L3: publish a batch that replaces every key of its titles in both
+        tables. Only the batch is written. ``stream``: (stream id, batch id)
+        that the load comes from."""
+        return self._publish(staged_titles, staged_genres, False, dict([stream]) if stream else {})
+
+    def compact(self) -> int:
+        """Write the resolved tables as a new base; stream progress is carried on."""
+        streams: dict[str, int] = {}
+        for v in self._parts():
+            for k, b in self.facts(v)["streams"].items():
+                streams[k] = max(b, streams.get(k, b))
         titles, genres = self.read()
-        keys = self.batch_keys(staged_titles, bucketed, keys_bytes_bound)
-        kept_t = titles.join(keys, KEY, "left_anti")
-        kept_g = genres.join(keys, KEY, "left_anti")
-        add_t = self._by_key(staged_titles) if bucketed else staged_titles
-        add_g = self._by_key(staged_genres) if bucketed else staged_genres
-        return self._write_version([kept_t, add_t], [kept_g, add_g], tag, bucketed)
-
-    def rebucket(self) -> int:
-        """Rewrite the latest version in the bucketed layout (one shuffle of
-        both tables by key). Meant for a store that turned plain after a
-        skewed batch, once the hot key is gone."""
-        titles, genres = self.read()
-        return self._write_version([self._by_key(titles)], [self._by_key(genres)], None, bucketed=True)
-
-    def latest_has_tag(self, tag: str) -> bool:
-        """Whether the latest complete version was produced by batch ``tag``."""
-        v = self.latest()
-        return v is not None and self.exists(f"{self._vdir(v)}/_TAG_{tag}")
+        return self._publish(titles, genres, True, streams)
 
     def prune(self, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` complete versions (and stale
-        incomplete ones older than the newest complete), with their catalog
-        entries (external tables: dropping them deletes no data)."""
+        """Delete the versions that none of the newest ``keep`` complete ones
+        needs, and incomplete ones older than the newest complete one."""
         complete = self.versions()
         if not complete:
             return []
-        newest = complete[-1]
-        keep_set = set(complete[-keep:]) if keep > 0 else set()
-        dropped = []
-        for v in self.versions(complete_only=False):
-            if v in keep_set or v > newest:
-                continue
-            for kind in _SCHEMAS:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(kind, v)}")
+        needed = {p for v in complete[-max(keep, 1):] for p in self._parts(v)}
+        dropped = [v for v in self.versions(complete_only=False) if v not in needed and v < complete[-1]]
+        for v in dropped:
             self._fs.delete(self._Path(self._vdir(v)), True)
-            dropped.append(v)
         return dropped
-
-    def exists(self, path: str) -> bool:
-        return bool(self._fs.exists(self._Path(path)))

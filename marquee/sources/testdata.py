@@ -12,48 +12,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from marquee.schema import RAW_SCHEMA
 
 
-_SCANS: dict[tuple[int, str, bool], DataFrame] = {}
+_SCANS: dict[tuple[int, str], DataFrame] = {}
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_out: bool = False) -> DataFrame:
-    """Scan of one testdata table (read-only files), memoized per session, path
-    and spread choice: a DataFrame is an immutable plan, so queries can share
-    it and skip re-listing and re-planning the same file."""
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan of one testdata table (read-only files), memoized per session and
+    path: a DataFrame is an immutable plan, so queries can share it and skip
+    re-listing and re-planning the same file."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    memo = (id(spark), path, spread_out)
+    memo = (id(spark), path)
     df = _SCANS.get(memo)
     if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        df = spread(df) if spread_out else df
-        _SCANS[memo] = df
+        df = _SCANS[memo] = spark.read.parquet(path)
     return df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan over more tasks when it has fewer splits than the
-    session can run at once (a small file with one row group is one task).
-
-    Only the split count is inspected (file listing, no job). On a large
-    input the scan already has far more splits than cores and this is a
-    no-op, so it never adds a shuffle at scale.
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. no RDD API on a Connect session: leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def catalog_from_orders(orders: DataFrame, hot_every: int | None = None) -> DataFrame:
+def catalog_from_orders(orders: DataFrame, hot_every: int | None = None, edge: bool = False) -> DataFrame:
     """Raw catalog rows derived from ``orders`` (one row per order).
 
     ``hot_every=n`` gives every n-th order the same id ``s0`` - a hot key
     holding 1/n of all rows (and of their genre rows), to exercise skew.
+    ``edge`` adds what messy catalogs hold: null and repeated ids, impossible
+    and blank dates, seasons in the rating, null and blank list entries.
     """
     k = F.col("o_orderkey")
     cust = F.col("o_custkey")
@@ -89,6 +73,12 @@ def catalog_from_orders(orders: DataFrame, hot_every: int | None = None) -> Data
     show_id = F.concat(F.lit("s"), _s(k))
     if hot_every:
         show_id = F.when(k % hot_every == 0, F.lit("s0")).otherwise(show_id)
+    if edge:
+        show_id = F.when(k % 17 == 0, F.lit(None)).when(k % 19 == 0, F.concat(F.lit("s"), _s(k % 50))).otherwise(show_id)
+        date_added = F.when(k % 23 == 0, F.lit("February 30, 1997")).when(k % 29 == 0, F.lit("  ")).otherwise(date_added)
+        rating = F.when(k % 31 == 0, F.lit("1 Season")).when(k % 37 == 0, F.lit("2 Seasons")).otherwise(rating)
+        listed_in = F.when(k % 13 == 1, F.lit(None)).when(k % 13 == 2, F.lit("G1, , G2")).otherwise(listed_in)
+        country = F.when(k % 41 == 0, F.lit(", C3")).otherwise(country)
     exprs = {
         "show_id": show_id, "type": kind, "title": F.concat(F.lit("Title "), _s(k)),
         "director": director, "cast": cast_names, "country": country, "date_added": date_added,
@@ -96,8 +86,3 @@ def catalog_from_orders(orders: DataFrame, hot_every: int | None = None) -> Data
         "listed_in": listed_in, "description": F.lit(None),
     }
     return orders.select(*[exprs[f.name].cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
-
-
-def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw catalog for one testdata scale factor."""
-    return catalog_from_orders(read_table(spark, sf_dir, "orders", spread_out=True))

@@ -1,73 +1,72 @@
 """The monthly pipeline fed by newly arrived raw files.
 
-``readStream`` over a folder of raw CSV files -> ``foreachBatch`` keyed load
-into the versioned store -> ``trigger(availableNow=True)``: every run picks
-up exactly the files that arrived since the last run (tracked in the
-streaming checkpoint) and stops.
+A file stream finds the CSV files that arrived since the last run (tracked in
+the streaming checkpoint); ``foreachBatch`` reads them like any raw catalog
+(columns by name, quoted line breaks) and loads them into the versioned store;
+``trigger(availableNow=True)`` processes what is there as one batch and stops.
 
-Within one micro-batch a key keeps its latest month's rows (as in the
-one-pass backfill); across batches the later batch replaces the key, as a
-later monthly run would. ``foreachBatch`` can replay a batch after a
-failure; each published version records its batch id, and a replayed batch
-that was already published is skipped, so null-key rows are not appended
-twice either.
-
-Cost: every micro-batch publishes a store version, i.e. rewrites both tables
-once (shuffle-free in the bucketed layout). Keep triggers coarse: with
-``availableNow`` and no ``max_files_per_trigger`` all files that arrived
-since the last run form one batch and one rewrite.
+Within one batch a key keeps its latest month's rows (as in the one-pass
+backfill); across batches the later batch replaces the key, as a later monthly
+run would. A batch may be replayed after a failure, and must then load nothing
+twice. Every version records which batch of which stream it came from; the
+stream is named by the id in its checkpoint, so another checkpoint's batches are
+never taken for replays, and progress is looked up over all versions since the
+last base, so loads of other kinds in between don't hide it.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators.ingest import tag_months
-from marquee.plans.jobs import batch_stats, staged_from_tagged
-from marquee.schema import RAW_SCHEMA
-from marquee.session import checkpoint_dir
+from marquee.plans.jobs import stage, staged_from_tagged
+from marquee.sources.raw import read_raw_csv
 from marquee.sources.store import CatalogStore
 
-def load_batch(store: CatalogStore, batch: DataFrame, batch_id: int, query_id: str = "catalog") -> int | None:
-    """Keyed load of one micro-batch of raw rows; returns the new version or
-    None when this batch was already published."""
-    tag = f"{query_id}-{batch_id}"
-    if store.latest_has_tag(tag):
-        return None
-    spark = batch.sparkSession
-    stage = f"stream={tag}"
-    tagged = store_stage(spark, store, tag_months(batch), stage)
-    stats = batch_stats(tagged)
-    v = store.publish_replace(*staged_from_tagged(tagged), tag=tag, rows_bound=stats.rows_bound,
-                              keys_bytes_bound=stats.keys_bytes_bound)
-    store.drop_stage(stage)   # published: the batch stage is no longer needed
-    return v
+
+#: What Spark's binary file source gives for a file; only the path is read.
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
-def store_stage(spark: SparkSession, store: CatalogStore, df: DataFrame, name: str) -> DataFrame:
-    path = store.stage_path(name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def load_batch(store: CatalogStore, batch: DataFrame, batch_id: int, stream_id: str) -> int | None:
+    """Keyed load of one micro-batch of raw rows; returns the new version, or
+    None when the stream has published this batch already."""
+    done = store.stream_progress(stream_id)
+    if done is not None and batch_id <= done:
+        return None
+    name = f"stream={stream_id}-{batch_id}"
+    tagged = stage(batch.sparkSession, tag_months(batch), store.stage_path(name))
+    v = store.publish_replace(*staged_from_tagged(tagged), stream=(stream_id, batch_id))
+    store.drop_stage(name)
+    return v
 
 
 def catalog_stream(spark: SparkSession, source_dir: str, store: CatalogStore,
-                   checkpoint: str | None = None, query_id: str = "catalog",
-                   max_files_per_trigger: int | None = None, multi_line: bool = False,
-                   available_now: bool = True) -> StreamingQuery:
+                   checkpoint: str | None = None, max_files_per_trigger: int | None = None,
+                   multi_line: bool = True, available_now: bool = True) -> StreamingQuery:
     """Start the file-stream ingestion; with ``available_now`` it processes
-    what has arrived and stops (call ``awaitTermination()``)."""
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/marquee-stream-{query_id}"
-    reader = (spark.readStream.schema(RAW_SCHEMA)
-              .option("header", True)
-              .option("multiLine", multi_line)
-              .option("quote", '"').option("escape", '"'))
+    what has arrived and stops (call ``awaitTermination()``).
+
+    Without ``checkpoint`` the stream's progress lies in the store, under a
+    name that follows from ``source_dir``: the same command run again loads
+    only what is new. ``max_files_per_trigger`` bounds a batch, and with it the
+    list of file names that a batch hands to its reader.
+    """
+    ckpt = (checkpoint or store.stream_checkpoint(source_dir)).rstrip("/")
+
+    def load(files: DataFrame, batch_id: int) -> None:
+        paths = [r["path"] for r in files.select("path").collect()]
+        if paths:
+            stream_id = json.loads(store.read_text(f"{ckpt}/metadata"))["id"]
+            load_batch(store, read_raw_csv(files.sparkSession, paths, multi_line=multi_line), batch_id, stream_id)
+
+    # only names are taken from this source; contents are never read through it
+    reader = spark.readStream.format("binaryFile").schema(FILES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source_dir)
-    writer = (stream.writeStream
-              .foreachBatch(lambda df, bid: load_batch(store, df, bid, query_id))
-              .option("checkpointLocation", ckpt)
-              .queryName(f"marquee_{query_id}"))
+    writer = reader.load(source_dir).select("path").writeStream.foreachBatch(load).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -42,6 +42,7 @@ def test_cli_stream_and_prune(spark, make_raw, tmp_path, capsys):
         if f.startswith("part-"):
             shutil.copy(tmp_path / "incoming" / "more" / f, tmp_path / "incoming" / f"late-{f}")
     assert main(["stream", "--source", src, "--store", store, "--checkpoint", ckpt]) == 0
+    assert main(["compact", "--store", store]) == 0
     assert main(["prune", "--store", store, "--keep", "1"]) == 0
     out = capsys.readouterr().out
-    assert "latest version 1" in out and "latest version 2" in out and "dropped versions [1]" in out
+    assert "latest version 1" in out and "latest version 2" in out and "dropped versions [1, 2]" in out

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
+
 from marquee.plans import analyses as A
 from marquee.operators.clean import clean_titles
-from marquee.sources.raw import PANDAS_NULL_TOKENS, read_raw_csv
+from marquee.sources.raw import PANDAS_NULL_TOKENS, MissingColumnError, read_raw_csv
 
 CSV = '''show_id,type,title,director,cast,country,date_added,release_year,rating,duration,listed_in,description
 s1,Movie,"A, quoted ""title""",D1,"A1, A2","United States, France"," September 25, 2021 ",2020,PG-13,90 min,"Dramas, Comedies","multi
@@ -16,7 +18,7 @@ s2,TV Show,None,,NA,,"January 1, 2020",2019,74 min,,International TV Shows,
 def test_read_raw_csv_fixed_schema(spark, tmp_path):
     p = tmp_path / "raw.csv"
     p.write_text(CSV)
-    df = read_raw_csv(spark, f"file://{p}", multi_line=True)
+    df = read_raw_csv(spark, f"file://{p}")
     rows = {r.show_id: r for r in df.collect()}
     assert rows["s1"].title == 'A, quoted "title"'
     assert rows["s1"].date_added == " September 25, 2021 "
@@ -28,7 +30,7 @@ def test_read_raw_csv_fixed_schema(spark, tmp_path):
     assert got["s2"].rating == "Not Rated" and got["s2"].duration_seasons == 74.0
     assert got["s1"].date_added.isoformat() == "2021-09-25"
     # pandas-style null tokens on request
-    df2 = read_raw_csv(spark, f"file://{p}", multi_line=True, null_tokens=PANDAS_NULL_TOKENS)
+    df2 = read_raw_csv(spark, f"file://{p}", null_tokens=PANDAS_NULL_TOKENS)
     r2 = {r.show_id: r for r in df2.collect()}["s2"]
     assert r2.title is None and r2.cast is None
 
@@ -36,7 +38,7 @@ def test_read_raw_csv_fixed_schema(spark, tmp_path):
 def test_register_catalog_for_sql(spark, tmp_path):
     p = tmp_path / "raw.csv"
     p.write_text(CSV)
-    t, g = clean_titles(read_raw_csv(spark, f"file://{p}", multi_line=True))
+    t, g = clean_titles(read_raw_csv(spark, f"file://{p}"))
     A.register_catalog(t, g)
     n = spark.sql("SELECT count(*) AS n FROM titles t JOIN genres g ON t.show_id = g.show_id").collect()[0].n
     assert n == 3
@@ -45,7 +47,35 @@ def test_register_catalog_for_sql(spark, tmp_path):
 def test_read_raw_csv_keeps_unparseable_rows(spark, tmp_path):
     p = tmp_path / "raw.csv"
     p.write_text(CSV.replace(',2019,74 min,', ',20x9,74 min,'))
-    df = read_raw_csv(spark, f"file://{p}", multi_line=True, corrupt_col="_corrupt")
+    df = read_raw_csv(spark, f"file://{p}", corrupt_col="_corrupt")
     rows = {r.show_id: r for r in df.collect()}
     assert rows["s2"].release_year is None and "20x9" in rows["s2"]["_corrupt"]
     assert rows["s1"]["_corrupt"] is None
+
+
+def test_columns_are_bound_by_name(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    lines = CSV.split("\n")
+    p.write_text("\n".join([lines[0].replace("type,title", "title,type"), *lines[1:]]))
+    rows = {r.show_id: r for r in read_raw_csv(spark, f"file://{p}").collect()}
+    assert rows["s1"].title == "Movie" and rows["s1"].type == 'A, quoted "title"'
+    p.write_text(CSV.replace("listed_in", "genres"))
+    with pytest.raises(MissingColumnError, match="listed_in"):
+        read_raw_csv(spark, f"file://{p}")
+
+
+def test_files_must_agree_on_their_header(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.csv").write_text(CSV)
+    (tmp_path / "d" / "b.csv").write_text(CSV.replace("type,title", "title,type"))
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, f"file://{tmp_path}/d").collect()
+
+
+def test_split_reading_fails_on_a_broken_record(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text(CSV)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_raw_csv(spark, f"file://{p}", multi_line=False).collect()
+    p.write_text(CSV.replace("multi\nline", "one line"))
+    assert read_raw_csv(spark, f"file://{p}", multi_line=False).count() == 2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 
 import pytest
@@ -10,7 +11,7 @@ from marquee.operators.clean import clean_titles
 from marquee.operators.upsert import replace_by_key, upsert_catalog
 from marquee.plans.jobs import apply_month, backfill, backfill_tables, read_stage, run_month, write_month_stage
 from marquee.schema import GENRES_SCHEMA, TITLES_SCHEMA
-from marquee.sources.store import CatalogStore, MissingInputError
+from marquee.sources.store import CatalogStore, ConcurrentLoadError, MissingInputError
 from tests.conftest import raw_row
 
 
@@ -130,8 +131,36 @@ def test_store_versions_and_markers(spark, moving_raw, tmp_path):
     v = backfill(spark, moving_raw, CatalogStore(spark, f"file://{tmp_path}/one"), MONTHS[0], MONTHS[-1])
     assert v == 1
     assert bag(CatalogStore(spark, f"file://{tmp_path}/one").read()[0]) == bag(t_loop)
-    assert store.prune(keep=2) == [1, 2]
-    assert store.versions() == [3, 4]
+    # staged copies are gone after the loads
+    assert os.listdir(tmp_path / "store" / "_stage") == [] and os.listdir(tmp_path / "one" / "_stage") == []
+    # nothing can be pruned before a compaction: later versions build on the first ones
+    assert store.prune(keep=1) == []
+    assert store.compact() == 6
+    assert bag(store.read()[0]) == bag(t_loop) and bag(store.read()[1]) == bag(g_loop)
+    assert store.prune(keep=1) == [1, 2, 3, 4, 5]
+    assert bag(store.read()[0]) == bag(t_loop)
+
+
+def test_a_load_writes_only_its_batch(spark, make_raw, tmp_path):
+    store = CatalogStore(spark, f"file://{tmp_path}/s")
+    many = make_raw([raw_row(f"k{i}", date_added="January 5, 2021") for i in range(500)]
+                    + [raw_row("k3", date_added="February 5, 2021", title="new")])
+    run_month(spark, many, store, 2021, 1)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "s" / "v=000001").rglob("*")}
+    v = run_month(spark, many, store, 2021, 2)
+    assert spark.read.parquet(f"file://{tmp_path}/s/v={v:06d}/titles").count() == 1
+    assert {f: f.stat().st_mtime_ns for f in (tmp_path / "s" / "v=000001").rglob("*")} == before
+    titles, _ = store.read()
+    assert titles.count() == 500 and [r.title for r in titles.collect() if r.show_id == "k3"] == ["new"]
+
+
+def test_second_writer_of_a_version_fails(spark, moving_raw, tmp_path, monkeypatch):
+    one, two = (CatalogStore(spark, f"file://{tmp_path}/s") for _ in range(2))
+    run_month(spark, moving_raw, one, 2021, 1)
+    monkeypatch.setattr(two, "versions", lambda complete_only=True: [])     # listed before the other's claim
+    with pytest.raises(ConcurrentLoadError):
+        two.publish_replace(*clean_titles(moving_raw))
+    assert one.versions() == [1] and bag(one.read()[0]) == bag(loop(spark, moving_raw, [(2021, 1)])[0])
 
 
 def test_stage_io(spark, moving_raw, tmp_path):
@@ -153,61 +182,35 @@ def test_run_month_logs_stage_counts(spark, moving_raw, tmp_path, caplog):
     assert any("titles 2 rows, genres 2 rows" in r.getMessage() for r in caplog.records)
 
 
-def test_reports_on_bucketed_store_equal_in_memory(spark, tmp_path):
-    """Reports read from the bucketed store (co-located joins, no shuffles of
-    the tables) give the same results as on the in-memory tables."""
+def test_reports_on_store_equal_in_memory(spark, tmp_path):
     from marquee.plans import analyses as A
     from marquee.plans.registry import raw, tables
     from tests.conftest import SF_SMALL
-    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=4)
-    backfill(spark, raw(spark, SF_SMALL), store, (1990, 1), (2010, 12))
+    store = CatalogStore(spark, f"file://{tmp_path}/s")
+    source = raw(spark, SF_SMALL, edge=True)
+    backfill(spark, source, store, (1990, 1), (1997, 12))
+    run_month(spark, source, store, 1998, 1)
+    backfill(spark, source, store, (1998, 2), (2010, 12))
     st, sg = store.read()
-    mt, mg = tables(spark, SF_SMALL)
+    from marquee.plans.jobs import backfill_tables
+    mt, mg = backfill_tables(*empty(spark), source, (1990, 1), (2010, 12))
     assert bag(st) == bag(mt) and bag(sg) == bag(mg)
     for fn in (lambda t, g: A.d3_genre_pairs(g), lambda t, g: A.d2_rising_genres(g, t, (1996, 1998), (1999, 2001), 1),
                lambda t, g: A.h3_director_breadth(t, g, min_titles=1), lambda t, g: A.j1_yearly_summary(t),
                lambda t, g: A.e3_non_us_share(t, "C1"), lambda t, g: A.f1_ratings(t)):
         assert bag(fn(st, sg)) == bag(fn(mt, mg))
-    # second session-independent read: tables are declared again from the files
-    fresh = CatalogStore(spark, f"file://{tmp_path}/s")
-    for kind in ("titles", "genres"):
-        spark.sql(f"DROP TABLE IF EXISTS {fresh.table_name(kind, fresh.latest())}")
-    ft, fg = fresh.read()
-    assert bag(ft) == bag(mt)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = ft.join(fg, "show_id").groupBy("show_id", "genre").count()
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Exchange" not in plan
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
-def test_hot_key_batch_switches_store_to_plain_layout(spark, make_raw, tmp_path):
+
+
+def test_hot_and_null_keys_in_the_store(spark, make_raw, tmp_path):
     hot = [raw_row("h", date_added="January 3, 2021", listed_in="X")] * 30
     hot += [raw_row(None, date_added="January 4, 2021")] * 5
     hot += [raw_row(f"k{i}", date_added="January 5, 2021") for i in range(10)]
-    raw = make_raw(hot + [raw_row("a", date_added="February 1, 2021")])
-    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=4, max_key_rows=10)
-    run_month(spark, raw, store, 2021, 1)
-    v1 = store.latest()
-    assert store.bucket_count(v1) is None                      # hot key -> plain layout
-    run_month(spark, raw, store, 2021, 2)                      # stays plain
-    assert store.bucket_count(store.latest()) is None
+    raw = make_raw(hot + [raw_row("a", date_added="February 1, 2021"), raw_row("h", date_added="February 2, 2021")])
+    store = CatalogStore(spark, f"file://{tmp_path}/s")
+    for m in (1, 2):
+        run_month(spark, raw, store, 2021, m)
     t_loop, g_loop = loop(spark, raw, [(2021, 1), (2021, 2)])
     assert bag(store.read()[0]) == bag(t_loop) and bag(store.read()[1]) == bag(g_loop)
-    v = store.rebucket()
-    assert store.bucket_count(v) == 4
-    assert bag(store.read()[0]) == bag(t_loop)
-
-
-def test_oversized_bucket_is_not_declared_bucketed(spark, moving_raw, tmp_path):
-    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=4, max_bucket_bytes=1)
-    run_month(spark, moving_raw, store, 2021, 1)
-    assert store.bucket_count(store.latest()) is None
-    t_loop, _ = loop(spark, moving_raw, [(2021, 1)])
-    assert bag(store.read()[0]) == bag(t_loop)
 
 
 def test_month_stage_read_is_partition_pruned(spark, moving_raw, tmp_path):
@@ -226,26 +229,6 @@ def test_month_stage_read_is_partition_pruned(spark, moving_raw, tmp_path):
         read_month_stage(spark, root, 2021, 7, schema)
 
 
-def test_small_key_set_is_broadcast_behind_its_bound(spark, moving_raw, tmp_path):
-    from marquee.plans.jobs import batch_stats
-    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=4)
-    stats = batch_stats(moving_raw)
-    assert stats.titles == 8 and stats.key_chars == 1
-    titles, _ = clean_titles(moving_raw)
-    target = titles   # a plain (unbucketed) target
-    small = store.batch_keys(titles, bucketed=False, keys_bytes_bound=stats.keys_bytes_bound)
-    big = store.batch_keys(titles, bucketed=False, keys_bytes_bound=10 ** 12)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        plan_small = target.join(small, "show_id", "left_anti")._jdf.queryExecution().executedPlan().toString()
-        plan_big = target.join(big, "show_id", "left_anti")._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin" in plan_small and "SortMergeJoin" not in plan_small
-    assert "SortMergeJoin" in plan_big
-
-
 def test_month_stage_requires_existing_folder_on_request(spark, moving_raw, tmp_path):
     with pytest.raises(FileNotFoundError):
         write_month_stage(moving_raw, f"file://{tmp_path}/missing", 2021, 1, require_dir=True)
@@ -253,27 +236,10 @@ def test_month_stage_requires_existing_folder_on_request(spark, moving_raw, tmp_
     assert write_month_stage(moving_raw, f"file://{tmp_path}/present", 2021, 1, require_dir=True)
 
 
-def test_bucket_files_do_not_accumulate_across_versions(spark, tmp_path):
-    import collections
-    import os
-    import re
-    from marquee.plans.registry import raw
-    from tests.conftest import SF_SMALL
-    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=4)
-    source = raw(spark, SF_SMALL)
-    backfill(spark, source, store, (1995, 1), (1997, 12))
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")   # several splits per input file
-    try:
-        for m in (1, 2, 3):
-            v = run_month(spark, source, store, 1998, m)
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert store.bucket_count(v) == 4
-    for kind in ("titles", "genres"):
-        files = [f for f in os.listdir(tmp_path / "s" / f"v={v:06d}" / kind) if f.startswith("part-")]
-        per_bucket = collections.Counter(re.search(r"_(\d{5})\.", f).group(1) for f in files)
-        assert max(per_bucket.values()) <= 2, per_bucket
+def test_latest_month_takes_two_references(spark, moving_raw):
+    from marquee.operators.ingest import latest_month_rows, tag_months
+    plan = latest_month_rows(tag_months(moving_raw))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LocalRelation") + plan.count("LogicalRDD") == 2 and "Union" not in plan
 
 
 def test_apply_months_with_checkpoints_equals_backfill(spark, moving_raw):
@@ -288,7 +254,7 @@ def test_apply_months_with_checkpoints_equals_backfill(spark, moving_raw):
 
 
 def test_older_versions_stay_readable(spark, moving_raw, tmp_path):
-    store = CatalogStore(spark, f"file://{tmp_path}/s", buckets=2)
+    store = CatalogStore(spark, f"file://{tmp_path}/s")
     v1 = run_month(spark, moving_raw, store, 2021, 1)
     v2 = run_month(spark, moving_raw, store, 2021, 3)
     t1, _ = store.read(v1)
