@@ -73,6 +73,16 @@ def broadcast_if_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(table) if table.count() <= limit else table
 
 
+#: Bytes of a table with arrays that may be broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if_light(table: DataFrame, array: str, item_bytes: int, row_bytes: int = 48, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a written table with one array column for broadcast if its rows and items, counted, are small enough."""
+    n = table.agg(F.count("*").alias("rows"), F.sum(F.size(array)).alias("items")).first()
+    return F.broadcast(table) if n["rows"] * row_bytes + (n["items"] or 0) * item_bytes <= limit else table
+
+
 def text_key(c: Column) -> Column:
     """Hash of a text that, with doc_id, stands for its row: fully repeated rows share it."""
     return F.xxhash64(F.coalesce(c, F.lit("")), c.isNull())
