@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from marquee.llm.common import crc_mod, materialize
+from marquee.llm.common import broadcast_if_small, crc_mod, materialize
 
 BITS = 18               # n-grams are hashed to 2**BITS features
 SAMPLE = 6000           # training rows that the descent sees (bound on its memory)
@@ -202,8 +202,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float, float] |
 
 def training_rows(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
     """Labelled rows outside the held-out ids; contradictory labels of one id count once each, repeated ones once."""
-    marks = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)").distinct()
-    return docs.select("doc_id", "text").where(~held_out).join(marks, "doc_id")
+    marks = materialize(labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)").distinct())
+    return docs.select("doc_id", "text").where(~held_out).join(broadcast_if_small(marks), "doc_id")
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
