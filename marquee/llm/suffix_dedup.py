@@ -32,7 +32,7 @@ from marquee.llm.common import broadcast_if_small, materialize, text_key
 
 LENGTH = 400
 SHALLOW = 8                 # bytes that the quicksort looks at beyond the shared gram
-SPLIT = 4096
+SPLIT = 1 << 15             # surroundings sorted in one task: 20 MB
 PIECE = 1 << 18             # bytes that are hashed at once
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -216,52 +216,55 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, split: int = SPLIT) ->
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = _Grams(gram, 2 * PIECE + length)
         for batch in batches:
-            blobs = [x.as_buffer() for x in batch.column(2)]
-            pieces, source, size = [], [], 0
-            rows: list[tuple] = []
-            for i, blob in enumerate(blobs):
-                whole = np.frombuffer(blob, np.uint8)
-                for start in range(0, len(whole) - length + 1, PIECE):
-                    piece = whole[start:start + PIECE + length - 1]     # the windows that start in the piece
-                    pieces.append(piece)
-                    source.append((i, start))
-                    size += len(piece)
-                    if size >= PIECE:
-                        rows += place(grams, pieces, source, blobs)
-                        pieces, source, size = [], [], 0
-            rows += place(grams, pieces, source, blobs)
-            yield from emit(batch, rows)
-
-    def place(grams: _Grams, pieces: list, source: list, blobs: list) -> list[tuple]:
-        piece, at, h = anchors(pieces, length, grams)
-        out = []
-        for p, x, g in zip(piece.tolist(), at.tolist(), h.view(np.int64).tolist(), strict=True):
-            i, start = source[p]
-            out.append((i, start + x, g))
-        return out
-
-    def emit(batch: pa.RecordBatch, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+            first, size = 0, 0
+            for i, blob in enumerate(batch.column(2), 1):       # some documents at a time bound what a task holds
+                size += len(blob.as_buffer())
+                if size >= PIECE or i == batch.num_rows:
+                    yield anchor_rows(grams, batch.slice(first, i - first))
+                    first, size = i, 0
+
+    def anchor_rows(grams: _Grams, batch: pa.RecordBatch) -> pa.RecordBatch:
+        blobs = [x.as_buffer() for x in batch.column(2)]
+        pieces, source, size = [], [], 0
+        places: list[dict[int, int]] = [{} for _ in blobs]      # of each document: position -> gram
+
+        def place() -> None:
+            piece, at, h = anchors(pieces, length, grams)
+            for p, x, g in zip(piece.tolist(), at.tolist(), h.view(np.int64).tolist(), strict=True):
+                i, start = source[p]
+                places[i][start + x] = g                        # pieces share anchors at their edges
+            pieces.clear()
+            source.clear()
+
+        for i, blob in enumerate(blobs):
+            whole = np.frombuffer(blob, np.uint8)
+            for start in range(0, len(whole) - length + 1, PIECE):
+                pieces.append(whole[start:start + PIECE + length - 1])      # the windows that start in the piece
+                source.append((i, start))
+                size += len(pieces[-1])
+                if size >= PIECE:
+                    place()
+                    size = 0
+        place()
         cols: list[list] = [[] for _ in range(7)]
-        views = [memoryview(x.as_buffer()) for x in batch.column(2)]
-        by_doc: dict[int, dict[tuple[int, int], list[int]]] = defaultdict(lambda: defaultdict(list))
-        for i, x, g in set(rows):               # windows at a piece's edge share anchors
-            a, b = max(0, x - most), min(len(views[i]), x + length)
-            by_doc[i][g, xxhash.xxh64_intdigest(views[i][a:b], x - a) - (1 << 63)].append(x)
-        for i, found in by_doc.items():
-            n = len(views[i])
-            for (g, around), places in found.items():
-                places.sort()
-                x = places[0]
-                for c, v in zip(cols, (i, g, around, x, min(x, most), min(n - x, length), len(places)), strict=True):
-                    c.append(v)
-                for x in places[1:]:            # a repeat inside the text needs no partner elsewhere
-                    for c, v in zip(cols, (i, None, None, x, min(x, most), min(n - x, length), 0), strict=True):
+        for i, found in enumerate(places):
+            view = memoryview(blobs[i])
+            n = len(view)
+            same: dict[tuple[int, int], list[int]] = defaultdict(list)
+            for x, g in found.items():
+                a, b = max(0, x - most), min(n, x + length)
+                same[g, xxhash.xxh64_intdigest(view[a:b], x - a) - (1 << 63)].append(x)
+            for (g, around), at in same.items():
+                at.sort()
+                for k, x in enumerate(at):      # a repeat inside the text needs no partner elsewhere
+                    row = (i, None if k else g, None if k else around, x, min(x, most), min(n - x, length), 0 if k else len(at))
+                    for c, v in zip(cols, row, strict=True):
                         c.append(v)
         take = pa.array(cols[0], pa.int64())
         types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take),
-                                          *(pa.array(c, t) for c, t in zip(cols[1:], types, strict=True))],
-                                         ["doc_id", "th", "gram", "around", "at", "left", "right", "n"])
+        return pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take),
+                                           *(pa.array(c, t) for c, t in zip(cols[1:], types, strict=True))],
+                                          ["doc_id", "th", "gram", "around", "at", "left", "right", "n"])
 
     found = materialize(texts.mapInArrow(
         find, f"doc_id {id_type}, th long, gram long, around long, at int, left int, right int, n int"))
