@@ -135,10 +135,13 @@ def fingerprint_edits(docs: DataFrame, chain: int = CHAIN, reach: int = REACH, p
     # what a row needs of the next document: the beginning of its text and its signatures
     sent = rows.withColumn("th", text_key(F.col("text"))).join(
         broadcast_if_small(asked), F.col("doc_id").eqNullSafe(F.col("next_id")) & (F.col("th") == F.col("next_th")))
+    # plain key columns (a null id has its own) let the join reuse the shuffle that drops repeats
+    zero = F.lit(0).cast(rows.schema["doc_id"].dataType)
     sent = with_signatures(sent, chain, reach, next_sigs="text").select(
-        "asker", F.substring("text", F.lit(1), F.col("q")).alias("head"), "next_sigs").dropDuplicates(["asker"])
+        F.coalesce("asker", zero).alias("k"), F.col("asker").isNull().alias("no_id"),
+        F.substring("text", F.lit(1), F.col("q")).alias("head"), "next_sigs").dropDuplicates(["k", "no_id"])
     n = F.length("text")
-    both = rows.join(sent, F.col("doc_id").eqNullSafe(F.col("asker"))).select("doc_id", "text", n.cast("long").alias("n_chars"), "next_sigs", F.concat(
+    both = rows.withColumns({"k": F.coalesce("doc_id", zero), "no_id": F.col("doc_id").isNull()}).join(sent, ["k", "no_id"]).select("doc_id", "text", n.cast("long").alias("n_chars"), "next_sigs", F.concat(
         F.substring("text", F.lit(1), n - quarter), F.substring("head", F.lit(1), quarter)).alias("edited"))
     both = with_signatures(both, chain, reach, sigs="text", edited_sigs="edited")
     both = with_likeness(both, near_edited=("sigs", "edited_sigs"), near_next=("sigs", "next_sigs"))
