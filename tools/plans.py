@@ -17,7 +17,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from marquee.plans.registry import QUERIES  # noqa: E402
 from marquee.session import local_session  # noqa: E402
 
 PATTERNS = {
@@ -74,7 +74,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, 8)
     rows = []
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         try:
             plan = final_plan(fn(spark, sf))
         except Exception as e:  # noqa: BLE001
@@ -88,8 +88,7 @@ def main() -> None:
     print(f"# Physical plans of the registered queries ({os.path.basename(sf)}, local[8], AQE on, "
           "broadcasts only from measured sizes)\n")
     print("Counts from the final adaptive plan of each query (initial plans stripped). "
-          "`shuffles` counts Exchange operators (including the small round-robin spread of the "
-          "single-row-group test files, a no-op on large inputs); `bad_joins` (cartesian or "
+          "`shuffles` counts Exchange operators; `bad_joins` (cartesian or "
           "nested-loop) and `python` (Python UDF operators) must be 0.\n")
     print("| query | " + " | ".join(keys) + " |")
     print("|---|" + "---|" * len(keys))
