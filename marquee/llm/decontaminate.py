@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from marquee.llm.common import broadcast_if_small, materialize
 
-#: 1: the position counts, 0: it is ignored. Eight of twelve tokens each.
-MASKS = ("111010110011", "110011010111", "101101100111", "111100101101")
+#: 1: the position counts, 0: it is ignored. Whichever two of twelve tokens are substituted, one mask ignores both.
+MASKS = ("111001000011", "000110101101", "011010110010", "100101011100", "100011110001", "011100001110")
 WINDOW, SIMILARITY, SHORTEST = 13, 0.8, 5
 BITMAP = 24                 # log2 of the bitmap's bits: 2 MB
 TOKEN = re.compile(r"\w+")
@@ -59,10 +60,11 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, window: int) -> tuple
     return int(counts[best]), a + best + shift
 
 
-def _masks_of(lengths: list[int], masks: tuple[str, ...], shortest: int) -> list[str]:
-    """The masks, and one full mask for every length of an item too short for them."""
-    span = min(map(len, masks))
-    return [*masks, *("1" * n for n in sorted(set(lengths)) if shortest <= n < span)]
+def short_masks(n: int, similarity: float) -> list[str]:
+    """Masks for items of just ``n`` tokens: some mask ignores all substitutions that ``similarity`` allows."""
+    holes, size = int(n * (1 - similarity) + 1e-9), max(1, n // 4)
+    groups = range(-(-n // size))
+    return ["".join("0" if i // size in ignored else "1" for i in range(n)) for ignored in combinations(groups, min(holes, len(groups) - 1))]
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, window: int = WINDOW,
@@ -72,8 +74,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str,
 
     An overlap counts if, along an alignment that a seed hit fixes, at least
     ``similarity`` of some ``window`` consecutive tokens are equal (of all
-    tokens for a shorter item). Items shorter than a mask are looked for
-    exactly; items of fewer than ``shortest`` tokens, null and empty texts never
+    tokens for a shorter item). Up to two substitutions never hide an overlap,
+    nor do as many as ``similarity`` allows in an item shorter than a mask, which
+    has masks of its own length; items of fewer than ``shortest`` tokens, null and empty texts never
     match. Rows with equal doc_id (or item_id) are reported as one, with their
     best overlap; null ids are ids like others. Empty tables give an empty result.
     """
@@ -86,19 +89,21 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str,
             yield pa.RecordBatch.from_pydict({"n": pa.array({len(tokens(x.as_py())) for x in batch.column(0)}, pa.int64())})
 
     short = items.select("item").mapInArrow(lengths, "n long").where(F.col("n") < max(map(len, masks))).distinct()
-    used = _masks_of([r["n"] for r in short.collect()], masks, shortest)     # at most as many rows as a mask has positions
+    span = min(map(len, masks))
+    lengths_found = sorted(r["n"] for r in short.collect())     # at most as many rows as a mask has positions
+    own = {n: short_masks(n, similarity) for n in lengths_found if shortest <= n < span}
+    used = [*masks, *(m for x in own.values() for m in x)]
 
     def hash_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item_id, text in zip(batch.column(0), batch.column(1), strict=True):
                 h = tokens(text.as_py())
-                for m in used:
-                    if len(m) == len(h) or len(m) < len(h) and "0" in m:
-                        s = seeds(h, m)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(s.view(np.int64)), pa.array([item_id.as_py()] * len(s), batch.schema.field(0).type),
-                             pa.array([text.as_py()] * len(s)), pa.array(np.arange(len(s), dtype=np.int32))],
-                            ["seed", "item_id", "item", "at"])
+                for m in own.get(len(h), masks if len(h) >= span else ()):
+                    s = seeds(h, m)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(s.view(np.int64)), pa.array([item_id.as_py()] * len(s), batch.schema.field(0).type),
+                         pa.array([text.as_py()] * len(s)), pa.array(np.arange(len(s), dtype=np.int32))],
+                        ["seed", "item_id", "item", "at"])
 
     id_type = items.schema["item_id"].dataType.simpleString()
     grid = materialize(items.mapInArrow(hash_items, f"seed long, item_id {id_type}, item string, at int")
@@ -139,7 +144,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str,
             out = []
             for doc_id, item_id, text, item, shifts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 d, t = tokens(text), tokens(item)
-                n = min(window, len(t)) if len(t) >= min(map(len, masks)) else len(t)
+                n = min(window, len(t)) if len(t) >= span else len(t)
                 matched, start = max(((*overlap(d, t, s, n),) for s in shifts), key=lambda x: (x[0], -x[1]))
                 if matched >= similarity * n:
                     out.append((doc_id, item_id, matched, n, matched / n, start))

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
 import pytest
 
-from marquee.llm.decontaminate import MASKS, drop_contaminated, find_contamination, overlap, seeds, tokens
+from marquee.llm.decontaminate import MASKS, drop_contaminated, find_contamination, overlap, seeds, short_masks, tokens
 from marquee.llm.queries import op3_decontamination
 from tests.conftest import SF_SMALL
 
@@ -68,6 +69,30 @@ def test_masks_tolerate_any_substitution_of_one_token():
         assert any((seeds(a, m) == seeds(b, m)).any() for m in MASKS)
 
 
+def test_masks_tolerate_every_pattern_the_overlap_tolerates():
+    for n in range(5, 15):
+        a = tokens(" ".join(f"t{i}" for i in range(n)))
+        masks = MASKS if n >= 12 else short_masks(n, 0.8)
+        for holes in range(3):
+            if n - holes >= 0.8 * min(n, 13):
+                for ignored in combinations(range(n), holes):
+                    b = tokens(" ".join("x" if i in ignored else f"t{i}" for i in range(n)))
+                    assert any((seeds(a, m) == seeds(b, m)).any() for m in masks), (n, ignored)
+
+
+def test_substitutions_hide_no_item(spark, make_docs):
+    """Items of 5 to 13 tokens, each with all patterns of as many substitutions as their overlap tolerates."""
+    items = [(n, " ".join(f"i{n}t{k}" for k in range(n))) for n in range(5, 14)]
+    docs, expected = [], set()
+    for n, item in items:
+        for ignored in combinations(range(n), 1 if n < 10 else 2):
+            words = ["x" if k in ignored else w for k, w in enumerate(item.split())]
+            expected.add((len(docs), n))
+            docs.append((len(docs), " ".join(["before", *words, "after"])))
+    got = find_contamination(make_docs(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == expected
+
+
 def test_clean_documents_stay(corpus):
     docs, items, d, b = corpus
     left = drop_contaminated(d, b)
