@@ -46,7 +46,7 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WHITE = re.compile(r"\s+")
 
 
-def _is_boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+def _is_hidden(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     if tag in DROPPED:
         return True
     for name, value in attrs:
@@ -54,18 +54,22 @@ def _is_boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
             return True
         if name == "style" and value and HIDDEN.search(value):
             return True
-        if name in ("class", "id", "role") and value and tag not in ("body", "html"):
-            if not BOILERPLATE.isdisjoint(x.lower() for x in WORDS.findall(value)):
-                return True
     return False
 
 
+def _is_named_boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether a word of class, id or role names the element boilerplate."""
+    return tag not in ("body", "html") and any(
+        name in ("class", "id", "role") and value and not BOILERPLATE.isdisjoint(x.lower() for x in WORDS.findall(value))
+        for name, value in attrs)
+
+
 class _Tree(HTMLParser):
     """The page as parallel lists in page order: a parent stands before its children."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.tag, self.parent, self.own, self.skipped = ["html"], [-1], [0], [False]
+        self.tag, self.parent, self.own, self.skipped, self.named = ["html"], [-1], [0], [False], [False]
         self.parts: list[tuple[int, str]] = []      # (node, text) in page order; text of a break: ""
         self.open = [0]
 
@@ -85,7 +89,8 @@ class _Tree(HTMLParser):
         self.tag.append(tag)
         self.parent.append(self.open[-1])
         self.own.append(0)
-        skip = self.skipped[self.open[-1]] or _is_boilerplate(tag, attrs)
+        skip = self.skipped[self.open[-1]] or _is_hidden(tag, attrs)
+        self.named.append(_is_named_boilerplate(tag, attrs))
         # an article's own header holds its title; any other one is the page's
         self.skipped.append(skip or tag == "header" and not any(self.tag[i] in ARTICLE for i in self.open))
         if tag in BLOCK:
@@ -113,6 +118,29 @@ class _Tree(HTMLParser):
             self.own[node] += len(data) - data.count(" ") - data.count("\n")
             self.parts.append((node, data))
 
+    def skip_named(self) -> None:
+        """Skip what class, id or role name boilerplate, once the whole page is read.
+
+        The name alone never takes an element that is or holds the page's main element or an article (not an article in
+        an article, as comments are), nor, on pages without these, one with most of the text: densities decide there.
+        """
+        if not any(self.named):
+            return
+        n = len(self.tag)
+        chars, holds, in_article = list(self.own), [False] * n, [False] * n
+        for i in range(1, n):
+            p = self.parent[i]
+            in_article[i] = in_article[p] or self.tag[p] == "article"
+            holds[i] = not self.skipped[i] and (self.tag[i] == "main" or self.tag[i] == "article" and not in_article[i])
+        for i in range(n - 1, 0, -1):
+            chars[self.parent[i]] += chars[i]
+            holds[self.parent[i]] |= holds[i]
+        for i in range(1, n):
+            most = not holds[0] and 2 * chars[i] > chars[0]
+            self.skipped[i] |= self.skipped[self.parent[i]] or self.named[i] and not holds[i] and not most
+            if self.skipped[i]:
+                self.own[i] = 0
+
 
 def _densities(tree: _Tree) -> tuple[list[float], list[float]]:
     """(density, sum of the children's densities) of every node."""
@@ -190,6 +218,7 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    tree.skip_named()
     root = _content_root(tree)
     if root is None:
         return ""

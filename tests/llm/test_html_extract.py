@@ -41,6 +41,23 @@ def test_boilerplate_goes(junk, tag):
     assert text.startswith("Title\nEnough prose") and text.endswith("\nEnd.") and text.count("\n") == 2
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='layout no-sidebar'><article>{}</article></div>", "<article class='post category-social'>{}</article>",
+    "<main class='has-ads'>{}</main>", "<div id='search-page'><div>{}</div></div>", "<div id='search-page'>{}</div>",
+    "<main><article class='post share'>{}</article></main>", "<div class='widget'><div class='popup'><main>{}</main></div></div>",
+])
+def test_wrappers_named_like_boilerplate_keep_the_article(page):
+    junk = "<div class='sidebar'><p>more of the side</p></div><div class='ad'>Buy now</div>"
+    inner = f"<h1>Title</h1>{BODY}{junk}<p>End.</p>"
+    assert main_text(f"<body>{junk}{page.format(inner)}{junk}</body>") == main_text(f"<article>{inner}</article>")
+
+
+def test_comments_go_however_long_and_articles_in_an_article():
+    comment = "<div id='comments'>" + "<article class='comment'><p>" + "first! " * 90 + "</p></article></div>"
+    assert "first" not in main_text(f"<body><article><h1>Title</h1>{BODY}{comment}</article></body>")
+    assert "first" not in main_text(f"<body><main>{BODY}</main><div id='comments'><p>{'first! ' * 900}</p></div></body>")
+
+
 def test_densest_part_wins_without_article_tag():
     links = "<div><ul>" + "<li><a href=x>some link text here</a></li>" * 30 + "</ul></div>"
     text = main_text(f"<body>{links}<div>{BODY}{BODY}<p>short</p></div>{links}</body>")
