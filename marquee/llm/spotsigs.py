@@ -22,6 +22,8 @@ le la les de et un une des du que est pour dans en au
 el los las y del que en un una es por con para se""".split()
 CHAIN = 3               # content words of a signature
 REACH = 4               # further anchors that a chain may run across
+#: At most as many signatures, the common ones, travel to the tasks with their counts.
+HOT = 1 << 17
 _WORD = r"[\p{L}\p{N}]"
 _MARK = "\u0001"
 
@@ -73,14 +75,21 @@ def similar_sets(sets: DataFrame, threshold: float = 0.8) -> DataFrame:
 
     sets: (fp, sigs), each fingerprint once. Sets are partitioned by length: bands
     grow by 1 / threshold, so alike sets lie in one band or in neighbours. Within
-    bands only a prefix of each sorted set is joined, as long as needed for
-    alike sets to meet; a pair is compared at its first shared signature only if
+    bands only a prefix of each set, rarest signatures first, is joined, as long as
+    needed for alike sets to meet; a pair is compared at its first shared signature only if
     the lengths and the place of that signature still allow the threshold.
     """
     n = F.size("sigs")
-    rows = sets.select("fp", "sigs", n.alias("n"), F.floor(F.log(n.cast("double")) / -math.log(threshold) + 1e-9).alias("band"))
-    prefix = F.slice("sigs", 1, n - F.ceil(n * threshold - 1e-9).cast("int") + 1)
-    posts = rows.select("fp", "n", "band", F.posexplode(prefix).alias("at", "sig"))
+    each = sets.select("fp", n.alias("n"), F.explode("sigs").alias("sig"))
+    counts = materialize(each.groupBy("sig").agg(F.count("*").alias("c")))
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    common = F.col("c") > total // HOT          # true of fewer than ``HOT`` signatures, as the counts add up to total
+    often = F.broadcast(materialize(counts.where(common)))
+    counted = each.join(often, "sig").unionByName(each.join(often, "sig", "left_anti").join(counts.where(~common), "sig"))
+    rarest = Window.partitionBy("fp").orderBy("c", "sig")
+    band = F.floor(F.log(F.col("n").cast("double")) / -math.log(threshold) + 1e-9)
+    posts = counted.select("fp", "n", band.alias("band"), (F.row_number().over(rarest) - 1).alias("at"), "sig")
+    posts = materialize(posts.where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9)))
     a = posts.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("at").alias("pa"), "band", "sig")
     b = posts.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("at").alias("pb"),
                      F.explode(F.array("band", F.col("band") - 1)).alias("band"), "sig")

@@ -9,6 +9,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
+from marquee.llm import spotsigs
 from marquee.llm.queries import op9_spotsigs
 from marquee.llm.spotsigs import ANCHORS, CHAIN, REACH, fingerprint_edits, next_ids, similar_sets, with_signatures
 from tests.conftest import SF_SMALL
@@ -106,3 +107,13 @@ def test_similar_sets_equals_all_pairs(spark, threshold):
              if (len(a[1]), a[0]) < (len(b[1]), b[0]) and jaccard(set(a[1]), set(b[1])) >= threshold}
     got = {(r.a, r.b) for r in similar_sets(spark.createDataFrame(sets, "fp string, sigs array<long>"), threshold).collect()}
     assert got == exact and len(exact) > 20
+
+
+def test_common_signatures_join_no_sets(spark, monkeypatch):
+    """A signature of every set, smallest by value, leads no pair to a comparison; like sets are found all the same."""
+    compared = []
+    with_likeness = spotsigs.with_likeness
+    monkeypatch.setattr(spotsigs, "with_likeness", lambda df, **pairs: compared.append(df.count()) or with_likeness(df, **pairs))
+    sets = [(f"f{i}", [0, *range(100 * i + 1, 100 * i + 20)]) for i in range(40)] + [("like", [0, *range(101, 119), 10**6])]
+    got = similar_sets(spark.createDataFrame(sets, "fp string, sigs array<long>")).collect()
+    assert [(r.a, r.b) for r in got] == [("f1", "like")] and compared == [1]
