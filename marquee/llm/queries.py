@@ -12,8 +12,11 @@ from marquee.llm.decontaminate import find_contamination
 from marquee.llm.html_extract import extract_pages
 from marquee.llm.line_dedup import dedup_lines
 from marquee.llm.mixing import mix_sources
+from marquee.llm.pii import find_personal_data
 from marquee.llm.quality import classify
+from marquee.llm.resample import resample
 from marquee.llm.simhash import simhash_components
+from marquee.llm.spelling import spelling_variants
 from marquee.llm.spotsigs import fingerprint_edits
 from marquee.llm.suffix_dedup import remove_repeats
 from marquee.llm.token_counts import length_histogram, length_report
@@ -60,9 +63,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_report(materialize(length_histogram(read(spark, sf_dir, "documents"))))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extraction, op2_simhash, op3_decontamination, op4_quality, op5_class_lm, op6_suffix_dedup,
-                                op7_line_dedup, op8_mixing, op9_spotsigs, op10_token_counts)
+                                op7_line_dedup, op8_mixing, op9_spotsigs, op10_token_counts,
+                                op11_spelling_variants, op12_importance_resampling, op13_personal_data)
 }
 
 #: The mix in SQL: the same shuffle, virtual finish times and cut, by plain windows.
