@@ -6,6 +6,7 @@
     python -m marquee report    --store DIR --name REPORT [--out DIR]
     python -m marquee report    --store DIR --all --out DIR
     python -m marquee export    --store DIR --out DIR
+    python -m marquee summary   --store DIR [--rebuild]
     python -m marquee compact   --store DIR
     python -m marquee prune     --store DIR [--keep N]
 
@@ -24,6 +25,7 @@ from pyspark.sql import SparkSession
 from marquee.plans import analyses as A
 from marquee.plans.analyses import REPORTS
 from marquee.plans.jobs import backfill, run_month
+from marquee.plans.summary import CatalogSummary
 from marquee.session import ensure_checkpoint_dir
 from marquee.sources.export import export_for_bi, write_csv
 from marquee.sources.raw import read_raw_csv
@@ -35,6 +37,12 @@ def _month(s: str) -> tuple[int, int]:
     return int(y), int(m)
 
 
+def _print(df) -> None:
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if x is None else str(x) for x in row))
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="marquee")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -44,6 +52,8 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--store", required=True)
         p.add_argument("--single-line", action="store_true",
                        help="split files; no quoted field may hold a line break")
+        p.add_argument("--split", action="store_true", help="split files whose quoted fields may hold line breaks")
+        p.add_argument("--replace-null-ids", action="store_true", help="a rerun replaces its rows without an id too")
         if name == "backfill":
             p.add_argument("--first", required=True, type=_month)
             p.add_argument("--last", required=True, type=_month)
@@ -53,9 +63,11 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--source", required=True)
     p.add_argument("--store", required=True)
     p.add_argument("--checkpoint", help="default: in the store, one for each source")
-    p.add_argument("--single-line", action="store_true")
     p = sub.add_parser("compact")
     p.add_argument("--store", required=True)
+    p = sub.add_parser("summary", help="take new loads into the kept yearly summary and print it")
+    p.add_argument("--store", required=True)
+    p.add_argument("--rebuild", action="store_true")
     p = sub.add_parser("report")
     p.add_argument("--store", required=True)
     p.add_argument("--name", choices=sorted(REPORTS))
@@ -64,6 +76,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("prune")
     p.add_argument("--store", required=True)
     p.add_argument("--keep", type=int, default=2)
+    p.add_argument("--abandoned-after", type=float, help="seconds after which an unfinished load counts as crashed (default: never)")
     p = sub.add_parser("export")
     p.add_argument("--store", required=True)
     p.add_argument("--out", required=True)
@@ -75,16 +88,19 @@ def main(argv: list[str] | None = None) -> int:
     ensure_checkpoint_dir(spark)
     store = CatalogStore(spark, args.store)
     if args.cmd in ("backfill", "run-month"):
-        raw = read_raw_csv(spark, args.raw, multi_line=not args.single_line)
+        raw = read_raw_csv(spark, args.raw, multi_line=not args.single_line, split=args.split)
         if args.cmd == "backfill":
-            v = backfill(spark, raw, store, args.first, args.last)
+            v = backfill(spark, raw, store, args.first, args.last, args.replace_null_ids)
         else:
-            v = run_month(spark, raw, store, *args.month)
+            v = run_month(spark, raw, store, *args.month, args.replace_null_ids)
         print(f"published version {v}")
     elif args.cmd == "stream":
-        catalog_stream(spark, args.source, store, checkpoint=args.checkpoint,
-                       multi_line=not args.single_line).awaitTermination()
+        catalog_stream(spark, args.source, store, checkpoint=args.checkpoint).awaitTermination()
         print(f"latest version {store.latest()}")
+    elif args.cmd == "summary":
+        summary = CatalogSummary(store)
+        summary.rebuild() if args.rebuild else summary.refresh()
+        _print(summary.read())
     elif args.cmd == "report":
         titles, genres = store.read()
         if args.all:
@@ -100,13 +116,11 @@ def main(argv: list[str] | None = None) -> int:
             if args.out:
                 write_csv(df, args.out, single_file=True)
             else:
-                print("\t".join(df.columns))
-                for row in df.toLocalIterator():
-                    print("\t".join("" if x is None else str(x) for x in row))
+                _print(df)
     elif args.cmd == "compact":
         print(f"published version {store.compact()}")
     elif args.cmd == "prune":
-        print(f"dropped versions {store.prune(args.keep)}")
+        print(f"dropped versions {store.prune(args.keep, args.abandoned_after)}")
     elif args.cmd == "export":
         titles, genres = store.read()
         written = export_for_bi(spark, titles, genres, args.out,

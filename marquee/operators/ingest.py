@@ -10,7 +10,7 @@ are pushed into the Parquet scan (checked in ``tests/test_clean.py``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.functions import in_month, month_bounds, parse_added_date, strip_ws
 from marquee.schema import KEY, MONTH_COL
@@ -36,15 +36,27 @@ def undated_rows(raw: DataFrame, date_col: str = "date_added") -> DataFrame:
     return raw.where(parse_added_date(date_col).isNull())
 
 
+def undated_reason(date_col: str = "date_added") -> Column:
+    """Why a row without a parsed date has none: missing (null), blank (whitespace only) or unparseable text."""
+    d = F.col(date_col)
+    return (F.when(d.isNull(), F.lit("missing"))
+             .when(strip_ws(d) == "", F.lit("blank"))
+             .otherwise(F.lit("unparseable")))
+
+
+def load_outcome(corrupt_col: str | None = None, date_col: str = "date_added") -> Column:
+    """X3 with S1: where a raw record goes: its month (``1998-06``), ``undated-`` and the reason, or
+    ``unparseable-record`` if the scan kept its text in ``corrupt_col``."""
+    d = parse_added_date(date_col)
+    dated = F.when(d.isNotNull(), F.date_format(d, "yyyy-MM")).otherwise(F.concat(F.lit("undated-"), undated_reason(date_col)))
+    return dated if corrupt_col is None else F.when(F.col(corrupt_col).isNotNull(), F.lit("unparseable-record")).otherwise(dated)
+
+
 def undated_summary(raw: DataFrame, date_col: str = "date_added") -> DataFrame:
     """X3 report: undated rows counted by reason - missing (null), blank
     (whitespace only) or unparseable text."""
-    d = F.col(date_col)
-    reason = (F.when(d.isNull(), F.lit("missing"))
-               .when(strip_ws(d) == "", F.lit("blank"))
-               .otherwise(F.lit("unparseable")))
     return (undated_rows(raw, date_col)
-            .groupBy(reason.alias("reason"))
+            .groupBy(undated_reason(date_col).alias("reason"))
             .agg(F.count(F.lit(1)).alias("rows")))
 
 

@@ -209,9 +209,13 @@ def period_growth_topk(bridge: DataFrame, df: DataFrame, key: str = KEY, tag: st
     return topk(out, k, F.col(growth_out).desc_nulls_last(), F.col(tag).asc_nulls_last())
 
 
+#: For a wide vocabulary: tags whose pairs are counted first, to learn what a pair must count to be among the top.
+SEED_TAGS = 32
+
+
 def tag_cooccurrence(bridge: DataFrame, key: str = KEY, tag: str = "genre", k: int = TOP_K,
                      a_out: str = "genre_a", b_out: str = "genre_b",
-                     count_out: str = "titles_with_both") -> DataFrame:
+                     count_out: str = "titles_with_both", seed_tags: int = 0) -> DataFrame:
     """D3: how often two different tags occur on the same key (bag semantics:
     a tag listed twice on a key counts twice), top k pairs.
 
@@ -221,21 +225,37 @@ def tag_cooccurrence(bridge: DataFrame, key: str = KEY, tag: str = "genre", k: i
     themselves, each pair weighted by ``keys * m_a * m_b``. No row ever holds a
     key's tags, so a key with very many tags is rows that AQE can split, and
     the pairs made follow the distinct combinations, not the keys.
+
+    With a wide vocabulary, ``seed_tags`` keeps rare tags out of that join: a pair can't count more than its rarer tag,
+    whose bound is ``keys * m * (largest m on the key)`` over its rows. The pairs
+    of the ``seed_tags`` tags with the largest bounds are counted first; tags
+    below the k-th of these counts are in no top pair. The answer is exact,
+    whatever ``seed_tags`` is (0: nothing is pruned, which suits some dozens of tags).
     """
     b = bridge.where(F.col(key).isNotNull() & F.col(tag).isNotNull())
     mult = b.groupBy(key, tag).agg(_n().alias("m"))
     combos = (mult.groupBy(key)
                   .agg(F.bit_xor(F.xxhash64(F.col(tag), F.col("m"))).alias("h1"),
-                       F.bit_xor(F.xxhash64(F.col("m"), F.col(tag))).alias("h2"), _n().alias("n"))
+                       F.bit_xor(F.xxhash64(F.col("m"), F.col(tag))).alias("h2"), _n().alias("n"), F.max("m").alias("most"))
                   .where(F.col("n") >= 2)
-                  .groupBy("h1", "h2", "n").agg(F.min(key).alias(key), _n().alias("keys")))
-    rows = mult.join(combos.select(key, "keys"), key)
+                  .groupBy("h1", "h2", "n").agg(F.min(key).alias(key), _n().alias("keys"), F.max("most").alias("most")))
+    rows = mult.join(combos.select(key, "keys", "most"), key)
+    if seed_tags:
+        bounds = rows.groupBy(tag).agg(F.sum(F.col("keys") * F.col("m") * F.col("most")).alias("_bound"))
+        seed = topk(bounds, seed_tags, F.col("_bound").desc(), F.col(tag).asc()).select(tag)
+        first = _pair_counts(rows.join(seed, tag, "left_semi"), key, tag, "_a", "_b", "_count")
+        least = topk(first, k, F.col("_count").desc()).agg(F.when(_n() == k, F.min("_count")).otherwise(0).alias("x")).scalar()
+        rows = rows.join(bounds.where(F.col("_bound") >= least).select(tag), tag, "left_semi")
+    return topk(_pair_counts(rows, key, tag, a_out, b_out, count_out), k,
+                F.col(count_out).desc(), F.col(a_out).asc(), F.col(b_out).asc())
+
+
+def _pair_counts(rows: DataFrame, key: str, tag: str, a_out: str, b_out: str, count_out: str) -> DataFrame:
+    """Counts of all pairs of tags over (key, tag, m, keys) rows."""
     left = rows.select(F.col(key).alias("_k"), F.col(tag).alias(a_out), F.col("m").alias("_ma"), "keys")
     right = rows.select(F.col(key).alias("_k"), F.col(tag).alias(b_out), F.col("m").alias("_mb"))
     pairs = left.join(right, "_k").where(F.col(a_out) < F.col(b_out))
-    agg = pairs.groupBy(a_out, b_out).agg(
-        F.sum(F.col("keys") * F.col("_ma") * F.col("_mb")).cast("bigint").alias(count_out))
-    return topk(agg, k, F.col(count_out).desc(), F.col(a_out).asc(), F.col(b_out).asc())
+    return pairs.groupBy(a_out, b_out).agg(F.sum(F.col("keys") * F.col("_ma") * F.col("_mb")).cast("bigint").alias(count_out))
 
 
 # ---------------------------------------------------------------- E/H: lists
@@ -335,6 +355,26 @@ def lag_profile(df: DataFrame, date_col: str = "date_added", year_col: str = "re
 
 
 # ---------------------------------------------------------------- J: summary
+def summary_partials(titles: DataFrame, key: str = KEY, date_col: str = "date_added", type_col: str = "type",
+                     minutes_col: str = "duration_minutes", year_col: str = "release_year", list_col: str = "country",
+                     exclude: str | None = "Unknown", movie: str = "Movie", show: str = "TV Show") -> tuple[DataFrame, DataFrame]:
+    """What J1 is summed from: per (year, key) kind flags, row count, unweighted sums and counts; and the distinct
+    (key, token) rows of the list with their multiplicity."""
+    y = year_of(date_col)
+    kind = F.col(type_col)
+    lag = y - F.col(year_col)
+    per_year_key = titles.groupBy(y.alias("year_added"), F.col(key)).agg(
+        F.max((kind == F.lit(movie)).cast("int")).alias("_mv"),
+        F.max((kind == F.lit(show)).cast("int")).alias("_sh"),
+        _n().alias("_r"),
+        F.sum(minutes_col).alias("_sm"), F.count(minutes_col).alias("_cm"),
+        F.sum(lag).alias("_sl"), F.count(lag).alias("_cl"),
+    )
+    listed = (explode_list(titles, list_col, "_country", key=key, exclude=exclude)
+              .where(F.col(key).isNotNull()).groupBy(key, "_country").agg(_n().alias("_m")))
+    return per_year_key, listed
+
+
 def yearly_summary(titles: DataFrame, key: str = KEY, date_col: str = "date_added",
                    type_col: str = "type", minutes_col: str = "duration_minutes",
                    year_col: str = "release_year", list_col: str = "country",
@@ -361,17 +401,7 @@ def yearly_summary(titles: DataFrame, key: str = KEY, date_col: str = "date_adde
     form their own (year, key) group, weigh 1 and contribute no countries and
     no distinct count, as in the SQL join.
     """
-    y = year_of(date_col)
-    kind = F.col(type_col)
-    lag = y - F.col(year_col)
-    per_year_key = titles.groupBy(y.alias("year_added"), F.col(key)).agg(
-        F.max((kind == F.lit(movie)).cast("int")).alias("_mv"),
-        F.max((kind == F.lit(show)).cast("int")).alias("_sh"),
-        F.sum(minutes_col).alias("_sm"), F.count(minutes_col).alias("_cm"),
-        F.sum(lag).alias("_sl"), F.count(lag).alias("_cl"),
-    )
-    listed = (explode_list(titles, list_col, "_country", key=key, exclude=exclude)
-              .where(F.col(key).isNotNull()).groupBy(key, "_country").agg(_n().alias("_m")))
+    per_year_key, listed = summary_partials(titles, key, date_col, type_col, minutes_col, year_col, list_col, exclude, movie, show)
     rows = per_year_key.join(listed.groupBy(key).agg(F.sum("_m").alias("_n")), key, "left")
     w = F.lit(1) if dedup else F.coalesce(F.col("_n"), F.lit(1))
     has_key = F.col(key).isNotNull()

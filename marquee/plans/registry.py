@@ -29,8 +29,9 @@ from marquee.operators.ingest import month_slice, undated_rows, undated_summary
 from marquee.operators.upsert import upsert_catalog
 from marquee.plans import analyses as A
 from marquee.plans.jobs import (
-    apply_month, backfill, backfill_tables, load_counts, read_month_stage, run_month, write_month_stage,
+    apply_month, backfill, backfill_tables, load_counts, read_month_stage, read_outcomes, run_month, write_month_stage, write_outcomes,
 )
+from marquee.plans.summary import CatalogSummary
 from marquee.schema import GENRES_SCHEMA, MONTH_COL, RAW_SCHEMA, TITLES_SCHEMA, empty_frame
 from marquee.session import ensure_checkpoint_dir
 from marquee.sources.export import export_for_bi, read_csv_export, title_countries, write_csv
@@ -54,6 +55,7 @@ BIND = {
     "brand_base": (1995, 1997),
     "brand_recent": (1998, 2000),
     "store_months": [(1996, 3), (1996, 4)],
+    "summary_loads": [((1995, 1), (1998, 12)), ((1998, 6), (2000, 6)), ((1996, 3), (1996, 3)), ((1999, 1), (2001, 12))],
     "hot_every": 3,            # skewed binding: every 3rd order shares one id
     "brand_value": "Brand#11",
 }
@@ -220,6 +222,35 @@ def q_raw_csv_roundtrip(spark, sf):
     return read_raw_csv(spark, path)
 
 
+def q_raw_csv_split(spark, sf):
+    """The same with two line breaks in a field, read by splits of the files."""
+    r = raw(spark, sf, edge=True).withColumn("title", F.concat(F.col("title"), F.lit(', "quoted"\n\nnext line')))
+    path = f"{_folder(spark)}/raw"
+    write_csv(r.select(F.lit("x").alias("extra"), *reversed(r.columns)), path)
+    return read_raw_csv(spark, path, split=True)
+
+
+def q_load_rejects(spark, sf):
+    """X3 with S1: records by outcome (month, undated reason, unparseable record), written and counted in one pass each."""
+    r = raw(spark, sf, edge=True)
+    n = F.substring("title", 7, 20).cast("bigint")
+    base = _folder(spark)
+    write_csv(r.withColumn("release_year", F.when(n % 43 == 0, F.lit("n/a")).otherwise(F.col("release_year").cast("string"))), f"{base}/raw")
+    write_outcomes(read_raw_csv(spark, f"{base}/raw", split=True, corrupt_col="_corrupt"), f"{base}/out", "_corrupt")
+    return read_outcomes(spark, f"{base}/out", "_corrupt").groupBy("outcome").agg(F.count(F.lit(1)).alias("records"))
+
+
+def _kept_summary(spark, sf) -> CatalogSummary:
+    """J1 kept up to date over four loads that overlap, one of them a month loaded again."""
+    r = raw(spark, sf, edge=True)
+    store = CatalogStore(spark, f"{_folder(spark)}/store")
+    summary = CatalogSummary(store)
+    for first, last in BIND["summary_loads"]:
+        backfill(spark, r, store, first, last)
+        summary.refresh()
+    return summary
+
+
 def q_month_stage(spark, sf):
     """Two months staged, one read back (its folder only)."""
     r = raw(spark, sf, edge=True)
@@ -342,6 +373,10 @@ EDGE: dict[str, Query] = {
     "store_backfill_titles": lambda spark, sf: _backfilled(spark, sf)[0],
     "store_backfill_genres": lambda spark, sf: _backfilled(spark, sf)[1],
     "raw_csv_roundtrip": q_raw_csv_roundtrip,
+    "raw_csv_split": q_raw_csv_split,
+    "load_rejects": q_load_rejects,
+    "summary_by_loads": lambda spark, sf: _kept_summary(spark, sf).read(),
+    "summary_latest_by_loads": lambda spark, sf: _kept_summary(spark, sf).latest(),
     "month_stage": q_month_stage,
     "sql_views": q_sql_views,
     "export_titles": q_export_titles,
@@ -351,6 +386,16 @@ EDGE: dict[str, Query] = {
 }
 
 
+def _undated(fn, *args) -> Query:
+    """A report over titles of which some have no date (its null group)."""
+    return lambda spark, sf: fn(clean_titles(raw(spark, sf, edge=True))[0], *args)
+
+
+UNDATED: dict[str, Query] = {f"undated_{fn.__name__}": _undated(fn, *args) for fn, *args in (
+    (A.b1_yearly,), (A.b2_growth,), (A.b3_tv_share,), (A.e3_non_us_share, BIND["e3_home"]), (A.f2_audience,),
+    (A.g2_freshness,), (A.i1_monthly,), (A.i2_quarters,))}
+
+
 # ---------------------------------------------------------------- natural tables
 def _brand_bridge(spark, sf) -> DataFrame:
     li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
@@ -395,6 +440,15 @@ def q_brand_pairs(spark, sf):
                               a_out="brand_a", b_out="brand_b", count_out="orders_with_both")
 
 
+def q_wide_pairs(spark, sf):
+    """D3 over a wide vocabulary: brands and single parts, of which few come into a top pair."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    parts = li.select(F.col("l_orderkey").alias("o_orderkey"), F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("tag"))
+    brands = _brand_bridge(spark, sf).select("o_orderkey", F.col("p_brand").alias("tag"))
+    return R.tag_cooccurrence(parts.unionByName(brands), "o_orderkey", "tag", a_out="tag_a", b_out="tag_b",
+                              count_out="orders_with_both", seed_tags=R.SEED_TAGS)
+
+
 def q_brand_growth(spark, sf):
     o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     return R.period_growth_topk(_brand_bridge(spark, sf), o, "o_orderkey", "p_brand",
@@ -502,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "orders_price_profile": q_orders_price_profile,
     "brand_top": q_brand_top,
     "brand_pairs": q_brand_pairs,
+    "wide_pairs": q_wide_pairs,
     "brand_growth": q_brand_growth,
     "part_name_words": q_part_name_words,
     "priority_brand_breadth": q_priority_brand_breadth,
@@ -514,5 +569,6 @@ QUERIES: dict[str, Query] = {
     **SKEWED,
     # messy values; stores, stages and files
     **EDGE,
+    **UNDATED,
 }
 

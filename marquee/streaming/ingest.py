@@ -1,9 +1,11 @@
 """The monthly pipeline fed by newly arrived raw files.
 
 A file stream finds the CSV files that arrived since the last run (tracked in
-the streaming checkpoint); ``foreachBatch`` reads them like any raw catalog
-(columns by name, quoted line breaks) and loads them into the versioned store;
-``trigger(availableNow=True)`` processes what is there as one batch and stops.
+the streaming checkpoint) and reads their lines in the executors, so no list of
+files reaches the driver; ``foreachBatch`` cuts them into records (columns by
+name, quoted line breaks, see ``sources.records``) and loads them into the
+versioned store; ``trigger(availableNow=True)`` processes what is there as one
+batch and stops.
 
 Within one batch a key keeps its latest month's rows (as in the one-pass
 backfill); across batches the later batch replaces the key, as a later monthly
@@ -23,14 +25,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marquee.operators.ingest import tag_months
 from marquee.plans.jobs import stage, staged_from_tagged
-from marquee.sources.raw import read_raw_csv
+from marquee.sources.raw import raw_from_lines
+from marquee.sources.records import text_lines
 from marquee.sources.store import CatalogStore
 
 
-#: What Spark's binary file source gives for a file; only the path is read.
-FILES = "path string, modificationTime timestamp, length long, content binary"
-
-
 def load_batch(store: CatalogStore, batch: DataFrame, batch_id: int, stream_id: str) -> int | None:
     """Keyed load of one micro-batch of raw rows; returns the new version, or
     None when the stream has published this batch already."""
@@ -38,7 +37,7 @@ def load_batch(store: CatalogStore, batch: DataFrame, batch_id: int, stream_id:
     if done is not None and batch_id <= done:
         return None
     name = f"stream={stream_id}-{batch_id}"
-    tagged = stage(batch.sparkSession, tag_months(batch), store.stage_path(name))
+    tagged, _ = stage(batch.sparkSession, tag_months(batch), store.stage_path(name))
     v = store.publish_replace(*staged_from_tagged(tagged), stream=(stream_id, batch_id))
     store.drop_stage(name)
     return v
@@ -46,27 +45,25 @@ def load_batch(store: CatalogStore, batch: DataFrame, batch_id: int, stream_id:
 
 def catalog_stream(spark: SparkSession, source_dir: str, store: CatalogStore,
                    checkpoint: str | None = None, max_files_per_trigger: int | None = None,
-                   multi_line: bool = True, available_now: bool = True) -> StreamingQuery:
+                   available_now: bool = True) -> StreamingQuery:
     """Start the file-stream ingestion; with ``available_now`` it processes
     what has arrived and stops (call ``awaitTermination()``).
 
     Without ``checkpoint`` the stream's progress lies in the store, under a
     name that follows from ``source_dir``: the same command run again loads
-    only what is new. ``max_files_per_trigger`` bounds a batch, and with it the
-    list of file names that a batch hands to its reader.
+    only what is new. ``max_files_per_trigger`` bounds a batch.
     """
     ckpt = (checkpoint or store.stream_checkpoint(source_dir)).rstrip("/")
 
-    def load(files: DataFrame, batch_id: int) -> None:
-        paths = [r["path"] for r in files.select("path").collect()]
-        if paths:
+    def load(lines: DataFrame, batch_id: int) -> None:
+        rows = raw_from_lines(lines, source_dir)
+        if rows is not None:
             stream_id = json.loads(store.read_text(f"{ckpt}/metadata"))["id"]
-            load_batch(store, read_raw_csv(files.sparkSession, paths, multi_line=multi_line), batch_id, stream_id)
+            load_batch(store, rows, batch_id, stream_id)
 
-    # only names are taken from this source; contents are never read through it
-    reader = spark.readStream.format("binaryFile").schema(FILES)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    writer = reader.load(source_dir).select("path").writeStream.foreachBatch(load).option("checkpointLocation", ckpt)
+    writer = text_lines(reader, source_dir).writeStream.foreachBatch(load).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

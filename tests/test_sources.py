@@ -79,3 +79,58 @@ def test_split_reading_fails_on_a_broken_record(spark, tmp_path):
         read_raw_csv(spark, f"file://{p}", multi_line=False).collect()
     p.write_text(CSV.replace("multi\nline", "one line"))
     assert read_raw_csv(spark, f"file://{p}", multi_line=False).count() == 2
+
+
+def messy_csv(n, newline="\n"):
+    """Quoted line breaks, doubled quotes, separators, blank lines and empty fields."""
+    import random
+    rng = random.Random(n)
+    texts = ["plain", "two\nlines", 'say ""yes""', "a, b", '""', "\n\n\nfar", '"",\n""', "é 漢", ""]
+    out = [CSV.split("\n")[0]]
+    for i in range(n):
+        t = [f'"{rng.choice(texts)}"' for _ in range(3)]
+        out.append(f's{i},Movie,{t[0]},{t[1]},,"France","March {i % 28 + 1}, 2020",20{i % 20:02d},PG,{i} min,{t[2]},')
+        if i % 50 == 7:
+            out.append("")
+    return newline.join("\n".join(out).split("\n")) + newline
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("block", [200, 1000, 50_000])
+def test_split_reading_equals_whole_file_reading(spark, tmp_path, newline, block):
+    from collections import Counter
+    for i, n in enumerate((400, 3)):
+        (tmp_path / f"{i}.csv").write_bytes(messy_csv(n, newline).encode())
+    path = f"file://{tmp_path}"
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = [spark.conf.get(x) for x in names]
+    whole = Counter(tuple(r) for r in read_raw_csv(spark, path).collect())
+    try:
+        for x in names:
+            spark.conf.set(x, str(block))
+        df = read_raw_csv(spark, path, split=True)
+        from marquee.sources.records import text_lines
+        assert text_lines(spark.read, path).rdd.getNumPartitions() >= (messy_csv(400).encode().__len__() // block)
+        assert Counter(tuple(r) for r in df.collect()) == whole
+    finally:
+        for x, v in zip(names, old, strict=True):
+            spark.conf.set(x, v)
+    assert sum(whole.values()) == 403
+
+
+def test_split_reading_reports_what_it_cannot_read(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text(CSV.replace(',2019,74 min,', ',20x9,74 min,'))
+    rows = {r.show_id: r for r in read_raw_csv(spark, f"file://{p}", split=True, corrupt_col="_corrupt").collect()}
+    assert rows["s2"].release_year is None and "20x9" in rows["s2"]["_corrupt"] and rows["s1"]["_corrupt"] is None
+    assert rows["s1"].description == "multi\nline"
+    p.write_text(CSV + 's3,"open\n')
+    with pytest.raises(Exception, match="isn't closed"):
+        read_raw_csv(spark, f"file://{p}", split=True).collect()
+    p.write_text(CSV)
+    (tmp_path / "other.csv").write_text(CSV.replace("type,title", "title,type"))
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, f"file://{tmp_path}", split=True).collect()
+    p.write_text("")
+    with pytest.raises(MissingColumnError):
+        read_raw_csv(spark, f"file://{p}", split=True)

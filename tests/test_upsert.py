@@ -170,7 +170,7 @@ def test_stage_io(spark, moving_raw, tmp_path):
     t, _ = clean_titles(moving_raw)
     p = write_month_stage(t, root, 2021, 1)
     assert read_stage(spark, p, TITLES_SCHEMA).count() == t.count()
-    write_month_stage(t.limit(0), root, 2021, 1)  # an empty month replaces the old file
+    p = write_month_stage(t.limit(0), root, 2021, 1)  # an empty month replaces the old one
     assert read_stage(spark, p, TITLES_SCHEMA).count() == 0
 
 
@@ -262,3 +262,145 @@ def test_older_versions_stay_readable(spark, moving_raw, tmp_path):
     assert {r.show_id for r in t1.collect() if r.show_id} == {"a", "b"}
     assert [r.rating for r in t1.collect() if r.show_id == "a"] == ["PG"]
     assert [r.rating for r in t2.collect() if r.show_id == "a"] == ["R"]
+
+
+def test_a_killed_stage_write_leaves_the_old_month(spark, moving_raw, tmp_path, monkeypatch):
+    from pyspark.sql import types as T
+    from marquee.operators.ingest import month_slice
+    from marquee.plans import jobs
+    root = f"file://{tmp_path}/stage"
+    schema = T.StructType(moving_raw.schema.fields + [T.StructField("added_month", T.StringType())])
+    read = lambda: sorted(str(r.show_id) for r in jobs.read_month_stage(spark, root, 2021, 1, schema).collect())
+    write_month_stage(month_slice(moving_raw, 2021, 1), root, 2021, 1)
+    old = read()
+    assert old == ["None", "a", "b"]
+    # killed after the data, before the switch
+    real = jobs._file_system
+    monkeypatch.setattr(jobs, "_file_system", lambda s, p: (real(s, p)[0], type("Dead", (), {
+        "exists": real(s, p)[1].exists, "listStatus": real(s, p)[1].listStatus})()))
+    with pytest.raises(AttributeError):
+        write_month_stage(month_slice(moving_raw, 2021, 2), root, 2021, 1)
+    monkeypatch.undo()
+    assert read() == old
+    # killed in the data: a file that can't be produced
+    from pyspark.sql import functions as F
+    with pytest.raises(Exception, match="killed"):
+        write_month_stage(moving_raw.withColumn("title", F.raise_error(F.lit("killed")).cast("string")), root, 2021, 1)
+    assert read() == old
+    for m in (2, 3, 1):
+        write_month_stage(month_slice(moving_raw, 2021, m), root, 2021, 1)
+    assert read() == old
+    assert len(list((tmp_path / "stage" / "added_month=2021-01").glob("run=*"))) == 2       # the last and the one before
+
+
+def test_jobs_count_without_a_second_pass(spark, moving_raw, tmp_path, monkeypatch):
+    """L4: the stage write observes the counts; no other job reads the source or the stage for them."""
+    from marquee.plans import jobs
+    staged, stats = jobs.stage(spark, moving_raw, f"file://{tmp_path}/s")
+    genres = clean_titles(moving_raw)[1].count()
+    assert (stats.titles, stats.genres) == (moving_raw.count(), genres) and staged.count() == stats.titles
+    from marquee.schema import RAW_SCHEMA, empty_frame
+    assert jobs.stage(spark, empty_frame(spark, RAW_SCHEMA), f"file://{tmp_path}/e")[1] == jobs.BatchStats(0, 0)
+    assert jobs.stage(spark, moving_raw.where("show_id = 'none'"), f"file://{tmp_path}/f")[1] == jobs.BatchStats(0, 0)
+
+
+class Interleaved:
+    """A load in two halves: claimed and written, and published when asked to."""
+
+    def __init__(self, store, titles, genres, **facts):
+        self.store, self.facts = store, {"base": False, "streams": {}} | facts
+        self.v = store._claim()
+        for kind, df in (("titles", titles), ("genres", genres)):
+            df.write.parquet(f"{store._vdir(self.v)}/{kind}")
+
+    def finish(self):
+        import json
+        self.store._write_text(f"{self.store._vdir(self.v)}/_COMPLETE", json.dumps(self.facts))
+
+
+def one(make_raw, key, title, genre="G"):
+    return clean_titles(make_raw([raw_row(key, title=title, listed_in=genre)]))
+
+
+def state(store):
+    t, g = store.read()
+    return sorted((str(r.show_id), r.title) for r in t.collect()), sorted((str(r.show_id), r.genre) for r in g.collect())
+
+
+@pytest.mark.parametrize("compactions", [1, 2])
+def test_a_load_that_finishes_after_a_compaction_is_kept(spark, make_raw, tmp_path, compactions):
+    store = CatalogStore(spark, f"file://{tmp_path}/s")
+    store.publish_replace(*one(make_raw, "a", "a1"))
+    late = Interleaved(store, *one(make_raw, "b", "b2"), streams={"q": 7})
+    for _ in range(compactions):
+        store.compact()
+    assert state(store) == ([("a", "a1")], [("a", "G")]) and store.stream_progress("q") is None
+    store.prune(keep=1)                                     # never takes what is being written
+    late.finish()
+    assert state(store) == ([("a", "a1"), ("b", "b2")], [("a", "G"), ("b", "G")])
+    assert store.stream_progress("q") == 7
+    store.compact()
+    store.prune(keep=1)
+    assert state(store)[0] == [("a", "a1"), ("b", "b2")] and store.stream_progress("q") == 7
+
+
+def test_a_late_load_takes_its_place_between_compacted_ones(spark, make_raw, tmp_path):
+    store = CatalogStore(spark, f"file://{tmp_path}/s")
+    store.publish_replace(*clean_titles(make_raw([raw_row("x", title="x1", listed_in="old"), raw_row("y", title="y1")])))
+    rows = [raw_row("x", title="x2", listed_in="two"), raw_row("y", title="y2"), raw_row("z", title="z2")]
+    late = Interleaved(store, *clean_titles(make_raw(rows)))
+    store.publish_replace(*clean_titles(make_raw([raw_row("x", title="x3", listed_in="three")])))
+    want = [("x", "x3"), ("y", "y2"), ("z", "z2")]
+    base = store.compact()
+    assert store.facts(base)["open"] == [2] and state(store)[0] == [("x", "x3"), ("y", "y1")]
+    late.finish()
+    assert state(store)[0] == want and ("x", "three") in state(store)[1] and ("x", "two") not in state(store)[1]
+    store.compact()
+    store.prune(keep=1)
+    assert state(store)[0] == want
+    store.publish_replace(*one(make_raw, "z", "z5"))
+    assert state(store)[0] == [*want[:2], ("z", "z5")]
+
+
+def test_two_compactions_side_by_side_lose_nothing(spark, make_raw, tmp_path, monkeypatch):
+    store, other = (CatalogStore(spark, f"file://{tmp_path}/s") for _ in range(2))
+    store.publish_replace(*one(make_raw, "a", "a1"))
+    listed = other.parts()
+    store.publish_replace(*one(make_raw, "b", "b2"))
+    assert store.compact() == 3
+    monkeypatch.setattr(other, "parts", lambda version=None: listed)    # it had listed before the load of b
+    assert other.compact() == 4
+    assert state(store)[0] == [("a", "a1"), ("b", "b2")]
+    store.prune(keep=1)
+    assert state(store)[0] == [("a", "a1"), ("b", "b2")]
+
+
+def test_prune_drops_only_abandoned_claims(spark, make_raw, tmp_path):
+    store = CatalogStore(spark, f"file://{tmp_path}/s")
+    store.publish_replace(*one(make_raw, "a", "a1"))
+    Interleaved(store, *one(make_raw, "b", "b2"))
+    store.publish_replace(*one(make_raw, "c", "c3"))
+    store.compact()
+    assert store.prune(keep=1) == [1, 3] and store.versions(complete_only=False) == [2, 4]
+    assert store.prune(keep=1, abandoned_after=3600) == []
+    assert store.prune(keep=1, abandoned_after=-1) == [2]
+    assert state(store)[0] == [("a", "a1"), ("c", "c3")]
+
+
+def test_a_month_loaded_again_replaces_its_null_ids_on_request(spark, moving_raw, make_raw, tmp_path):
+    store = CatalogStore(spark, f"file://{tmp_path}/s")
+    load = lambda m, raw=moving_raw: run_month(spark, raw, store, 2021, m, replace_null_ids=True)
+    for m in (1, 3):
+        load(m)
+    once = state(store)
+    load(1)
+    assert state(store) != once                             # "a" is January's again, as in the original
+    load(3)
+    assert state(store) == once                             # the null ids of both months are there once
+    store.compact()
+    load(3)
+    assert state(store) == once
+    load(1, make_raw([raw_row(None, date_added="January 2, 2021", title="other")]))
+    assert sum(k == "None" for k, _ in state(store)[0]) == 2 and ("None", "other") in state(store)[0]
+    run_month(spark, moving_raw, store, 2021, 3)            # without it they are appended
+    assert sum(k == "None" for k, _ in state(store)[0]) == 3
