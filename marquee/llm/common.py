@@ -83,6 +83,25 @@ def broadcast_if_light(table: DataFrame, array: str, item_bytes: int, row_bytes:
     return F.broadcast(table) if n["rows"] * row_bytes + (n["items"] or 0) * item_bytes <= limit else table
 
 
+#: log2 of the bits of ``mark_possible``: 2**18 rows of 64 bits travel to the tasks.
+POSSIBLE_BITS = 24
+
+
+def mark_possible(rows: DataFrame, key: str, keys: DataFrame, out: str, bits: int = POSSIBLE_BITS) -> DataFrame:
+    """Add the boolean ``out``: false where the long ``key`` is surely none of ``keys.key``.
+
+    A bitmap of fixed size, whatever the input, lets rows that a join can't match go past its shuffle; the join decides
+    on the others.
+    """
+    cell = lambda c: F.shiftrightunsigned(c, 64 - bits)
+    words = keys.select(F.shiftright(cell(F.col("key")), 6).alias("__at"), cell(F.col("key")).bitwiseAND(F.lit(63)).cast("int").alias("b"))
+    words = materialize(words.distinct().groupBy("__at").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("__word")))
+    both = rows.withColumn("__cell", cell(F.col(key))).withColumn("__at", F.shiftright("__cell", 6))
+    both = both.join(F.broadcast(words), "__at", "left")
+    bit = F.expr("shiftrightunsigned(__word, cast(__cell & 63 as int)) & 1")
+    return both.select(*rows.columns, F.coalesce(bit == 1, F.lit(False)).alias(out))
+
+
 def text_key(c: Column) -> Column:
     """Hash of a text that, with doc_id, stands for its row: fully repeated rows share it."""
     return F.xxhash64(F.coalesce(c, F.lit("")), c.isNull())

@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import broadcast_if_small, materialize
+from marquee.llm.common import broadcast_if_light, broadcast_if_small, materialize, text_key
 
 #: 1: the position counts, 0: it is ignored. Whichever two of twelve tokens are substituted, one mask ignores both.
 MASKS = ("111001000011", "000110101101", "011010110010", "100101011100", "100011110001", "011100001110")
@@ -77,9 +77,20 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str,
     tokens for a shorter item). Up to two substitutions never hide an overlap,
     nor do as many as ``similarity`` allows in an item shorter than a mask, which
     has masks of its own length; items of fewer than ``shortest`` tokens, null and empty texts never
-    match. Rows with equal doc_id (or item_id) are reported as one, with their
-    best overlap; null ids are ids like others. Empty tables give an empty result.
+    match. Texts of any length are searched whole. Rows with equal doc_id (or item_id)
+    are reported as one, with their best overlap; null ids are ids like others. Empty
+    tables give an empty result. Only the ids and texts are read, so other columns may
+    have any names.
     """
+    best = F.max(F.struct("similarity", "matched", "window", (-F.col("start")).alias("s"))).alias("b")
+    return contaminated_texts(docs, benchmark, masks, window, similarity, shortest).groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", "b.matched", "b.window", "b.similarity", (-F.col("b.s")).alias("start"))
+
+
+def contaminated_texts(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, window: int = WINDOW,
+                       similarity: float = SIMILARITY, shortest: int = SHORTEST) -> DataFrame:
+    """(doc_id, th, item_id, matched, window, similarity, start): as ``find_contamination``, for every different text
+    of an id (th: its ``text_key``) and every different text of an item."""
     spark = docs.sparkSession
     # one row per different text: repeated items share it
     items = materialize(benchmark.select("item_id", F.col("text").cast("string").alias("item")).where("item is not null").distinct())
@@ -117,7 +128,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str,
         bitmap = np.frombuffer(shipped.value, np.uint8)
         for batch in batches:
             rows, found, places = [], [], []
-            for i, text in enumerate(batch.column(1)):
+            for i, text in enumerate(batch.column(2)):
                 h = tokens(text.as_py())
                 for m in used:
                     s = seeds(h, m)
@@ -129,42 +140,51 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, masks: tuple[str,
                         places.append(at)
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(found).view(np.int64)),
-                     pa.array(np.concatenate(places).astype(np.int32))], ["doc_id", "seed", "place"])
+                    [*(batch.column(c).take(pa.array(np.concatenate(rows))) for c in (0, 1)), pa.array(np.concatenate(found).view(np.int64)),
+                     pa.array(np.concatenate(places).astype(np.int32))], ["doc_id", "th", "seed", "place"])
 
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = texts.select("doc_id", text_key(F.col("text")).alias("th"), "text")
     doc_type = texts.schema["doc_id"].dataType.simpleString()
-    hits = texts.mapInArrow(hash_docs, f"doc_id {doc_type}, seed long, place int")
+    hits = texts.mapInArrow(hash_docs, f"doc_id {doc_type}, th long, seed long, place int")
     aligned = materialize(
         hits.join(grid.select("seed", "item_key", "at"), "seed")
-        .groupBy("doc_id", "item_key").agg(F.collect_set(F.col("place") - F.col("at")).alias("shifts")))
+        .groupBy("doc_id", "th", "item_key").agg(F.collect_set(F.col("place") - F.col("at")).alias("shifts")))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc_id, item_id, text, item, shifts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                d, t = tokens(text), tokens(item)
+            out, last, d = [], None, None
+            for doc_id, th, item_id, text, item, shifts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if text != last:                # a text's items mostly follow one another
+                    last, d = text, tokens(text)
+                t = tokens(item)
                 n = min(window, len(t)) if len(t) >= span else len(t)
                 matched, start = max(((*overlap(d, t, s, n),) for s in shifts), key=lambda x: (x[0], -x[1]))
                 if matched >= similarity * n:
-                    out.append((doc_id, item_id, matched, n, matched / n, start))
-            cols = [list(c) for c in zip(*out, strict=True)] or [[] for _ in range(6)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], batch.schema.field(0).type), pa.array(cols[1], batch.schema.field(1).type),
-                 *(pa.array(cols[k], t) for k, t in ((2, pa.int64()), (3, pa.int64()), (4, pa.float64()), (5, pa.int64())))],
-                ["doc_id", "item_id", "matched", "window", "similarity", "start"])
-
-    pairs = broadcast_if_small(aligned.withColumnRenamed("doc_id", "__doc"))
-    both = texts.join(pairs, F.col("doc_id").eqNullSafe(F.col("__doc"))).join(
+                    out.append((doc_id, th, item_id, matched, n, matched / n, start))
+            cols = [list(c) for c in zip(*out, strict=True)] or [[] for _ in range(7)]
+            types = (batch.schema.field(0).type, pa.int64(), batch.schema.field(2).type, pa.int64(), pa.int64(), pa.float64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types, strict=True)],
+                                             ["doc_id", "th", "item_id", "matched", "window", "similarity", "start"])
+
+    # a row holds as many shifts as the text has seed hits along different alignments: counted before it may travel
+    pairs = broadcast_if_light(aligned.withColumnRenamed("doc_id", "__doc").withColumnRenamed("th", "__th"), "shifts", 4)
+    both = texts.join(pairs, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("th") == F.col("__th"))).join(
         items.withColumn("item_key", F.xxhash64("item_id", "item")), "item_key")
-    checked = both.select("doc_id", "item_id", "text", "item", "shifts").mapInArrow(
-        verify, f"doc_id {doc_type}, item_id {id_type}, matched long, window long, similarity double, start long")
-    best = F.max(F.struct("similarity", "matched", "window", (-F.col("start")).alias("s"))).alias("b")
-    return checked.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", "b.matched", "b.window", "b.similarity", (-F.col("b.s")).alias("start"))
+    checked = both.select("doc_id", "th", "item_id", "text", "item", "shifts").mapInArrow(
+        verify, f"doc_id {doc_type}, th long, item_id {id_type}, matched long, window long, similarity double, start long")
+    # fully repeated rows give the same row each
+    return checked.distinct()
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` (all columns) without those that ``find_contamination`` reports; rows of one id go together."""
-    found = materialize(find_contamination(docs, benchmark, **options).select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(broadcast_if_small(found), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    """``docs`` (all columns) without the rows whose text ``find_contamination`` reports.
+
+    Rows are judged by id and text: other texts of a contaminated document's id stay, and so do other rows without an id.
+    """
+    found = contaminated_texts(docs, benchmark, **options)
+    found = materialize(found.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct())
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    rows = rows.withColumn("__key", text_key(F.col("__row.text").cast("string")))
+    return rows.join(broadcast_if_small(found), F.col("__row.doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__th")),
+                     "left_anti").select("__row.*")

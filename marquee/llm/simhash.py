@@ -183,7 +183,9 @@ def _links(lists: DataFrame, distance: int) -> DataFrame:
 def fingerprint_links(fps: DataFrame, distance: int = DISTANCE, split: int = SPLIT) -> DataFrame:
     """Links (a, b) that connect the same groups of ``fps.fp`` as all pairs within ``distance`` (at most 3) bits.
 
-    ``fps`` must hold each fingerprint once.
+    ``fps`` must hold each fingerprint once. The links are spanning stars of what
+    is connected inside a list, so a link's ends may be further apart than
+    ``distance``; use its components, not its ends.
     """
     if not 0 <= distance <= DISTANCE:
         raise ValueError("the index of byte triples serves distances up to 3")

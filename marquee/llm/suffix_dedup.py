@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from marquee.llm.common import broadcast_if_small, materialize, text_key
+from marquee.llm.common import broadcast_if_small, mark_possible, materialize, text_key
 
 LENGTH = 400
 SHALLOW = 8                 # bytes that the quicksort looks at beyond the shared gram
@@ -276,9 +276,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, split: int = SPLIT) ->
     several = twice.where("mixed").groupBy("gram", "around").agg(
         F.sum("n").alias("n"), F.min(F.struct("doc_id", "th", "at", "left", "right")).alias("r")).select("gram", "around", "n", "r.*")
     several = materialize(several)
-    wanted = broadcast_if_small(several.withColumnRenamed("doc_id", "__doc").withColumnRenamed("th", "__th"))
+    wanted = several.withColumnRenamed("doc_id", "__doc").withColumnRenamed("th", "__th")
     bytes_of = F.substring(F.col("bytes"), F.col("at") - F.col("left") + 1, F.col("left") + F.col("right"))
-    around = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("th") == F.col("__th"))).select(
+    holders = mark_possible(texts, "th", several.select(F.col("th").alias("key")), "__may")
+    around = holders.where("__may").join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("th") == F.col("__th"))).select(
         "gram", "around", "n", "left", bytes_of.alias("bytes"))
     large = several.groupBy("gram").agg(F.count("*").alias("size")).where(F.col("size") > split).select("gram", F.lit(True).alias("large"))
     around = around.join(broadcast_if_small(materialize(large)), "gram", "left")
@@ -353,7 +354,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, split: int = SPLIT, wi
 
     Each byte of a string of ``length`` bytes that also starts at another place
     of any text goes; places are judged on the input. Null and empty texts
-    have no bytes; shorter texts keep all; fully repeated rows lose all they
+    have no bytes; shorter texts keep all; very long ones are hashed piece by
+    piece, windows over the pieces' edges included; fully repeated rows lose all they
     have if long enough, each its row; rows with one doc_id and different
     texts are different documents; null ids are ids like others. Empty tables
     give an empty result; other columns aren't read.
@@ -362,7 +364,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, split: int = SPLIT, wi
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = rows.select("doc_id", text_key(F.col("text")).alias("th"), F.coalesce("text", F.lit("")).cast("binary").alias("bytes"))
     marks = spans.select(F.col("doc_id").alias("__doc"), F.col("th").alias("__th"), "spans")
-    both = rows.join(marks, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("th") == F.col("__th")), "left")
+    # a text without spans goes straight to its hash, only the others are shuffled
+    rows = mark_possible(rows, "th", spans.select(F.col("th").alias("key")), "__may")
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("th") == F.col("__th"))
+    both = rows.where("__may").join(marks, same, "left").select("doc_id", "bytes", "spans").unionByName(
+        rows.where("not __may").select("doc_id", "bytes", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

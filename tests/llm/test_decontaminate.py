@@ -120,3 +120,14 @@ def test_long_text(awkward, spark):
     item = awkward.where("doc_id = 6").first().text.split(" ")[9000:9040]
     b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     assert sorted(r.doc_id for r in find_contamination(awkward, b).collect()) == [6, 7]
+
+
+def test_rows_are_judged_by_id_and_text(spark, make_docs):
+    item = " ".join(f"t{i}" for i in range(20))
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = make_docs([(None, item), (None, "clean one"), (5, "clean two"), (5, "x " + item), (5, "x " + item), (6, None), (7, "")])
+    left = drop_contaminated(docs, b)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(
+        [(None, "clean one"), (5, "clean two"), (6, None), (7, "")], key=str)
+    assert sorted(((r.doc_id, r.item_id) for r in find_contamination(docs, b).collect()), key=str) == [(5, 1), (None, 1)]
