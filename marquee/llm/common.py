@@ -18,15 +18,28 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialize(df: DataFrame) -> DataFrame:
+#: Spark's setting to delete a query's shuffle files when the query has ended.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, tidy: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     Cuts the lineage at a place that survives a lost executor; the table is
-    compressed and columnar, and the plan above it runs exactly once.
+    compressed and columnar, and the plan above it runs exactly once. With
+    ``tidy`` Spark deletes the write's shuffle files once the table is there
+    (they serve nothing else), so an operator of many steps holds one step's.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    was = spark.conf.get(_TIDY, None) if tidy else None
+    if tidy:
+        spark.conf.set(_TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if tidy:
+            spark.conf.unset(_TIDY) if was is None else spark.conf.set(_TIDY, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
