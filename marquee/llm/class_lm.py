@@ -4,12 +4,16 @@ Words are assigned to classes so that class bigrams predict the corpus best;
 a token's probability is that of its class after the class before it, times
 that of the word in its class.
 
-Counts are taken over all training texts. The exchange works on units: the
-``FREQUENT`` most frequent words, each a unit, and ``OPEN`` groups that share
-all other words by their hash (unseen ones too), so every word has a unit and
-by it a class. The unit bigrams are a matrix of bounded size. Inside a group a
-word has its own add-one share, from the counts of all words: those of the
-``HOT`` most frequent words travel to the tasks, the others are joined.
+Counts are taken over all training texts, and every training word gets its
+class by exchange. The ``FREQUENT`` most frequent words are exchanged one after
+another on the matrix of their bigrams, which has a bounded size. All other
+words move in parallel sweeps, each word to the class that raises the
+likelihood of its own neighbours most while the class matrix stands still; the
+matrix is counted anew after each sweep. The first sweep sees the neighbours
+that are frequent, later ones all: the classes of the ``HOT`` most frequent
+words travel to the tasks, those of the others are joined. None of the words
+that move is among the frequent ones, so none holds more than 1 / ``FREQUENT``
+of all tokens. Unseen words share one place in the class with most words.
 """
 
 from __future__ import annotations
@@ -24,12 +28,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marquee.llm.common import UPPER, crc_mod, materialize, text_key
 
-FREQUENT, OPEN, CLASSES = 2000, 47, 48
+FREQUENT, CLASSES = 2000, 48
 HOT = 1 << 18
-ROUNDS = 6
-END = 0                 # hash and unit of the end token; a text begins after one
+#: Rounds of the exchange of frequent words at most (it ends when nothing moves), and sweeps over the others.
+ROUNDS, SWEEPS = 40, 2
+END = 0                 # hash, unit and class of the end token; a text begins after one
 _LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 _FLUSH = 1 << 19
+#: Tokens whose neighbours are counted together in a task.
+_TOKENS = 1 << 21
 
 
 class _Hashes(dict):
@@ -72,32 +79,40 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select(F.col("text").cast("binary")).mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def _units(h: np.ndarray, frequent: np.ndarray, order: np.ndarray, groups: int) -> np.ndarray:
-    """Unit of each hash: 0 the end, then the frequent words, then the groups."""
-    at = np.minimum(np.searchsorted(frequent, h), max(len(frequent) - 1, 0))
-    known = frequent[at] == h if len(frequent) else np.zeros(len(h), bool)
-    group = np.mod(h, groups) + 1 + len(frequent)
-    return np.where(h == END, 0, np.where(known, order[at] + 1 if len(frequent) else 0, group))
+def _find(h: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each hash in a sorted table, and whether it's there."""
+    if not len(table):
+        return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
+    at = np.minimum(np.searchsorted(table, h), len(table) - 1)
+    return at, table[at] == h
 
 
-def unit_bigrams(texts: DataFrame, frequent: np.ndarray, order: np.ndarray, groups: int) -> np.ndarray:
-    """Matrix of the counts of neighbouring units; each text runs from an end to an end."""
-    size = 1 + len(frequent) + groups
-    shipped = texts.sparkSession.sparkContext.broadcast((frequent, order))
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Hashes of many whole texts at a time, an end before, between and after them."""
+    hashes, texts, n = _Hashes(), [np.array([END], np.int64)], 0
+    for batch in batches:
+        for text in batch.column(0):
+            texts.append(np.array([*map(hashes.__getitem__, _words(text)), END], np.int64))
+            n += len(texts[-1])
+            if n > _TOKENS:
+                yield np.concatenate(texts)
+                texts, n = texts[:1], 0
+    if n:
+        yield np.concatenate(texts)
+
+
+def unit_bigrams(texts: DataFrame, frequent: np.ndarray) -> np.ndarray:
+    """Matrix of the counts of neighbouring units: the end, the (sorted) frequent words, all other words together."""
+    size = 2 + len(frequent)
+    shipped = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, order = shipped.value
-        hashes, seen = _Hashes(), np.zeros(size * size, np.int64)
-        for batch in batches:
-            rows: list[int] = [END]
-            for i, text in enumerate(batch.column(0), 1):
-                rows += map(hashes.__getitem__, _words(text))
-                rows.append(END)
-                if len(rows) > _FLUSH or i == batch.num_rows:
-                    u = _units(np.array(rows, np.int64), frequent, order, groups)
-                    pair, n = np.unique(u[:-1] * size + u[1:], return_counts=True)
-                    seen[pair] += n
-                    rows = [END]
+        seen = np.zeros(size * size, np.int64)
+        for h in _tokens(batches):
+            at, found = _find(h, shipped.value)
+            u = np.where(h == END, 0, np.where(found, at + 1, size - 1))
+            pair, n = np.unique(u[:-1] * size + u[1:], return_counts=True)
+            seen[pair] += n
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], ["pair", "n"])
 
@@ -158,107 +173,246 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = ROUNDS) -> np.ndar
     return cls
 
 
+def _steps(pairs: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each class after each: a class's continuations, with as much weight on the plain
+    shares of the ``used`` classes as it has different ones."""
+    pairs = pairs * used * used[:, None]
+    alone = (pairs.sum(0) + 1) * used
+    kinds = (pairs > 0).sum(1, keepdims=True) + 1
+    with np.errstate(divide="ignore"):
+        return np.log10((pairs + kinds * alone / alone.sum()) / (pairs.sum(1, keepdims=True) + kinds))
+
+
+def neighbours(texts: DataFrame, known: np.ndarray, cls: np.ndarray, fixed: np.ndarray, classes: int,
+               assigned: DataFrame | None) -> DataFrame:
+    """(h, items): the neighbours' classes of every word that isn't fixed, counted.
+
+    ``known``: sorted hashes of words (and the end) whose classes ``cls`` travel, ``fixed`` the ones that don't move;
+    the classes of other neighbours are joined from ``assigned`` (h, cls), without it they don't count. An item is
+    n * 3 * classes + k; k is the class of a fixed word before, that of another word before + classes, or that of
+    the word after + 2 * classes.
+    """
+    shipped = texts.sparkSession.sparkContext.broadcast((known, cls, fixed))
+    codes, join = 3 * classes, assigned is not None
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, cls, fixed = shipped.value
+        for h in _tokens(batches):
+            at, found = _find(h, known)
+            k, still = np.where(found, cls[at], -1), found & fixed[at]
+            i = np.flatnonzero(~still)                  # never the first or last token, which are ends
+            before, after = k[i - 1], k[i + 1]
+            word = np.concatenate([h[i][before >= 0], h[i][after >= 0]])
+            code = np.concatenate([(before + np.where(still[i - 1], 0, classes))[before >= 0], after[after >= 0] + 2 * classes])
+            words, which = np.unique(word, return_inverse=True)
+            pair, n = np.unique(which * codes + code, return_counts=True)
+            ends = np.searchsorted(pair, np.arange(len(words) + 1) * codes)
+            items = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(n * codes + pair % codes, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.nulls(len(words), pa.int64()), items], ["h", "other", "items"])
+            if join:
+                a, b = i[before < 0], i[after < 0]
+                base = np.concatenate([np.full(len(a), codes + classes), np.full(len(b), codes + 2 * classes)])
+                items = pa.ListArray.from_arrays(pa.array(np.arange(len(base) + 1), pa.int32()), pa.array(base, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([h[a], h[b]]), pa.int64()),
+                                                  pa.array(np.concatenate([h[a - 1], h[b + 1]]), pa.int64()), items], ["h", "other", "items"])
+
+    seen = texts.select(F.col("text").cast("binary")).mapInArrow(count, "h long, other long, items array<long>")
+    if not join:
+        return seen.select("h", "items")
+    seen = materialize(seen)
+    joined = seen.where("other is not null").join(assigned.select(F.col("h").alias("other"), "cls"), "other")
+    return seen.where("other is null").select("h", "items").unionByName(
+        joined.select("h", F.transform("items", lambda x: x + F.col("cls")).alias("items")))
+
+
+def sweep(around: DataFrame, pairs: np.ndarray, types: np.ndarray) -> DataFrame:
+    """One parallel round over ``neighbours``: (h, cls, null, null) of every word, the class that its neighbours and the
+    number of words of each class (``types``) make likeliest, and (null, cls, k, n) rows that count the neighbours of
+    the classes thus made. A neighbour is counted for the class that the word has without it: otherwise the many words
+    of few occurrences, each in the class that fits them best, would make all steps look surer than they are."""
+    classes = len(pairs)
+    step = _steps(pairs, np.full(classes, True)) - np.log10((pairs.sum(0) + 1) / (pairs.sum() + classes))
+    prior = np.log10(types + 1)
+    prior[END] = -np.inf                        # the end's class is no choice
+    shipped = around.sparkSession.sparkContext.broadcast((np.vstack([step, step, step.T]), prior))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gain, prior = shipped.value
+        made = np.zeros((classes, 3 * classes), np.int64)
+        kept_h, kept = np.zeros(0, np.int64), np.zeros((0, 3 * classes), np.int64)
+
+        def settle(h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            score = n @ gain + prior
+            cls = score.argmax(1)
+            word, k = np.nonzero(n)
+            for at in range(0, len(word), 1 << 16):
+                w, j = word[at:at + (1 << 16)], k[at:at + (1 << 16)]
+                np.add.at(made, ((score[w] - gain[j]).argmax(1), j), n[w, j])
+            return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(cls, pa.int32()), pa.nulls(len(h), pa.int32()),
+                                               pa.nulls(len(h), pa.int64())], ["h", "cls", "k", "n"])
+
+        for batch in batches:                   # sorted by h: a word's rows follow each other
+            if not batch.num_rows:
+                continue
+            lists = batch.column(1)
+            words, row = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            items = lists.flatten().to_numpy()
+            place = np.repeat(row, lists.value_lengths().to_numpy()) * (3 * classes) + items % (3 * classes)
+            n = np.bincount(place, items // (3 * classes), len(words) * 3 * classes).astype(np.int64).reshape(-1, 3 * classes)
+            if len(kept_h) and kept_h[0] == words[0]:
+                n[0] += kept[0]
+            elif len(kept_h):
+                yield settle(kept_h, kept)
+            yield settle(words[:-1], n[:-1])
+            kept_h, kept = words[-1:], n[-1:]
+        yield settle(kept_h, kept)
+        c, k = np.nonzero(made)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(c), pa.int64()), pa.array(c, pa.int32()), pa.array(k, pa.int32()),
+                                          pa.array(made[c, k], pa.int64())], ["h", "cls", "k", "n"])
+
+    return materialize(around.repartition("h").sortWithinPartitions("h").mapInArrow(choose, "h long, cls int, k int, n long"))
+
+
 class ClassModel:
-    """Smoothed probabilities of classes after classes, units in classes, and words in groups (all log10)."""
-
-    def __init__(self, frequent: np.ndarray, order: np.ndarray, groups: int, bigrams: np.ndarray, cls: np.ndarray,
-                 types: np.ndarray, n: int, v: int) -> None:
-        """types: number of different training words in each group; n, v: training tokens, and different ones."""
-        classes = int(cls.max()) + 1
-        onehot = np.zeros((len(cls), classes))
-        onehot[np.arange(len(cls)), cls] = 1
-        pairs = onehot.T @ bigrams @ onehot
-        count = bigrams.sum(0)                                  # of each unit as the next token
-        alone = (pairs.sum(0) + 1) / (pairs.sum() + classes)
-        # each class's continuations, with as much weight on the plain class shares as it has different ones
-        kinds = (pairs > 0).sum(1, keepdims=True) + 1
-        self.step = np.log10((pairs + kinds * alone) / (pairs.sum(1, keepdims=True) + kinds))
-        size = onehot.sum(0)
-        self.emit = np.log10((count + 1) / (onehot.T @ count + size)[cls])
-        self.cls, self.frequent, self.order, self.groups = cls, frequent, order, groups
-        first = 1 + len(frequent)
-        self.emit[first:] -= np.log10(count[first:] + types + 1)        # then (c + 1) for the word itself
-        self.n, self.v = n, v
-
-
-def train(texts: DataFrame, frequent: int = FREQUENT, groups: int = OPEN, classes: int = CLASSES,
-          rounds: int = ROUNDS) -> tuple[ClassModel, DataFrame]:
-    """The model of ``texts`` (column text), and the written table (h, c) of all its word counts."""
+    """Smoothed probabilities (log10) of classes after classes, and of each class's words.
+
+    ``pairs``: counts of neighbouring classes; ``size``: the sum of (c + 1) over each class's words; ``opened``: the
+    class of unseen words, with one place for them.
+    """
+
+    def __init__(self, pairs: np.ndarray, size: np.ndarray, opened: int, n: int, v: int) -> None:
+        """n, v: training tokens, and different ones."""
+        size = size.astype(float)
+        size[opened] += 1
+        size[END] = max(size[END], 1)
+        self.step = _steps(pairs, size > 0)
+        self.size = np.log10(np.maximum(size, 1))
+        self.opened, self.n, self.v = opened, n, v
+
+
+def _most(table: DataFrame, n: int) -> pa.Table:
+    """The end's row and those of the ``n`` most frequent words, sorted by hash."""
+    both = [table.where(F.col("h") == END).toArrow(), table.where(F.col("h") != END).orderBy(F.col("c").desc(), "h").limit(n).toArrow()]
+    return pa.concat_tables(both).sort_by("h")
+
+
+def train(texts: DataFrame, frequent: int = FREQUENT, classes: int = CLASSES, rounds: int = ROUNDS, sweeps: int = SWEEPS,
+          hot: int = HOT) -> tuple[ClassModel, DataFrame]:
+    """The model of ``texts`` (column text), and the written table (h, c, cls) of all its words, the end's class 0."""
     counts = materialize(word_counts(texts))
+    spark = texts.sparkSession
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    top = counts.where(F.col("h") != END).orderBy(F.col("c").desc(), "h").limit(frequent).select("h").toArrow().column(0).to_numpy()
-    order = np.argsort(top)
-    top = top[order]
-    bigrams = unit_bigrams(texts, top, order, groups)
-    types = np.zeros(groups, np.int64)
-    for r in counts.where(F.col("h") != END).groupBy(F.pmod("h", F.lit(groups)).alias("g")).count().collect():
-        types[r["g"]] += r["count"]
-    np.subtract.at(types, np.mod(top, groups), 1)
-    cls = exchange(bigrams, classes, rounds)
-    return ClassModel(top, order, groups, bigrams, cls, types, total["n"] or 0, total["v"] or 0), counts
-
-
-def score(docs: DataFrame, model: ClassModel, counts: DataFrame, hot: int = HOT) -> DataFrame:
+    top = _most(counts, frequent).column("h").to_numpy()
+    top = top[top != END]
+    bigrams = unit_bigrams(texts, top)
+    cls = exchange(bigrams, classes, rounds)[:-1]
+    # from here on without the unit of all other words: their classes come from the sweeps
+    onehot = np.zeros((len(cls), classes))
+    onehot[np.arange(len(cls)), cls] = 1
+    among = onehot.T @ bigrams[:-1, :-1] @ onehot
+    pairs, opened, types = among, 1, onehot.sum(0)
+    seed = spark.createDataFrame(pa.table({"h": pa.array(np.r_[END, top], pa.int64()), "cls": pa.array(cls, pa.int32())}))
+    words = counts.join(F.broadcast(seed), "h", "left").select("h", "c", F.coalesce("cls", F.lit(opened)).alias("cls"))
+    for i in range(sweeps):
+        known = pa.table({"h": np.r_[END, top], "cls": cls}).sort_by("h") if not i else _most(words, max(hot, frequent))
+        h = known.column("h").to_numpy()
+        around = neighbours(texts, h, known.column("cls").to_numpy(), _find(h, np.unique(np.r_[END, top]))[1], classes, words if i else None)
+        found = sweep(around, pairs, types)
+        moved = found.where("h is not null").select("h", F.col("cls").alias("__cls"))
+        types = onehot.sum(0)
+        for r in moved.groupBy("__cls").count().collect():
+            types[r["__cls"]] += r["count"]
+        opened = 1 + int(types[1:].argmax())
+        words = materialize(counts.join(moved, "h", "left").join(F.broadcast(seed), "h", "left").select(
+            "h", "c", F.coalesce("cls", "__cls", F.lit(opened)).alias("cls")))
+        pairs = among.copy()
+        for r in found.where("h is null").groupBy("cls", "k").agg(F.sum("n").alias("n")).collect():     # at most 3 * classes**2 rows
+            if r["k"] < classes:
+                pairs[r["k"], r["cls"]] += r["n"]
+            elif r["k"] >= 2 * classes:         # a pair of two words that move is counted where it is the word after
+                pairs[r["cls"], r["k"] - 2 * classes] += r["n"]
+    size = np.zeros(classes, np.int64)
+    for r in words.groupBy("cls").agg(F.sum(F.col("c") + 1).alias("n")).collect():
+        size[r["cls"]] = r["n"]
+    return ClassModel(pairs, size, opened, total["n"] or 0, total["v"] or 0), words
+
+
+def score(docs: DataFrame, model: ClassModel, words: DataFrame, hot: int = HOT) -> DataFrame:
     """doc_id, th and, over each whole text: n_tokens, n_known, train_tokens, base_score, score.
 
-    ``hot`` words' counts travel to the tasks (the model's frequent ones always); the others' are joined.
+    Counts and classes of ``hot`` words travel to the tasks; the others' are joined.
     """
-    hot = max(hot, len(model.frequent))
-    # the rows that travel: the end and at most ``hot`` words
-    known = pa.concat_tables([counts.where(F.col("h") == END).toArrow(),
-                              counts.where(F.col("h") != END).orderBy(F.col("c").desc(), "h").limit(hot).toArrow()])
-    h, c = known.column("h").to_numpy(), known.column("c").to_numpy()
-    by_hash = np.argsort(h)
-    shipped = docs.sparkSession.sparkContext.broadcast((model, h[by_hash], c[by_hash]))
+    known = _most(words, hot)
+    shipped = docs.sparkSession.sparkContext.broadcast((model, *(known.column(c).to_numpy() for c in ("h", "c", "cls"))))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     texts = texts.select("doc_id", text_key(F.col("text")).alias("th"), F.col("text").cast("binary").alias("bytes"))
     id_type = texts.schema["doc_id"].dataType.simpleString()
+    token = pa.struct([("at", pa.int64()), ("h", pa.int64()), ("before", pa.int32()), ("after", pa.int32())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, hot_h, hot_c = shipped.value
+        model, hot_h, hot_c, hot_cls = shipped.value
         hashes = _Hashes()
         unknown = np.log10(model.n + model.v + 1)
-        first = 1 + len(model.frequent)
+        own, classes = np.log10(hot_c + 1), hot_cls
+        if not len(hot_h):
+            own, classes = np.zeros(1), np.zeros(1, np.int32)
         for batch in batches:
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(4)]
+            ends, tokens = [0], [[np.zeros(0, np.int64)] for _ in range(4)]
             for text in batch.column(2):
-                w = np.array([*map(hashes.__getitem__, _words(text)), END], np.int64)
-                u = _units(w, model.frequent, model.order, model.groups)
-                k = model.cls[u]
-                score = model.step[np.r_[0, k[:-1]], k].sum() + model.emit[u].sum()
-                if len(hot_h):
-                    at = np.minimum(np.searchsorted(hot_h, w), len(hot_h) - 1)
-                    found = hot_h[at] == w
-                    own = np.log10(hot_c[at] + 1) * found
-                else:
-                    found, own = np.zeros(len(w), bool), np.zeros(len(w))
-                rest, n = np.unique(w[~found], return_counts=True)
-                # words of a group (unit past the frequent ones) have (c + 1) as a factor of their own
-                for col, x in zip(cols, (len(w), int(found.sum()), own.sum() - len(w) * unknown, score + own[u >= first].sum(),
-                                         rest, n), strict=True):
+                w = np.array([END, *map(hashes.__getitem__, _words(text)), END], np.int64)
+                at, found = _find(w, hot_h)
+                k = np.where(w == END, END, np.where(found, classes[at], -1))
+                both = (k[:-1] >= 0) & (k[1:] >= 0)
+                steps = model.step[k[:-1][both], k[1:][both]].sum()
+                found[0] = False                # the end before the text is no token
+                words = own[at[found]].sum()
+                there = found | (w == END)
+                there[0] = False
+                rest = np.flatnonzero(k < 0)
+                for col, x in zip(cols, (len(w) - 1, int(found.sum()), words - (len(w) - 1) * unknown,
+                                         words + steps - model.size[k[there]].sum()), strict=True):
                     col.append(x)
+                for t, x in zip(tokens, (rest, w[rest], k[rest - 1], k[rest + 1]), strict=True):
+                    t.append(x)
+                ends.append(ends[-1] + len(rest))
+            at, h, before, after = (np.concatenate(t) for t in tokens)
+            each = pa.StructArray.from_arrays([pa.array(at, pa.int64()), pa.array(h, pa.int64()), pa.array(before, pa.int32()),
+                                               pa.array(after, pa.int32())], fields=list(token))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64()),
-                 pa.array(cols[4], pa.list_(pa.int64())), pa.array(cols[5], pa.list_(pa.int64()))],
-                ["doc_id", "th", "n_tokens", "known", "base", "model", "h", "n"])
+                 pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)],
+                ["doc_id", "th", "n_tokens", "known", "base", "model", "rest"])
 
     parts = materialize(texts.mapInArrow(scan, f"doc_id {id_type}, th long, n_tokens long, known long, base double, model double, "
-                                               "h array<long>, n array<long>"))
-    # the other words, each with its count; fully repeated rows have equal parts and are joined once
-    once = parts.select("doc_id", "th", F.explode(F.arrays_zip("h", "n")).alias("x"))
-    rare = once.select("doc_id", "th", "x.h", "x.n").join(counts.select("h", "c"), "h", "left")
-    sums = rare.groupBy("doc_id", "th").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more"),
-        F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("own"))
+                                               "rest array<struct<at: long, h: long, before: int, after: int>>"))
+    # the other words, each with its count and class; fully repeated rows have equal parts and are joined once
+    each = parts.select("doc_id", "th", F.inline("rest")).join(words, "h", "left")
+    each = each.withColumn("cls", F.coalesce("cls", F.lit(model.opened)))
+    classes = len(model.step)
+    # no word is in a class without words, whose steps are infinite
+    steps = F.lit(np.where(np.isfinite(model.step), model.step, 0).ravel().tolist())
+    step = lambda a, b: F.get(steps, a * classes + b)
+    own = F.log10(F.coalesce("c", F.lit(0)) + 1)
+    beside = (F.when(F.col("before") >= 0, step(F.col("before"), F.col("cls"))).otherwise(0)
+              + F.when(F.col("after") >= 0, step(F.col("cls"), F.col("after"))).otherwise(0))
+    sums = each.groupBy("doc_id", "th").agg(
+        F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("more"), F.sum(own).alias("own"),
+        F.sum(beside - F.get(F.lit(model.size.tolist()), F.col("cls"))).alias("beside"),
+        # at most the tokens of a text: those beside another one of them
+        F.array_sort(F.collect_set(F.when((F.col("before") < 0) | (F.col("after") < 0), F.struct("at", "cls")))).alias("runs"))
+    later = F.slice("runs", F.lit(2), F.greatest(F.size("runs") - 1, F.lit(0)))
+    between = F.zip_with("runs", later, lambda a, b: F.when(b["at"] == a["at"] + 1, step(a["cls"], b["cls"])).otherwise(0.0))
     copies = parts.groupBy(F.col("doc_id").alias("__doc"), F.col("th").alias("__th")).agg(F.count("*").alias("rows"))
-    sums = sums.join(copies, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("th") == F.col("__th"))).select(
-        "__doc", "__th", (F.col("more") / F.col("rows")).cast("long").alias("more"), (F.col("own") / F.col("rows")).alias("own"))
-    both = parts.drop("h", "n").join(sums, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("th") == F.col("__th")), "left")
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("th") == F.col("__th"))
+    sums = sums.join(copies, same).select(
+        "__doc", "__th", (F.col("more") / F.col("rows")).cast("long").alias("more"), (F.col("own") / F.col("rows")).alias("own"),
+        (F.col("beside") / F.col("rows") + F.aggregate(between, F.lit(0.0), lambda s, x: s + x)).alias("beside"))
+    both = parts.drop("rest").join(sums, same, "left")
     own = F.coalesce("own", F.lit(0.0))
     return both.select("doc_id", "th", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
                        F.lit(model.n).cast("long").alias("train_tokens"), (F.col("base") + own).alias("base_score"),
-                       (F.col("model") + own).alias("score"))
+                       (F.col("model") + own + F.coalesce("beside", F.lit(0.0))).alias("score"))
 
 
 def score_corpus(docs: DataFrame, held_out: Column | None = None, **options) -> DataFrame:
@@ -272,7 +426,7 @@ def score_corpus(docs: DataFrame, held_out: Column | None = None, **options) ->
     """
     held_out = crc_mod(F.col("doc_id"), 7) == 2 if held_out is None else held_out
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    model, counts = train(rows.where(~held_out), **options)
-    scored = score(rows, model, counts)
+    model, words = train(rows.where(~held_out), **options)
+    scored = score(rows, model, words)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
                          F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
