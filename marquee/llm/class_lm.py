@@ -18,63 +18,118 @@ of all tokens. Unseen words share one place in the class with most words.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from marquee.llm.common import UPPER, crc_mod, materialize, text_key
+from marquee.llm.common import crc_mod, materialize, text_key
 
 FREQUENT, CLASSES = 2000, 48
 HOT = 1 << 18
 #: Rounds of the exchange of frequent words at most (it ends when nothing moves), and sweeps over the others.
 ROUNDS, SWEEPS = 40, 2
 END = 0                 # hash, unit and class of the end token; a text begins after one
-_LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
-_FLUSH = 1 << 19
-#: Tokens whose neighbours are counted together in a task.
-_TOKENS = 1 << 21
+_GOLDEN, _MIX = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)      # fixed values of splitmix64
+#: Base of the words' polynomial hash: odd, so that it has an inverse modulo 2**64, and 3 modulo 8, so that places differ.
+BASE = 0x9E3779B97F4A7C1B
+#: Bytes of text hashed together, and tokens counted together, in a task.
+_BYTES, _TOKENS = 1 << 20, 1 << 19
 
 
-class _Hashes(dict):
-    """Word -> signed 64-bit hash, never that of the end."""
+def mix(z: np.ndarray) -> np.ndarray:
+    """splitmix64's last step."""
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(_MIX[0])
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(_MIX[1])
+    return z ^ (z >> np.uint64(31))
 
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word) - (1 << 63) or 1
-        if len(self) < _FLUSH:
-            self[word] = h
+
+def byte_values() -> np.ndarray:
+    """A 64-bit number for each byte, the same for a letter of A-Z and its lower case."""
+    out = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_GOLDEN))
+    out[65:91] = out[97:123]
+    return out
+
+
+class _Words:
+    """Hashes of the words of whole texts, all words of many texts at once.
+
+    A word's hash is the sum of its bytes' numbers times powers of ``BASE`` (modulo 2**64, mixed, never that of the end):
+    differences of running sums over all the bytes, taken back to the word's start.
+    """
+
+    def __init__(self) -> None:
+        self.value = byte_values()
+        self.gap = np.zeros(256, bool)
+        self.gap[[9, 10, 11, 12, 13, 32]] = True
+        self.up, self.down = self._powers(_BYTES)
+
+    @staticmethod
+    def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+        both = []
+        for base in (BASE, pow(BASE, -1, 1 << 64)):
+            x = np.full(n, base, np.uint64)
+            x[:1] = 1
+            both.append(np.cumprod(x, dtype=np.uint64))
+        return both[0], both[1]
+
+    def _hash(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(start), np.uint64)
+        i = 0
+        while i < len(start):               # one step but for texts longer than _BYTES
+            j = max(i + 1, int(np.searchsorted(stop, start[i] + _BYTES, "right")))
+            first, size = start[i], int(stop[j - 1] - start[i])
+            up, down = (self.up, self.down) if size <= _BYTES else self._powers(size)
+            sums = np.zeros(size + 1, np.uint64)
+            np.cumsum(self.value[data[first:first + size]] * up[:size], out=sums[1:])
+            out[i:j] = (sums[stop[i:j] - first] - sums[start[i:j] - first]) * down[start[i:j] - first]
+            i = j
+        h = mix(out).view(np.int64)
+        h[h == END] = 1
         return h
 
+    def __call__(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For one group of (binary) texts after another: the hashes, an end after each text, and where each text's stop."""
+        texts = texts.fill_null(b"").cast(pa.large_binary())
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        i = 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + _BYTES, "right")) - 1)
+            part, cuts = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+            inside = np.r_[False, ~self.gap[part], False]
+            new = np.zeros(len(part) + 1, bool)
+            new[cuts] = True                # a word neither begins before a text nor goes on after it
+            start = np.flatnonzero(inside[1:] & (~inside[:-1] | new))
+            stop = np.flatnonzero(inside[:-1] & (~inside[1:] | new))
+            of = np.searchsorted(cuts[1:], start, "right")
+            out = np.full(len(start) + j - i, END, np.int64)
+            out[np.arange(len(start)) + of] = self._hash(part, start, stop)
+            yield out, np.cumsum(np.bincount(of, minlength=j - i) + 1)
+            i = j
 
-def _words(text: pa.Scalar) -> list[bytes]:
-    """Lower-cased (A-Z) words of a text; bytes.split() cuts at exactly space and \\t to \\r."""
-    return text.as_buffer().to_pybytes().translate(_LOWER).split() if text.is_valid else []
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Hashes of many whole texts at a time, an end before, between and after them."""
+    words, texts, n = _Words(), [np.array([END], np.int64)], 0
+    for batch in batches:
+        for h, _ in words(batch.column(0)):
+            texts.append(h)
+            n += len(h)
+            if n > _TOKENS:
+                yield np.concatenate(texts)
+                texts, n = texts[:1], 0
+    if n:
+        yield np.concatenate(texts)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(h, c): how often each word occurs in ``texts`` (column text); the end token has hash 0."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = _Hashes(), Counter()
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(map(hashes.__getitem__, counts.keys()), pa.int64()) if counts else pa.array([], pa.int64()),
-                                              pa.array(counts.values(), pa.int64())], ["h", "c"])
-            counts.clear()
-            return out
-
-        ends = 0
-        for batch in batches:
-            ends += batch.num_rows
-            for text in batch.column(0):
-                counts.update(_words(text))
-                if len(counts) > _FLUSH:
-                    yield flush()
-        yield flush()
-        if ends:
-            yield pa.RecordBatch.from_arrays([pa.array([END], pa.int64()), pa.array([ends], pa.int64())], ["h", "c"])
+        for h in _tokens(batches):
+            words, n = np.unique(h[1:], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.int64()), pa.array(n, pa.int64())], ["h", "c"])
 
     return texts.select(F.col("text").cast("binary")).mapInArrow(count, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
@@ -87,20 +142,6 @@ def _find(h: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, table[at] == h
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """Hashes of many whole texts at a time, an end before, between and after them."""
-    hashes, texts, n = _Hashes(), [np.array([END], np.int64)], 0
-    for batch in batches:
-        for text in batch.column(0):
-            texts.append(np.array([*map(hashes.__getitem__, _words(text)), END], np.int64))
-            n += len(texts[-1])
-            if n > _TOKENS:
-                yield np.concatenate(texts)
-                texts, n = texts[:1], 0
-    if n:
-        yield np.concatenate(texts)
-
-
 def unit_bigrams(texts: DataFrame, frequent: np.ndarray) -> np.ndarray:
     """Matrix of the counts of neighbouring units: the end, the (sorted) frequent words, all other words together."""
     size = 2 + len(frequent)
@@ -351,37 +392,37 @@ def score(docs: DataFrame, model: ClassModel, words: DataFrame, hot: int = HOT)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, hot_h, hot_c, hot_cls = shipped.value
-        hashes = _Hashes()
+        words = _Words()
         unknown = np.log10(model.n + model.v + 1)
-        own, classes = np.log10(hot_c + 1), hot_cls
+        own, cls = np.log10(hot_c + 1), hot_cls
         if not len(hot_h):
-            own, classes = np.zeros(1), np.zeros(1, np.int32)
+            own, cls = np.zeros(1), np.zeros(1, np.int32)
         for batch in batches:
-            cols: list[list] = [[] for _ in range(4)]
-            ends, tokens = [0], [[np.zeros(0, np.int64)] for _ in range(4)]
-            for text in batch.column(2):
-                w = np.array([END, *map(hashes.__getitem__, _words(text)), END], np.int64)
-                at, found = _find(w, hot_h)
-                k = np.where(w == END, END, np.where(found, classes[at], -1))
-                both = (k[:-1] >= 0) & (k[1:] >= 0)
-                steps = model.step[k[:-1][both], k[1:][both]].sum()
-                found[0] = False                # the end before the text is no token
-                words = own[at[found]].sum()
-                there = found | (w == END)
-                there[0] = False
-                rest = np.flatnonzero(k < 0)
-                for col, x in zip(cols, (len(w) - 1, int(found.sum()), words - (len(w) - 1) * unknown,
-                                         words + steps - model.size[k[there]].sum()), strict=True):
+            cols: list[list] = [[] for _ in range(8)]
+            for h, stops in words(batch.column(2)):
+                starts = np.r_[0, stops[:-1]]
+                at, found = _find(h, hot_h)
+                k = np.where(h == END, END, np.where(found, cls[at], -1))
+                before, after = np.r_[END, k[:-1]], np.r_[k[1:], END]        # an end comes before every text
+                there = k >= 0
+                log = np.where(found, own[at], 0)
+                both = there & (before >= 0)
+                steps = np.where(both, model.step[np.where(both, before, END), np.where(both, k, END)], 0) - np.where(there, model.size[k], 0)
+                rest = np.flatnonzero(~there)
+                of = np.searchsorted(stops, rest, "right")
+                n = stops - starts
+                for col, x in zip(cols, (n, np.add.reduceat(found.astype(np.int64), starts), np.add.reduceat(log, starts) - n * unknown,
+                                         np.add.reduceat(log + steps, starts), np.bincount(of, minlength=len(n)),
+                                         np.array([rest - starts[of], h[rest]]), before[rest], after[rest]), strict=True):
                     col.append(x)
-                for t, x in zip(tokens, (rest, w[rest], k[rest - 1], k[rest + 1]), strict=True):
-                    t.append(x)
-                ends.append(ends[-1] + len(rest))
-            at, h, before, after = (np.concatenate(t) for t in tokens)
-            each = pa.StructArray.from_arrays([pa.array(at, pa.int64()), pa.array(h, pa.int64()), pa.array(before, pa.int32()),
-                                               pa.array(after, pa.int32())], fields=list(token))
+            if not batch.num_rows:
+                continue
+            n, known, base, score, many, token_at, before, after = (np.concatenate(c, axis=-1) for c in cols)
+            each = pa.StructArray.from_arrays([pa.array(token_at[0], pa.int64()), pa.array(token_at[1], pa.int64()),
+                                               pa.array(before, pa.int32()), pa.array(after, pa.int32())], fields=list(token))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                 pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)],
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
+                 pa.array(score, pa.float64()), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)], pa.int32()), each)],
                 ["doc_id", "th", "n_tokens", "known", "base", "model", "rest"])
 
     parts = materialize(texts.mapInArrow(scan, f"doc_id {id_type}, th long, n_tokens long, known long, base double, model double, "

@@ -5,11 +5,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
-from marquee.llm.class_lm import END, exchange, neighbours, score, score_corpus, sweep, train
+from marquee.llm.class_lm import _Words, BASE, END, byte_values, exchange, mix, neighbours, score, score_corpus, sweep, train
 from marquee.llm.queries import op5_class_lm
 from tests.conftest import SF_MID, SF_SMALL
 
@@ -72,9 +72,30 @@ def test_query_base_and_gain(spark):
     assert all(r.score < 0 for r in got)
 
 
+VALUES = [int(x) for x in byte_values()]
+
+
+def word_hash(word):
+    h = sum(VALUES[b] * pow(BASE, i, 1 << 64) for i, b in enumerate(word)) % (1 << 64)
+    return int(mix(np.array([h], np.uint64)).view(np.int64)[0]) or 1
+
+
+def test_words_of_texts_at_once():
+    """Words that touch a text's edge, empty and null texts, other white space, and texts and words longer than a step."""
+    texts = ["a B", "", None, "b", "  x\ty\r\nZ é\u00a0é ", "q", "ab" * (1 << 20) + " tail", "one " * (1 << 19) + "Two", "end\x0b\x0c"]
+    got_h, got_n = [], []
+    for h, stops in _Words()(pa.array([None if t is None else t.encode() for t in ["cut off", *texts]]).slice(1)):
+        got_h += h.tolist()
+        got_n += np.diff(np.r_[0, stops]).tolist()
+    long = _Words()._hash(np.frombuffer(b"ab" * (1 << 20), np.uint8), np.array([0]), np.array([1 << 21]))[0]
+    expected = [[long, word_hash(b"tail"), END] if t and len(t) == (1 << 21) + 5 else
+                [word_hash(b"one")] * (1 << 19) + [word_hash(b"two"), END] if t and len(t) > 99 else tokens(t)[1:] for t in texts]
+    assert got_n == [len(e) for e in expected] and got_h == [h for e in expected for h in e]
+
+
 def tokens(text):
     """Hashes of a text between two ends."""
-    return [END, *(xxhash.xxh64_intdigest(w) - (1 << 63) or 1 for w in words(text)), END]
+    return [END, *map(word_hash, words(text)), END]
 
 
 @pytest.fixture(scope="module")
