@@ -4,7 +4,7 @@ The n-grams of a text (present or not) are scaled by the log ratio of their
 counts in the two classes; a linear hinge-loss model over them is fitted by
 dual coordinate descent. Counts cover all training rows; the descent runs over
 a bounded sample of them (``SAMPLE`` rows), its margins are turned into
-probabilities on folds it hasn't seen.
+probabilities on folds that neither it nor the counts have seen.
 
 N-grams are words and word pairs, and the same over word shapes (runs of
 letters, digits and each other sign reduced to one, a repeated word to "="):
@@ -120,29 +120,36 @@ def logistic(m: np.ndarray, labels: np.ndarray, rounds: int = 50) -> tuple[float
     return float(max(theta[0], 1e-3)), float(theta[1])
 
 
+def log_ratio(counts: np.ndarray) -> np.ndarray:
+    """Log of each feature's share in class 1 over its share in class 0, from counts (class, feature), one added."""
+    smooth = counts + 1.0
+    return np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
+
+
 def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float, float] | None:
     """Train on ``rows`` (doc_id, text, quality 0/1): (ratio, weights, a, b); None without rows of both classes."""
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << BITS), np.int64)
+        counts = np.zeros((2, 2, 1 << BITS), np.int64)
         for batch in batches:
-            labels = batch.column(1).to_pylist()
-            for label, f in zip(labels, features(batch.column(0).to_pylist()), strict=True):
-                counts[label, f] += 1
-        at = np.flatnonzero(counts.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[0, at]), pa.array(counts[1, at])], ["f", "n0", "n1"])
+            labels, folds = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            for label, fold, f in zip(labels, folds, features(batch.column(0).to_pylist()), strict=True):
+                counts[fold, label, f] += 1
+        fold, f = np.nonzero(counts.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(fold, pa.int32()), pa.array(f), pa.array(counts[fold, 0, f]), pa.array(counts[fold, 1, f])],
+                                         ["fold", "f", "n0", "n1"])
 
     rows = materialize(rows.select("doc_id", F.col("text").cast("string").alias("text"), F.col("quality").cast("int").alias("quality"))
-                       .where("quality in (0, 1)"))
+                       .where("quality in (0, 1)").withColumn("fold", F.pmod(F.xxhash64("text", "doc_id"), F.lit(2)).cast("int")))
     n = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
     if len(n) < 2:
         return None
-    table = (rows.select("text", "quality").mapInArrow(presence, "f long, n0 long, n1 long")
-             .groupBy("f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())     # at most 2**BITS rows
-    counts = np.ones((2, 1 << BITS))
-    at = table.column("f").to_numpy()
-    counts[0, at] += table.column("n0").to_numpy()
-    counts[1, at] += table.column("n1").to_numpy()
-    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    table = (rows.select("text", "quality", "fold").mapInArrow(presence, "fold int, f long, n0 long, n1 long")
+             .groupBy("fold", "f").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())     # at most 2 * 2**BITS rows
+    counts = np.zeros((2, 2, 1 << BITS))
+    fold, at = table.column("fold").to_numpy(), table.column("f").to_numpy()
+    counts[fold, 0, at] = table.column("n0").to_numpy()
+    counts[fold, 1, at] = table.column("n1").to_numpy()
+    ratio = log_ratio(counts.sum(0))
 
     # a fixed share of the ids, as the bound allows: the smaller class first, up to half of it
     rare = min(n, key=n.get)
@@ -159,7 +166,7 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray,
             found = list(features(batch.column(0).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.int32()))], ["quality", "fold", "f"])
 
-    got = (rows.where(chosen).select("text", "quality", F.pmod(F.xxhash64("text", "doc_id"), F.lit(2)).cast("int").alias("fold"))
+    got = (rows.where(chosen).select("text", "quality", "fold")
            .mapInArrow(vectors, "quality int, fold int, f array<int>").toArrow())
     y = np.where(got.column("quality").to_numpy() == 1, 1.0, -1.0)
     fold = got.column("fold").to_numpy()
@@ -170,8 +177,8 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray,
     unseen = np.zeros(len(y))
     for k in (0, 1):
         here, there = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
-        w = dual_descent([x[i] for i in there], y[there], ratio, cost[there])
-        unseen[here] = margins([x[i] for i in here], ratio, w)
+        other = log_ratio(counts[1 - k])                # counts, too, without the rows whose margins these are
+        unseen[here] = margins([x[i] for i in here], other, dual_descent([x[i] for i in there], y[there], other, cost[there]))
     a, b = logistic(unseen, y)
     # the sample holds the classes in other shares than the rows: shift to the rows' odds
     b += float(np.log(n[1] / n[0]) - np.log((y > 0).sum() / (y < 0).sum()))

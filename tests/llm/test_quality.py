@@ -46,6 +46,14 @@ def test_query_scores_held_out_rows_well(spark):
     assert auc > 0.97 and np.mean([p == q for _, q, p in unseen]) > 0.95
 
 
+def test_scores_are_probabilities_of_unseen_rows(spark):
+    """On held-out rows the mean score is near the share of label 1, overall and among the rows of low and of high scores."""
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_MID}/labels.parquet").collect()}
+    got = [(r.score, labels[r.doc_id]) for r in op4_quality(spark, SF_MID).collect() if r.held_out and labels.get(r.doc_id) is not None]
+    for part in (got, [x for x in got if x[0] < .5], [x for x in got if x[0] >= .5]):
+        assert len(part) > 10 and abs(np.mean([s for s, _ in part]) - np.mean([q for _, q in part])) < 0.1
+
+
 @pytest.fixture
 def small(make_docs, spark):
     rows = [(i, f"good words here number {i} and some more" if i % 3 else f"bad!!! junk$$$ {i} !!!! more###") for i in range(60)]
