@@ -6,7 +6,7 @@
     python -m marquee report    --store DIR --name REPORT [--out DIR]
     python -m marquee report    --store DIR --all --out DIR
     python -m marquee export    --store DIR --out DIR
-    python -m marquee summary   --store DIR [--rebuild]
+    python -m marquee summary   --store DIR [--rebuild] [--share COUNTRY]
     python -m marquee compact   --store DIR
     python -m marquee prune     --store DIR [--keep N]
 
@@ -68,6 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("summary", help="take new loads into the kept yearly summary and print it")
     p.add_argument("--store", required=True)
     p.add_argument("--rebuild", action="store_true")
+    p.add_argument("--share", metavar="COUNTRY", help="print the yearly share of titles from outside a country instead")
     p = sub.add_parser("report")
     p.add_argument("--store", required=True)
     p.add_argument("--name", choices=sorted(REPORTS))
@@ -100,7 +101,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "summary":
         summary = CatalogSummary(store)
         summary.rebuild() if args.rebuild else summary.refresh()
-        _print(summary.read())
+        _print(summary.share(args.share) if args.share else summary.read())
     elif args.cmd == "report":
         titles, genres = store.read()
         if args.all:

@@ -377,6 +377,7 @@ EDGE: dict[str, Query] = {
     "load_rejects": q_load_rejects,
     "summary_by_loads": lambda spark, sf: _kept_summary(spark, sf).read(),
     "summary_latest_by_loads": lambda spark, sf: _kept_summary(spark, sf).latest(),
+    "share_by_loads": lambda spark, sf: _kept_summary(spark, sf).share(BIND["e3_home"]),
     "month_stage": q_month_stage,
     "sql_views": q_sql_views,
     "export_titles": q_export_titles,

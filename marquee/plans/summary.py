@@ -1,17 +1,20 @@
-"""The yearly summary (J1, J2) kept beside a catalog store and changed by loads, not recomputed.
+"""The yearly summary (J1, J2) and the share of titles from abroad (E3) kept beside a catalog store and changed by loads, not recomputed.
 
 Per load, under ``<store>/_summary/v=N/``::
 
     keys/        partial sums of every (key, year) of the load, and the key's weight
     lands/       the distinct (key, country) rows of the load
+    seen/        of every (key, year): the countries it lists, the only one if so, that it lists any
     years/       what the load changes in the sums of each year
     year_lands/  what it changes in the number of keys behind each (year, country)
+    year_seen/   what it changes in the number of keys behind these
     _COMPLETE    written last; the load's identity
 
 A load replaces its keys whole, so a key's partials follow from the load's own rows. What
 it changes is these, minus the partials that the same keys had before: only the rows of
 touched keys are looked up, in files sorted by key. All changes are sums, so the summary of
-any number of loads is one small aggregation over ``years`` and ``year_lands``. Sums of
+any number of loads is one small aggregation over ``years``, ``year_lands`` and ``year_seen``. Distinct counts
+merge in this way too: a key is counted once by the load that holds it last. Sums of
 whole minutes and years are exact in doubles up to 2**53, whatever the order.
 
 One job at a time keeps a summary (the scheduler's job after the load).
@@ -23,9 +26,9 @@ import json
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from marquee.functions import safe_ratio
+from marquee.functions import pct, safe_ratio, year_of
 from marquee.operators import reports as R
-from marquee.schema import KEY, LATEST_YEARS, UNKNOWN
+from marquee.schema import HOME_COUNTRY, KEY, LATEST_YEARS, UNKNOWN
 from marquee.sources.store import MARKER, VERSION_COL, CatalogStore
 
 SUMS = ["rows", "titles", "movies", "shows", "minutes", "timed", "lag", "lagged"]
@@ -36,6 +39,10 @@ _SCHEMAS = {
     "years": T.StructType([_YEAR, *(T.StructField(c, T.DoubleType()) for c in SUMS)]),
     "year_lands": T.StructType([_YEAR, T.StructField("country", T.StringType()), T.StructField("keys", T.LongType())]),
 }
+_SEEN = [_YEAR, T.StructField("what", T.StringType()), T.StructField("country", T.StringType()), T.StructField("n", T.LongType())]
+_SCHEMAS |= {"seen": T.StructType([T.StructField(KEY, T.StringType()), *_SEEN]), "year_seen": T.StructType(_SEEN)}
+#: What the rows of ``seen`` count: a listed country, a country that is the only one, keys with any, rows without a key.
+LISTS, ONLY, ANY, KEYLESS = "lists", "only", "any", "keyless"
 
 
 class OutdatedSummaryError(RuntimeError):
@@ -55,6 +62,24 @@ def key_sums(titles: DataFrame) -> tuple[DataFrame, DataFrame]:
             listed.select(KEY, F.col("_country").alias("country")))
 
 
+def key_seen(titles: DataFrame) -> DataFrame:
+    """(key, year_added, what, country, n) of title rows: what each key adds to the distinct counts of its years."""
+    tokens = R.explode_list(titles, "country", "_v", key=KEY, exclude=UNKNOWN, keep=["date_added"])
+    year = year_of("date_added").alias("year_added")
+    each = tokens.groupBy(KEY, year, F.col("_v").alias("country")).agg(F.count(F.lit(1)).alias("n"))
+    of_key = each.groupBy(KEY, "year_added").agg(F.min("country").alias("low"), F.max("country").alias("high"), F.sum("n").alias("n"))
+    keyed, one = F.col(KEY).isNotNull(), F.lit(1).cast("long").alias("n")
+    none = F.lit(None).cast("string").alias("country")
+    return _union([each.where(keyed).select(KEY, "year_added", F.lit(LISTS).alias("what"), "country", one),
+                   of_key.where(keyed & (F.col("low") == F.col("high"))).select(KEY, "year_added", F.lit(ONLY).alias("what"), F.col("low").alias("country"), one),
+                   of_key.where(keyed).select(KEY, "year_added", F.lit(ANY).alias("what"), none, one),
+                   of_key.where(~keyed).select(KEY, "year_added", F.lit(KEYLESS).alias("what"), none, "n")])
+
+
+def _year_seen(seen: DataFrame, sign: int) -> DataFrame:
+    return seen.select("year_added", "what", "country", (F.col("n") * sign).alias("n"))
+
+
 def _years(keys: DataFrame, sign: int) -> DataFrame:
     return keys.select("year_added", *[(F.col(c) * sign).alias(c) for c in SUMS])
 
@@ -86,11 +111,15 @@ class CatalogSummary:
     def refresh(self) -> list[int]:
         """Take in every complete load that the summary doesn't hold yet; returns their numbers."""
         parts, done = self.store.parts(), self.applied()
+        self._check(done)
         start = next((v for v, f in done.items() if f.get("whole")), None)
         if not done and parts.base:                     # begin with a compacted store: all of it as one load
-            keys, lands = key_sums(self.store.read()[0])
-            last = max(parts.all)
-            self._write(last, keys, lands, _years(keys, 1), _year_lands(keys, lands, 1), {"whole": parts.all})
+            titles = self.store.read()[0]
+            keys, lands = key_sums(titles)
+            last, seen = max(parts.all), self._store(max(parts.all), "seen", key_seen(titles))
+            self._store(last, "keys", keys)
+            self._store(last, "lands", lands)
+            self._write(last, _years(keys, 1), _year_lands(keys, lands, 1), _year_seen(seen, 1), {"whole": parts.all})
             return [last]
         held = set(done) | {v for f in done.values() for v in f.get("whole", [])}
         new = [v for v in parts.loads if v not in held]
@@ -100,6 +129,11 @@ class CatalogSummary:
             self._take(v, parts.facts[v].get("batch"))
         return new
 
+    @staticmethod
+    def _check(done: dict[int, dict]) -> None:
+        if not all(f.get("seen") for f in done.values()):
+            raise OutdatedSummaryError("the summary was begun before it kept shares; rebuild it")
+
     def rebuild(self) -> list[int]:
         """Begin again from the tables as they are."""
         self.store._fs.delete(self.store._Path(self.root), True)
@@ -108,33 +142,37 @@ class CatalogSummary:
     def _take(self, v: int, batch: str | None) -> None:
         done = self.applied()
         earlier, later = [u for u in done if u < v], [u for u in done if u > v]
-        keys, lands = key_sums(self.store.read_load(v)[0])
+        titles = self.store.read_load(v)[0]
+        (keys, lands), seen = key_sums(titles), key_seen(titles)
         replaced = batch is not None and any(done[u].get("batch") == batch for u in later)
         if replaced:
-            keys = keys.where(F.col(KEY).isNotNull())   # a later load of the same identity has replaced these
+            # a later load of the same identity has replaced these
+            keys, seen = keys.where(F.col(KEY).isNotNull()), seen.where(F.col(KEY).isNotNull())
         if later:                                       # a load that finished late: keys of later loads stay as they are
             gone = self._scan("keys", later).where(F.col(KEY).isNotNull()).select(KEY).distinct()
-            keys, lands = keys.join(gone, KEY, "left_anti"), lands.join(gone, KEY, "left_anti")
-        keys, lands = self._store(v, "keys", keys), self._store(v, "lands", lands)
-        years, year_lands = [_years(keys, 1)], [_year_lands(keys, lands, 1)]
+            keys, lands, seen = (df.join(gone, KEY, "left_anti") for df in (keys, lands, seen))
+        keys, lands, seen = self._store(v, "keys", keys), self._store(v, "lands", lands), self._store(v, "seen", seen)
+        years, year_lands, year_seen = [_years(keys, 1)], [_year_lands(keys, lands, 1)], [_year_seen(seen, 1)]
         if earlier:
-            old_keys, old_lands = self._before(keys, earlier)
+            old_keys, old_lands, old_seen = self._before(keys, earlier)
             years.append(_years(old_keys, -1))
+            year_seen.append(_year_seen(old_seen, -1))
             year_lands.append(_year_lands(old_keys, old_lands, -1))
             same = [u for u in earlier if batch is not None and done[u].get("batch") == batch]
             if same and not replaced:                   # the identity's last load so far gives up its rows without a key
                 years.append(_years(self._scan("keys", same[-1:]).where(F.col(KEY).isNull()), -1))
-        self._write(v, None, None, _union(years), _union(year_lands), {"batch": batch} if batch else {})
+                year_seen.append(_year_seen(self._scan("seen", same[-1:]).where(F.col(KEY).isNull()), -1))
+        self._write(v, _union(years), _union(year_lands), _union(year_seen), {"batch": batch} if batch else {})
 
-    def _before(self, keys: DataFrame, earlier: list[int]) -> tuple[DataFrame, DataFrame]:
-        """(keys, lands) rows that the touched keys have had: those of the last earlier load that holds each."""
+    def _before(self, keys: DataFrame, earlier: list[int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """(keys, lands, seen) rows that the touched keys have had: those of the last earlier load that holds each."""
         low, high = keys.agg(F.min(KEY), F.max(KEY)).first()
         touched = keys.where(F.col(KEY).isNotNull()).select(KEY).distinct()
         near = F.col(KEY).between(F.lit(low), F.lit(high)) if low is not None else F.lit(False)     # reaches the scan
         old = self._scan("keys", earlier).where(near).join(touched, KEY, "left_semi")
         last = old.groupBy(KEY).agg(F.max(VERSION_COL).alias("_last"))
         now = lambda df: df.join(last, KEY).where(F.col(VERSION_COL) == F.col("_last"))
-        return now(old), now(self._scan("lands", earlier).where(near))
+        return now(old), now(self._scan("lands", earlier).where(near)), now(self._scan("seen", earlier).where(near))
 
     def _store(self, v: int, kind: str, df: DataFrame) -> DataFrame:
         typed = df.select(*[F.col(f.name).cast(f.dataType) for f in _SCHEMAS[kind].fields])
@@ -143,13 +181,11 @@ class CatalogSummary:
         typed.write.mode("overwrite").parquet(f"{self._dir(v)}/{kind}")      # a crashed attempt is replaced
         return self._scan(kind, [v]).drop(VERSION_COL)
 
-    def _write(self, v: int, keys: DataFrame | None, lands: DataFrame | None, years: DataFrame, year_lands: DataFrame, facts: dict) -> None:
-        if keys is not None:
-            self._store(v, "keys", keys)
-            self._store(v, "lands", lands)
+    def _write(self, v: int, years: DataFrame, year_lands: DataFrame, year_seen: DataFrame, facts: dict) -> None:
         self._store(v, "years", years.groupBy("year_added").agg(*[F.sum(c).alias(c) for c in SUMS]))
         self._store(v, "year_lands", year_lands.groupBy("year_added", "country").agg(F.sum("keys").alias("keys")))
-        self.store._write_text(f"{self._dir(v)}/{MARKER}", json.dumps(facts))
+        self._store(v, "year_seen", year_seen.groupBy("year_added", "what", "country").agg(F.sum("n").alias("n")))
+        self.store._write_text(f"{self._dir(v)}/{MARKER}", json.dumps(facts | {"seen": True}))
 
     # ------------------------------------------------------------ read
     def read(self, digits: int = 1) -> DataFrame:
@@ -172,6 +208,22 @@ class CatalogSummary:
         """J2 as of the loads that were taken in."""
         return R.latest(self.read(), k)
 
+    def share(self, home: str = HOME_COUNTRY, digits: int = 1) -> DataFrame:
+        """E3 as of the loads that were taken in, for any home country."""
+        done = self.applied()
+        self._check(done)
+        if not done:
+            return R.sorted_by(R.distinct_share_by_period(self.store.read()[0], "country", home, exclude=UNKNOWN, match_out="us_titles",
+                                                          other_out="non_us_titles", share_out="non_us_share_pct", digits=digits), "year_added")
+        what, at_home = F.col("what"), F.col("country") == F.lit(home)
+        total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).cast("bigint")
+        sums = self._scan("year_seen", list(done)).groupBy("year_added").agg(
+            total((what == LISTS) & at_home).alias("us_titles"), total(what == ANY).alias("listed"),
+            total((what == ONLY) & at_home).alias("home_only"), total(what == KEYLESS).alias("keyless"))
+        sums = sums.where("listed > 0 or keyless > 0").withColumn("non_us_titles", F.col("listed") - F.col("home_only"))
+        return R.sorted_by(sums.select("year_added", "us_titles", "non_us_titles",
+                                       pct(F.col("non_us_titles"), F.col("listed"), digits).alias("non_us_share_pct")), "year_added")
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]

@@ -39,11 +39,13 @@ def test_equal_after_each_of_twelve_loads(spark, make_raw, tmp_path):
         assert summary.refresh() == [i + 1]
         titles = store.read()[0]
         assert rows_of(summary.read()) == rows_of(A.j1_yearly_summary(titles)), i
+        for home in ("A", "D") if i % 3 == 2 else "A":
+            assert rows_of(summary.share(home)) == rows_of(A.e3_non_us_share(titles, home)), i
         if i == 6:
             assert rows_of(summary.latest(2)) == rows_of(A.j2_latest_years(titles, 2))
     assert summary.refresh() == []
     keys = summary._scan("keys", [1]).select("show_id").where("show_id is not null")
-    old, _ = summary._before(keys.where("show_id in ('h', 'k0')"), list(range(2, 13)))
+    old, _, _ = summary._before(keys.where("show_id in ('h', 'k0')"), list(range(2, 13)))
     assert "GreaterThanOrEqual(show_id,h), LessThanOrEqual(show_id," in old._jdf.queryExecution().toString()
 
 
@@ -59,6 +61,7 @@ def test_late_loads_compaction_and_rebuild(spark, make_raw, tmp_path):
     late.finish()
     assert summary.refresh() == [2]
     assert rows_of(summary.read()) == rows_of(A.j1_yearly_summary(store.read()[0]))
+    assert rows_of(summary.share("A")) == rows_of(A.e3_non_us_share(store.read()[0], "A"))
     store.compact()
     assert summary.refresh() == []                      # a compaction changes nothing
     store.publish_replace(*load())
@@ -72,6 +75,7 @@ def test_late_loads_compaction_and_rebuild(spark, make_raw, tmp_path):
     store.publish_replace(*load())
     assert summary.refresh() == [8]
     assert rows_of(summary.read()) == rows_of(A.j1_yearly_summary(store.read()[0]))
+    assert rows_of(summary.share("A")) == rows_of(A.e3_non_us_share(store.read()[0], "A"))
 
 
 def test_the_command(spark, make_raw, tmp_path, capsys):
@@ -80,6 +84,23 @@ def test_the_command(spark, make_raw, tmp_path, capsys):
     run_month(spark, make_raw([raw_row("a"), raw_row("b", country=None)]), store, 2021, 1)
     assert main(["summary", "--store", f"file://{tmp_path}/s"]) == 0
     assert capsys.readouterr().out.splitlines()[-1].startswith("2021\t2\t2\t0\t90.0\t1")
+    assert main(["summary", "--store", f"file://{tmp_path}/s", "--share", "Nowhere"]) == 0
+    assert capsys.readouterr().out.splitlines()[-1] == "2021\t0\t1\t100.0"
+
+
+def test_a_summary_without_shares_is_rebuilt(spark, make_raw, tmp_path):
+    store = CatalogStore(spark, f"file://{tmp_path}/s")
+    run_month(spark, make_raw([raw_row("a", country="A, B"), raw_row("b", country="A")]), store, 2021, 1)
+    summary = CatalogSummary(store)
+    summary.refresh()
+    marker = f"{summary.root}/v=000001/_COMPLETE"
+    store._fs.delete(store._Path(marker), False)
+    store._write_text(marker, "{}")
+    for use in (summary.refresh, summary.share):
+        with pytest.raises(OutdatedSummaryError):
+            use()
+    summary.rebuild()
+    assert rows_of(summary.share("A")) == [(2021, 2, 1, 50.0)]
 
 
 @pytest.mark.parametrize("seed", range(3))
