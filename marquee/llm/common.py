@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -22,21 +24,31 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, tidy: bool = False) -> DataFrame:
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for ``materialize`` in the shared checkpoint folder, deleted at the end: what is read later is written elsewhere."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    yield path
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def materialize(df: DataFrame, tidy: bool = False, folder: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it back.
 
     Cuts the lineage at a place that survives a lost executor; the table is
     compressed and columnar, and the plan above it runs exactly once. With
     ``tidy`` Spark deletes the write's shuffle files once the table is there
     (they serve nothing else), so an operator of many steps holds one step's.
+    ``folder``: a scratch folder to write to instead.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = f"{folder or ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     was = spark.conf.get(_TIDY, None) if tidy else None
     if tidy:
         spark.conf.set(_TIDY, "true")
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression="zstd" if folder else None)
     finally:
         if tidy:
             spark.conf.unset(_TIDY) if was is None else spark.conf.set(_TIDY, was)
