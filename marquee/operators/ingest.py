@@ -16,6 +16,9 @@ from marquee.functions import in_month, month_bounds, parse_added_date, strip_ws
 from marquee.schema import KEY, MONTH_COL
 
 PARSED = "_added"
+#: Tasks that the rows of one key are dealt to at most, by these columns.
+LANES = 63
+LANE_COLUMNS = ("title", "date_added")
 
 
 def with_added_date(raw: DataFrame, src: str = "date_added", out: str = PARSED) -> DataFrame:
@@ -87,9 +90,18 @@ def latest_month_rows(tagged: DataFrame, key: str = KEY, month_col: str = MONTH_
     A monthly load replaces every row of a key, so after a loop only the
     key's *latest* month survives. Null keys never match a delete and are all
     kept. The latest month per key is a partial (map-side) aggregate, joined
-    back to the rows: two references to the input, and a hot key never gathers
-    in one task (AQE splits a skewed join partition).
+    back to the rows: two references to the input. A key's rows, and those
+    without a key, are dealt to up to ``LANES`` tasks by a hash of their own
+    values (``LANE_COLUMNS``); the aggregate notes a key's lanes in the bits
+    of a long and is repeated for these only, so that a hot key doesn't gather
+    in one task. (AQE's skew join doesn't apply: one side is an aggregate.)
     """
-    latest = tagged.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(month_col).alias("_latest"))
-    both = tagged.join(latest, key, "left")
+    lane = F.pmod(F.xxhash64(*[c for c in LANE_COLUMNS if c in tagged.columns]), F.lit(LANES)).cast("int")
+    latest = tagged.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.max(month_col).alias("_latest"), F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), lane)).alias("_lanes"))
+    lanes = F.filter(F.lit(list(range(LANES))), lambda i: F.call_function("getbit", F.col("_lanes"), i) == 1)
+    # nearly every key has one lane: its number is the count of the bits below
+    lanes = F.when(F.bit_count("_lanes") == 1, F.array(F.bit_count(F.col("_lanes") - 1))).otherwise(lanes)
+    each = latest.select(key, "_latest", F.explode(lanes).alias("_lane"))
+    both = tagged.withColumn("_lane", lane).join(each, [key, "_lane"], "left")
     return both.where(F.col("_latest").isNull() | (F.col(month_col) == F.col("_latest"))).select(*tagged.columns)

@@ -242,6 +242,33 @@ def test_latest_month_takes_two_references(spark, moving_raw):
     assert plan.count("LocalRelation") + plan.count("LogicalRDD") == 2 and "Union" not in plan
 
 
+def test_a_hot_key_is_dealt_to_many_tasks(spark):
+    from collections import Counter as C
+    from pyspark.sql import functions as F
+    from marquee.operators.ingest import latest_month_rows
+    rows = spark.range(6000).selectExpr(
+        "if(id % 3 = 0, null, if(id % 3 = 1, 'hot', concat('k', id div 5))) show_id", "concat('t', id) title", "date_add(date'2020-01-01', int(id % 90)) d")
+    tagged = rows.withColumn("added_month", F.trunc("d", "month"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = [tuple(r) for r in latest_month_rows(tagged).withColumn("_p", F.spark_partition_id()).collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    every = [tuple(r) for r in tagged.collect()]
+    last = {}
+    for k, _, _, m in every:
+        last[k] = max(m, last.get(k, m))
+    assert C(r[:-1] for r in got) == C(r for r in every if r[0] is None or r[3] == last[r[0]])
+    for k in (None, "hot"):
+        places = C(r[-1] for r in got if r[0] == k)
+        assert len(places) == 8 and max(places.values()) < sum(places.values()) / 2
+
+
 def test_apply_months_with_checkpoints_equals_backfill(spark, moving_raw):
     from marquee.plans.jobs import apply_months
     t_loop, g_loop = apply_months(*empty(spark), moving_raw, MONTHS, checkpoint_every=2)
