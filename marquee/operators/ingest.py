@@ -70,7 +70,9 @@ def tag_months(raw: DataFrame, first: tuple[int, int] | None = None,
     (``added_month``, the month's first day as a DATE), in one scan.
 
     A DATE rather than a 'yyyy-MM' label keeps the later max-per-key a plain
-    hash aggregate (a string max would fall back to a sort aggregate).
+    hash aggregate (a string max would fall back to a sort aggregate). The date
+    is parsed once a row: the condition on the partition's number, true
+    everywhere, keeps the optimizer from repeating the parse in each filter.
     """
     d = F.col(PARSED)
     keep = d.isNotNull()
@@ -78,7 +80,9 @@ def tag_months(raw: DataFrame, first: tuple[int, int] | None = None,
         keep = keep & (d >= F.lit(month_bounds(*first)[0]))
     if last is not None:
         keep = keep & (d < F.lit(month_bounds(*last)[1]))
+    once = F.when(F.spark_partition_id() >= 0, F.col(PARSED)).alias(PARSED)
     return (with_added_date(raw, date_col)
+            .select(*raw.columns, once)
             .where(keep)
             .withColumn(MONTH_COL, F.trunc(d, "month"))
             .drop(PARSED))

@@ -23,10 +23,11 @@ One job at a time keeps a summary (the scheduler's job after the load).
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from marquee.functions import pct, safe_ratio, year_of
+from marquee.functions import pct, safe_ratio, split_list, year_of
 from marquee.operators import reports as R
 from marquee.schema import HOME_COUNTRY, KEY, LATEST_YEARS, UNKNOWN
 from marquee.sources.store import MARKER, VERSION_COL, CatalogStore
@@ -52,7 +53,10 @@ class OutdatedSummaryError(RuntimeError):
 def key_sums(titles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(keys, lands) of title rows: each (key, year) adds its sums to its year, weighted by the key's country rows."""
     per_year_key, listed = R.summary_partials(titles, exclude=UNKNOWN)
-    rows = per_year_key.join(listed.groupBy(KEY).agg(F.sum("_m").alias("_n")), KEY, "left")
+    # the key's country rows are the tokens of its lists, counted without dealing them out
+    n_listed = titles.where(F.col(KEY).isNotNull() & (F.col("country") != F.lit(UNKNOWN))).groupBy(KEY).agg(
+        F.sum(F.size(split_list("country"))).alias("_n"))
+    rows = per_year_key.join(n_listed, KEY, "left")
     w, has_key = F.coalesce("_n", F.lit(1)), F.col(KEY).isNotNull()
     flag = lambda c: F.when(has_key & c, 1).otherwise(0)
     sums = {"rows": F.col("_r"), "titles": flag(F.lit(True)), "movies": flag(F.col("_mv") == 1), "shows": flag(F.col("_sh") == 1),
@@ -93,6 +97,7 @@ class CatalogSummary:
     def __init__(self, store: CatalogStore):
         self.store, self.spark = store, store.spark
         self.root = f"{store.root}/_summary"
+        self._touched = f"{self.root}/_touched"         # of the load being taken in: its keys' last earlier loads
 
     def _dir(self, v: int) -> str:
         return f"{self.root}/{VERSION_COL}={v:06d}"
@@ -116,9 +121,8 @@ class CatalogSummary:
         if not done and parts.base:                     # begin with a compacted store: all of it as one load
             titles = self.store.read()[0]
             keys, lands = key_sums(titles)
-            last, seen = max(parts.all), self._store(max(parts.all), "seen", key_seen(titles))
-            self._store(last, "keys", keys)
-            self._store(last, "lands", lands)
+            last = max(parts.all)
+            _, _, seen = self._store_all(last, {"keys": keys, "lands": lands, "seen": key_seen(titles)})
             self._write(last, _years(keys, 1), _year_lands(keys, lands, 1), _year_seen(seen, 1), {"whole": parts.all})
             return [last]
         held = set(done) | {v for f in done.values() for v in f.get("whole", [])}
@@ -151,7 +155,7 @@ class CatalogSummary:
         if later:                                       # a load that finished late: keys of later loads stay as they are
             gone = self._scan("keys", later).where(F.col(KEY).isNotNull()).select(KEY).distinct()
             keys, lands, seen = (df.join(gone, KEY, "left_anti") for df in (keys, lands, seen))
-        keys, lands, seen = self._store(v, "keys", keys), self._store(v, "lands", lands), self._store(v, "seen", seen)
+        keys, lands, seen = self._store_all(v, {"keys": keys, "lands": lands, "seen": seen})
         years, year_lands, year_seen = [_years(keys, 1)], [_year_lands(keys, lands, 1)], [_year_seen(seen, 1)]
         if earlier:
             old_keys, old_lands, old_seen = self._before(keys, earlier)
@@ -163,16 +167,23 @@ class CatalogSummary:
                 years.append(_years(self._scan("keys", same[-1:]).where(F.col(KEY).isNull()), -1))
                 year_seen.append(_year_seen(self._scan("seen", same[-1:]).where(F.col(KEY).isNull()), -1))
         self._write(v, _union(years), _union(year_lands), _union(year_seen), {"batch": batch} if batch else {})
+        self.store._fs.delete(self.store._Path(self._touched), True)
 
     def _before(self, keys: DataFrame, earlier: list[int]) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(keys, lands, seen) rows that the touched keys have had: those of the last earlier load that holds each."""
         low, high = keys.agg(F.min(KEY), F.max(KEY)).first()
         touched = keys.where(F.col(KEY).isNotNull()).select(KEY).distinct()
         near = F.col(KEY).between(F.lit(low), F.lit(high)) if low is not None else F.lit(False)     # reaches the scan
-        old = self._scan("keys", earlier).where(near).join(touched, KEY, "left_semi")
-        last = old.groupBy(KEY).agg(F.max(VERSION_COL).alias("_last"))
-        now = lambda df: df.join(last, KEY).where(F.col(VERSION_COL) == F.col("_last"))
-        return now(old), now(self._scan("lands", earlier).where(near)), now(self._scan("seen", earlier).where(near))
+        held = self._scan("keys", earlier).where(near).select(KEY, VERSION_COL).join(touched, KEY, "left_semi")
+        # found once, read by the three changes
+        held.groupBy(KEY).agg(F.max(VERSION_COL).alias(VERSION_COL)).write.mode("overwrite").parquet(self._touched)
+        last = self.spark.read.schema(held.schema).parquet(self._touched)
+        return tuple(self._scan(kind, earlier).where(near).join(last, [KEY, VERSION_COL]) for kind in ("keys", "lands", "seen"))
+
+    def _store_all(self, v: int, frames: dict[str, DataFrame]) -> list[DataFrame]:
+        """The tables are independent jobs: they run side by side."""
+        with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+            return list(pool.map(lambda kind: self._store(v, kind, frames[kind]), frames))
 
     def _store(self, v: int, kind: str, df: DataFrame) -> DataFrame:
         typed = df.select(*[F.col(f.name).cast(f.dataType) for f in _SCHEMAS[kind].fields])
@@ -182,9 +193,10 @@ class CatalogSummary:
         return self._scan(kind, [v]).drop(VERSION_COL)
 
     def _write(self, v: int, years: DataFrame, year_lands: DataFrame, year_seen: DataFrame, facts: dict) -> None:
-        self._store(v, "years", years.groupBy("year_added").agg(*[F.sum(c).alias(c) for c in SUMS]))
-        self._store(v, "year_lands", year_lands.groupBy("year_added", "country").agg(F.sum("keys").alias("keys")))
-        self._store(v, "year_seen", year_seen.groupBy("year_added", "what", "country").agg(F.sum("n").alias("n")))
+        self._store_all(v, {
+            "years": years.groupBy("year_added").agg(*[F.sum(c).alias(c) for c in SUMS]),
+            "year_lands": year_lands.groupBy("year_added", "country").agg(F.sum("keys").alias("keys")),
+            "year_seen": year_seen.groupBy("year_added", "what", "country").agg(F.sum("n").alias("n"))})
         self.store._write_text(f"{self._dir(v)}/{MARKER}", json.dumps(facts | {"seen": True}))
 
     # ------------------------------------------------------------ read

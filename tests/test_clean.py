@@ -104,6 +104,13 @@ def test_dates_parse_strip_and_reject(make_raw):
     assert {r.added_month for r in tagged.collect()} == {dt.date(2021, 9, 1)}
 
 
+def test_tagging_parses_a_date_once(make_raw):
+    raw = make_raw([raw_row("a", date_added="\t\x0b March 1, 2020 \r\n")])
+    tagged = tag_months(raw, (2000, 1), (2030, 12))
+    assert tagged._jdf.queryExecution().optimizedPlan().toString().count("gettimestamp") == 1
+    assert [r.added_month for r in tagged.collect()] == [dt.date(2020, 3, 1)]
+
+
 def test_month_slice_keeps_raw_values(make_raw):
     raw = make_raw([raw_row("a", date_added=" March 1, 2020", rating="74 min")])
     r = month_slice(raw, 2020, 3).collect()[0]
