@@ -118,6 +118,40 @@ def test_split_reading_equals_whole_file_reading(spark, tmp_path, newline, block
     assert sum(whole.values()) == 403
 
 
+@pytest.mark.parametrize("block", [300, 50_000])
+def test_split_reading_does_not_shuffle_the_lines(spark, tmp_path, block):
+    from collections import Counter
+    (tmp_path / "0.csv").write_bytes(messy_csv(400).encode())
+    path = f"file://{tmp_path}"
+    whole = Counter(tuple(r) for r in read_raw_csv(spark, path).collect())
+    conf = {"spark.sql.files.maxPartitionBytes": str(block), "spark.sql.files.openCostInBytes": str(block),
+            "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}       # the state goes over batches too
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = read_raw_csv(spark, path, split=True)
+        assert Counter(tuple(r) for r in df.collect()) == whole
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    if block < 1000:
+        return
+    moved, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        p = todo.pop()
+        name = p.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(p.executedPlan())
+        elif "QueryStage" in name:
+            todo.append(p.plan())
+        else:
+            if name == "Exchange":
+                moved += p.metrics().apply("shuffleRecordsWritten").value()
+            todo += [p.children().apply(i) for i in range(p.children().size())]
+    assert moved < 40                                   # parts and pieces, not 400 records
+
+
 def test_split_reading_reports_what_it_cannot_read(spark, tmp_path):
     p = tmp_path / "raw.csv"
     p.write_text(CSV.replace(',2019,74 min,', ',20x9,74 min,'))
