@@ -42,7 +42,7 @@ def read_raw_csv(spark: SparkSession, path: str | list[str], *, multi_line: bool
     By default a quoted field may hold line breaks, which makes each file one
     task. With ``split`` many tasks read a file, and records are cut by the
     parity of quotes (see ``records``): the same rows, for files whose quotes
-    are paired, at the price of one shuffle of the lines. ``multi_line=False``
+    are paired, at the price of reading the lines again. ``multi_line=False``
     splits files too, without that, for input known to have no such field; a
     record that breaks there fails the job instead of loading wrongly.
     Only the empty field is null unless ``null_tokens`` is given
