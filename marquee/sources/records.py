@@ -12,13 +12,18 @@ pieces of records that cross the edges of parts, two a part, are shuffled.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, DataFrameReader, Window, functions as F, types as T
 from pyspark.sql.streaming import DataStreamReader
 
+# functions of this module travel with the plan: executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 FILE, BLOCK = "_file", "_block"
 
 

@@ -152,6 +152,15 @@ def test_split_reading_does_not_shuffle_the_lines(spark, tmp_path, block):
     assert moved < 40                                   # parts and pieces, not 400 records
 
 
+def test_the_cutting_travels_without_the_package(tmp_path):
+    import subprocess
+    import sys
+    from pyspark import cloudpickle
+    from marquee.sources.records import _cut_parts
+    code = "import pickle, sys; f = pickle.load(sys.stdin.buffer); assert list(f(iter(()))) == [] and 'marquee' not in sys.modules"
+    subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(_cut_parts), cwd=tmp_path, check=True)
+
+
 def test_split_reading_reports_what_it_cannot_read(spark, tmp_path):
     p = tmp_path / "raw.csv"
     p.write_text(CSV.replace(',2019,74 min,', ',20x9,74 min,'))
