@@ -10,10 +10,11 @@ their sets, which the set lengths bound from above.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from marquee.llm.common import broadcast_if_small, materialize, text_key
+from marquee.llm.common import broadcast_if_small, materialize, once, text_key
 
 #: Common words of English, German, French and Spanish that serve as anchors (public stop-word lists, fixed values).
 ANCHORS = """a an the of and to in is it that was for on be with as by at are this from or
@@ -28,10 +29,21 @@ _WORD = r"[\p{L}\p{N}]"
 _MARK = "\u0001"
 
 
-def _chains(spots: Column, chain: int, reach: int) -> Column:
-    """For each spot (an anchor and the content words up to the next one) the anchor and its chain."""
-    return F.transform(spots, lambda s, i: F.concat(F.slice(s, 1, 1), F.slice(F.flatten(F.transform(
-        F.slice(spots, i + 1, reach + 1), lambda p: F.slice(p, 2, chain))), 1, chain)))
+def _any_of(words: list[str]) -> str:
+    """Pattern of the words, longest first, their common beginnings once: a position is not tried with every word."""
+    rest: dict[str, list[str]] = {}
+    for w in dict.fromkeys(words):
+        if w:
+            rest.setdefault(w[0], []).append(w[1:])
+    some = "|".join(re.escape(c) + _any_of(more) for c, more in rest.items())
+    return f"(?:{some})?" if rest and "" in words else f"(?:{some})" if len(rest) > 1 else some
+
+
+def _chains(spots: Column, tails: Column, chain: int, reach: int) -> Column:
+    """For each spot (an anchor and the content words up to the next one) the anchor and its chain; tails: the
+    first content words of each spot. Only a spot of too few words looks at the ones behind it."""
+    return F.transform(spots, lambda s, i: F.when(F.size(s) > chain, F.slice(s, 1, chain + 1)).otherwise(
+        F.concat(F.slice(s, 1, 1), F.slice(F.flatten(F.slice(tails, i + 1, reach + 1)), 1, chain))))
 
 
 def with_signatures(df: DataFrame, chain: int = CHAIN, reach: int = REACH, anchors: list[str] = ANCHORS, **texts: str) -> DataFrame:
@@ -41,21 +53,23 @@ def with_signatures(df: DataFrame, chain: int = CHAIN, reach: int = REACH, ancho
     signatures. A text without any has one: the hash of the whole text, so it is
     like its copies only.
     """
-    words = "|".join(dict.fromkeys(anchors))
+    words = _any_of(anchors)
     # Each step is a column of its own that the next one uses more than once, so nothing is computed once for every anchor.
     for name, column in texts.items():
         marked = F.regexp_replace(F.lower(F.coalesce(column, F.lit(""))), rf"(?<!{_WORD})(?:{words})(?!{_WORD})", _MARK + "$0")
         spots = F.slice(F.split(marked, _MARK), 2, 1 << 30)                 # without what stands before the first anchor
         df = df.withColumn(f"__{name}", F.transform(spots, lambda s: F.regexp_extract_all(s, F.lit(rf"{_WORD}+"), F.lit(0))))
     for name in texts:
-        spots = F.col(f"__{name}")
-        whole = F.transform(F.filter(_chains(spots, chain, reach), lambda x: F.size(x) == chain + 1), lambda x: F.xxhash64(x))
-        df = df.withColumn(f"__{name}", F.when(F.size(spots) > 0, F.array_sort(F.array_distinct(whole))))
+        df = df.withColumn(f"__t_{name}", once(F.transform(f"__{name}", lambda s: F.slice(s, 2, chain))))
+    for name in texts:
+        spots, tails = F.col(f"__{name}"), F.col(f"__t_{name}")
+        whole = F.transform(F.filter(_chains(spots, tails, chain, reach), lambda x: F.size(x) == chain + 1), lambda x: F.xxhash64(x))
+        df = df.withColumn(f"__{name}", F.when(F.size(spots) > 0, F.sort_array(F.array_distinct(whole))))
     for name, column in texts.items():
         found = F.col(f"__{name}")
         alone = F.array(F.xxhash64(F.lit("text"), F.coalesce(column, F.lit(""))))
         df = df.withColumn(name, F.when(F.size(found) > 0, found).otherwise(alone))
-    return df.drop(*[f"__{name}" for name in texts])
+    return df.drop(*[f"__{p}{name}" for name in texts for p in ("", "t_")])
 
 
 def fingerprint(signatures: Column) -> Column:

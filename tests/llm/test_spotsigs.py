@@ -94,6 +94,19 @@ def test_cases(spark, make_docs):
     assert several == {(1, 3), (3, None), (None, 1)}
 
 
+def test_anchors_are_found_as_by_trying_every_word(spark):
+    """Common beginnings of anchors are tried once, sorting compares without a lambda, and a spot of enough words looks no further."""
+    words = [*ANCHORS, "c", "c'est", "c'es"]
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choice(words) + rng.choice(["", "", " ", "'", "x"]) for _ in range(4)) for _ in range(500))
+    one, each = (re.compile(rf"(?<!\w)(?:{p})(?!\w)") for p in (spotsigs._any_of(words), "|".join(map(re.escape, words))))
+    # where several words fit the longest one is taken
+    assert [m.start() for m in one.finditer(text.replace("c'es", ""))] == [m.start() for m in each.finditer(text.replace("c'es", ""))]
+    assert one.findall("c'est c'esx cx") == ["c'est", "c"]
+    plan = with_signatures(spark.createDataFrame([("x",)], "t string"), sigs="t")._jdf.queryExecution().optimizedPlan().toString()
+    assert "an|the" not in plan and "array_sort" not in plan and "CASE WHEN (size(lambda" in plan
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.8])
 def test_similar_sets_equals_all_pairs(spark, threshold):
     rng = random.Random(1)
